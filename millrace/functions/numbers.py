@@ -20,9 +20,23 @@ def round_half_away(value: Column, places: int = 2) -> Column:
     return F.round(value * scale) / scale
 
 
+_LOW_BITS = 20
+
+
 def exact_sum(value: Column, scale: int = 4) -> Column:
-    """Sum as decimals, so retries and other partitionings give the same cents."""
-    return F.sum(value.cast(DecimalType(18, scale))).cast("double")
+    """Sum of a double at ``scale`` decimals, the same for every order of the rows.
+
+    Retries and other partitionings then give the same cents, which a plain sum
+    of doubles does not. Each value becomes a whole number of units; the units
+    are summed in two halves as longs, which stays in generated code (decimal
+    sums allocate an object per row) and cannot overflow below 2**43 rows. Only
+    the finished sums are turned into a double.
+    """
+    value = value.cast("double")
+    units = (value * F.lit(float(10**scale)) + F.signum(value) * F.lit(0.5)).cast("bigint")
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("double")
+    low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1).cast("bigint"))).cast("double")
+    return (high * F.lit(float(2**_LOW_BITS)) + low) / F.lit(float(10**scale))
 
 
 def exact_avg(value: Column, scale: int = 4) -> Column:

@@ -41,7 +41,7 @@ def append_new(
     spark = batch.sparkSession
     target = _touched(read_or_empty(spark, path, batch.schema), batch, partitions)
     fresh = unprocessed(first_per_key(batch, keys, order), target, keys)
-    fresh.write.mode("append").partitionBy(*partitions).parquet(path)
+    fresh.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
 def upsert(

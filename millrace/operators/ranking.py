@@ -40,6 +40,7 @@ def global_rank(df: DataFrame, by: str, bucket: Column, name: str) -> DataFrame:
     ``bucket`` must grow with ``by`` and take few values (e.g. its whole part).
     Rows are counted per distinct value before the shuffle; values are ranked
     inside their bucket, and a bucket starts after all rows of higher buckets.
+    The table is read twice (values, then rows), so df should be a stored table.
     """
     values = df.groupBy(by).agg(F.count("*").alias("n")).withColumn("bucket", bucket)
     above = Window.orderBy(falling("bucket")).rowsBetween(Window.unboundedPreceding, -1)

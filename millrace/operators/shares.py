@@ -20,10 +20,13 @@ def share_of_total(groups: DataFrame, value: str, name: str, total: Column | Non
 
 
 def compared_with_average(df: DataFrame, average: Column, keep) -> DataFrame:
-    """Filter by the table's own average: ``keep(average column)`` is the condition."""
+    """Filter by the table's own average: ``keep(average column)`` is the condition.
+
+    The table is read twice, so df should be a stored table.
+    """
     return df.where(keep(df.agg(average.alias("average")).scalar()))
 
 
 def at_latest(df: DataFrame, column: str) -> DataFrame:
-    """Rows at the largest value of ``column``."""
+    """Rows at the largest value of ``column``; df is read twice, so it should be a stored table."""
     return df.where(F.col(column) == df.agg(F.max(column).alias("latest")).scalar())

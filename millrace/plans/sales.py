@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -24,8 +26,10 @@ def stg_sales_orders(
 
     The warehouse flavour keeps online orders and doubles; the database flavour
     drops online orders and stores two decimals. The status filter and the
-    column lists reach the file scans; Catalyst broadcasts the territory side
-    by its size and splits an order that holds very many lines.
+    column lists reach the file scans. Headers and lines both grow with the
+    business, so they are merged by shuffle (compressed file sizes would talk
+    Catalyst into broadcasting the lines) and AQE splits an order that holds
+    very many of them; the territory side is broadcast only if its size allows.
     """
     if money not in MONEY:
         raise ValueError(f"money must be one of {MONEY}")
@@ -39,7 +43,7 @@ def stg_sales_orders(
     names = territory.select("TerritoryID", F.col("Name").alias("TerritoryName"), "CountryRegionCode")
     return (
         completed.join(names, "TerritoryID")
-        .join(detail, "SalesOrderID")
+        .join(detail.hint("merge"), "SalesOrderID")
         .select(
             "SalesOrderID",
             "SalesOrderDetailID",
@@ -78,7 +82,9 @@ def stg_products(
     )
 
 
-def sales_summary(orders: DataFrame, products: DataFrame, *, money: str = "double") -> DataFrame:
+def sales_summary(
+    orders: DataFrame, products: DataFrame, *, money: str = "double", extra: Sequence[Column] = ()
+) -> DataFrame:
     """Revenue, quantity, price and margin per product and territory.
 
     Lines are summed per (product, territory) before the product attributes are
@@ -93,6 +99,7 @@ def sales_summary(orders: DataFrame, products: DataFrame, *, money: str = "doubl
             round_half_away(exact_sum(F.col("LineTotal"), 4), 2).alias("TotalRevenue"),
             F.sum("OrderQty").alias("TotalQty"),
             round_half_away(exact_avg(F.col("UnitPrice"), 8), 2).alias("AvgUnitPrice"),
+            *extra,
         )
         margin = round_half_away(spread, 2)
         margin_pct = round_half_away(F.try_divide(spread, F.col("ListPrice")) * F.lit(100.0), 2)
@@ -103,9 +110,12 @@ def sales_summary(orders: DataFrame, products: DataFrame, *, money: str = "doubl
             decimal_ratio(F.sum("UnitPrice"), F.count("UnitPrice").cast("decimal(20,0)"), 2, DecimalType(10, 2)).alias(
                 "AvgUnitPrice"
             ),
+            *extra,
         )
         margin = _decimal(spread, 10)
         margin_pct = decimal_ratio(spread * 100, F.col("ListPrice"), 2, DecimalType(6, 2))
+    base = [*keys, "TotalRevenue", "TotalQty", "AvgUnitPrice"]
+    added = [c for c in sums.columns if c not in base]
     return sums.join(products, "ProductID").select(
         "ProductID",
         "ProductName",
@@ -122,6 +132,7 @@ def sales_summary(orders: DataFrame, products: DataFrame, *, money: str = "doubl
         "StandardCost",
         margin.alias("Margin"),
         margin_pct.alias("MarginPct"),
+        *added,
     )
 
 

@@ -28,8 +28,8 @@ header AS (
 DETAIL = """
 detail AS (
   SELECT l_orderkey AS sid, l_linenumber AS line, l_partkey AS pid, CAST(l_quantity AS INTEGER) AS qty,
-         CAST(l_extendedprice / l_quantity AS DECIMAL(18,8)) AS price,
-         CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) AS total
+         l_extendedprice / l_quantity AS price, l_extendedprice * (1 - l_discount) AS total,
+         CAST(price AS DECIMAL(18,8)) AS exact_price, CAST(total AS DECIMAL(18,4)) AS exact_total
   FROM lineitem)"""
 TERRITORY = """
 territory AS (
@@ -46,14 +46,14 @@ products AS (
   WHERE p_retailprice > 0)"""
 LINES = """
 lines AS (
-  SELECT sid, line, CAST(odate AS DATE) AS oday, pid, qty, price, total, terr, tname, country, online
+  SELECT sid, line, CAST(odate AS DATE) AS oday, pid, qty, price, total, exact_price, exact_total, terr, tname, country, online
   FROM header JOIN territory USING (terr) JOIN detail USING (sid) WHERE status = 5)"""
 SUMMARY = f"""
 summary AS (
   SELECT pid AS "ProductID", pname AS "ProductName", pnumber AS "ProductNumber", category AS "Category",
          subcategory AS "Subcategory", terr AS "TerritoryID", tname AS "TerritoryName", country AS "CountryRegionCode",
-         {_r(_sum("CAST(total AS DOUBLE)"), 2)} AS "TotalRevenue", CAST(sum(qty) AS BIGINT) AS "TotalQty",
-         {_r(_avg("CAST(price AS DOUBLE)", 8), 2)} AS "AvgUnitPrice",
+         {_r(_sum("total"), 2)} AS "TotalRevenue", CAST(sum(qty) AS BIGINT) AS "TotalQty",
+         {_r(_avg("price", 8), 2)} AS "AvgUnitPrice",
          CAST(list_price AS DOUBLE) AS "ListPrice", CAST(cost AS DOUBLE) AS "StandardCost",
          round(CAST(list_price AS DOUBLE) - CAST(cost AS DOUBLE), 2) AS "Margin",
          round((CAST(list_price AS DOUBLE) - CAST(cost AS DOUBLE)) / CAST(list_price AS DOUBLE) * CAST(100 AS DOUBLE), 2) AS "MarginPct",
@@ -65,8 +65,8 @@ SALES = _with(HEADER, DETAIL, TERRITORY, PRODUCTS, LINES, SUMMARY)
 PG_SUMMARY = """
 SELECT pid AS "ProductID", pname AS "ProductName", pnumber AS "ProductNumber", category AS "Category",
        subcategory AS "Subcategory", terr AS "TerritoryID", tname AS "TerritoryName", country AS "CountryRegionCode",
-       CAST(sum(CAST(total AS DECIMAL(12,2))) AS DOUBLE) AS "TotalRevenue", CAST(sum(qty) AS BIGINT) AS "TotalQty",
-       ((2 * sum(CAST(CAST(price AS DECIMAL(10,2)) * 100 AS BIGINT)) + count(*)) // (2 * count(*))) / CAST(100 AS DOUBLE) AS "AvgUnitPrice",
+       CAST(sum(CAST(exact_total AS DECIMAL(12,2))) AS DOUBLE) AS "TotalRevenue", CAST(sum(qty) AS BIGINT) AS "TotalQty",
+       ((2 * sum(CAST(CAST(exact_price AS DECIMAL(10,2)) * 100 AS BIGINT)) + count(*)) // (2 * count(*))) / CAST(100 AS DOUBLE) AS "AvgUnitPrice",
        CAST(list_price AS DOUBLE) AS "ListPrice", CAST(cost AS DOUBLE) AS "StandardCost",
        CAST(list_price - cost AS DOUBLE) AS "Margin",
        ((20000 * CAST((list_price - cost) * 100 AS BIGINT) + CAST(list_price * 100 AS BIGINT))
@@ -103,12 +103,12 @@ HEADER_OUT = (
 SALES_SQL = {
     "silver_stg_sales_orders": SALES
     + """SELECT sid AS "SalesOrderID", line AS "SalesOrderDetailID", CAST(oday AS VARCHAR) AS "OrderDate", pid AS "ProductID",
-    qty AS "OrderQty", CAST(price AS DOUBLE) AS "UnitPrice", CAST(total AS DOUBLE) AS "LineTotal", terr AS "TerritoryID",
+    qty AS "OrderQty", price AS "UnitPrice", total AS "LineTotal", terr AS "TerritoryID",
     tname AS "TerritoryName", country AS "CountryRegionCode" FROM lines""",
     "pg_stg_sales_orders": SALES
     + """SELECT sid AS "SalesOrderID", line AS "SalesOrderDetailID", CAST(oday AS VARCHAR) AS "OrderDate", pid AS "ProductID",
-    qty AS "OrderQty", CAST(CAST(price AS DECIMAL(10,2)) AS DOUBLE) AS "UnitPrice",
-    CAST(CAST(total AS DECIMAL(12,2)) AS DOUBLE) AS "LineTotal", terr AS "TerritoryID",
+    qty AS "OrderQty", CAST(CAST(exact_price AS DECIMAL(10,2)) AS DOUBLE) AS "UnitPrice",
+    CAST(CAST(exact_total AS DECIMAL(12,2)) AS DOUBLE) AS "LineTotal", terr AS "TerritoryID",
     tname AS "TerritoryName", country AS "CountryRegionCode" FROM lines WHERE NOT online""",
     "silver_stg_products": _with(PRODUCTS)
     + """SELECT pid AS "ProductID", pname AS "ProductName", pnumber AS "ProductNumber", CAST(list_price AS DOUBLE) AS "ListPrice",

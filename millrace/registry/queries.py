@@ -12,7 +12,7 @@ from millrace import schemas
 from millrace.operators import merge, quality
 from millrace.operators.streaks import continue_streaks, previous_day_streak
 from millrace.plans import hr_reports, rfm_reports, sales, sales_reports, vendor_reports, weather
-from millrace.session import workspace
+from millrace.session import stored, workspace
 from millrace.sources import files, landing, sample_tables, seeds
 from millrace.sources.jdbc import SALES_TABLES
 from millrace.streaming import jobs
@@ -55,15 +55,14 @@ def all_queries() -> dict[str, Query]:
 _UNCOMPARED = ("bronze_id", "silver_id", "gold_id", "ingested_at", "transformed_at")
 
 
-def _sales(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: build(spark, folder) for name, build in sample_tables.SALES_FRAMES.items()}
-
-
-def _orders(spark, folder, **flavour) -> DataFrame:
-    header, detail, territory = (
-        sample_tables.SALES_FRAMES[n](spark, folder) for n in ("sales_order_header", "sales_order_detail", "sales_territory")
+def _orders(spark, folder, *, exclude_online=False, money="double") -> DataFrame:
+    return sales.stg_sales_orders(
+        sample_tables.sales_order_header(spark, folder),
+        sample_tables.sales_order_detail(spark, folder, money),
+        sample_tables.sales_territory(spark, folder),
+        exclude_online=exclude_online,
+        money=money,
     )
-    return sales.stg_sales_orders(header, detail, territory, **flavour)
 
 
 def _products(spark, folder, money="double") -> DataFrame:
@@ -77,9 +76,8 @@ def _summary(spark, folder) -> DataFrame:
 
 def _fact(spark, folder) -> DataFrame:
     """The fact with the newest order date of the product and territory as its load time."""
-    orders = _orders(spark, folder)
-    newest = orders.groupBy("ProductID", "TerritoryID").agg(F.max("OrderDate").cast("timestamp_ntz").alias("newest"))
-    summary = sales.sales_summary(orders, _products(spark, folder)).join(newest, ["ProductID", "TerritoryID"])
+    newest = F.max("OrderDate").cast("timestamp_ntz").alias("newest")
+    summary = sales.sales_summary(_orders(spark, folder), _products(spark, folder), extra=[newest])
     return sales.fact_sales_performance(summary, BATCH_DATE, F.col("newest")).drop("newest")
 
 
@@ -360,12 +358,12 @@ def gold_island_ranking(spark, folder):
 
 @query
 def gold_alert_dashboard(spark, folder):
-    return weather.alert_dashboard(_gold(spark, folder), seeds.dim_location(spark))
+    return weather.alert_dashboard(stored(_gold(spark, folder), "gold"), seeds.dim_location(spark))
 
 
 @query
 def gold_daily_report(spark, folder):
-    return weather.daily_report(_gold(spark, folder), seeds.dim_location(spark), sample_tables.RUN_DATE)
+    return weather.daily_report(stored(_gold(spark, folder), "gold"), seeds.dim_location(spark), sample_tables.RUN_DATE)
 
 
 @query
@@ -526,7 +524,7 @@ def hr_long_tenure_low_pay(spark, folder):
 # -- vendors -----------------------------------------------------------------
 @query
 def vendor_ranking(spark, folder):
-    return vendor_reports.ranking(sample_tables.fact_vendor_performance(spark, folder))
+    return vendor_reports.ranking(stored(sample_tables.fact_vendor_performance(spark, folder), "vendors"))
 
 
 @query
@@ -574,7 +572,7 @@ def rfm_territory_profile(spark, folder):
 
 @query
 def rfm_winback(spark, folder):
-    return rfm_reports.win_back(sample_tables.fact_customer_rfm(spark, folder))
+    return rfm_reports.win_back(stored(sample_tables.fact_customer_rfm(spark, folder), "customers"))
 
 
 @query

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # landing folders hold many small files: pack them into few tasks
     "spark.sql.files.openCostInBytes": str(1 << 20),
+    # recording the call site of every column doubles the time to build a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -35,6 +37,22 @@ def _local_base() -> str:
     return tempfile.mkdtemp(prefix="millrace-")
 
 
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Partition settings for a given input size and number of cores.
+
+    Shuffle partitions start at about 128 MB of input each and AQE joins the
+    small ones; scan splits grow with the input so that 100 TB does not become
+    close to a million tiny tasks, and stay small enough to keep all cores busy.
+    """
+    split = min(max(input_bytes // max(cores * 4, 1), 16 << 20), 512 << 20)
+    partitions = min(max(input_bytes // (128 << 20), cores), 50_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+    }
+
+
 def shared_base(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -52,3 +70,14 @@ def shared_base(spark: SparkSession) -> str:
 def workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one, never used before."""
     return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write df below the shared folder and read it back.
+
+    For a result that a plan uses twice: the long lineage runs once, and a lost
+    executor repeats the read of a small table instead of the whole pipeline.
+    """
+    path = workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

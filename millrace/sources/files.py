@@ -18,9 +18,19 @@ def raw_path(base: str, folder: str) -> str:
     return f"{base.rstrip('/')}/raw/{folder}"
 
 
+def _overwrite(df: DataFrame, path: str, columns: Iterable[str]) -> None:
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+
+
 def write_partition(df: DataFrame, path: str, dt: str) -> None:
-    """Store df as the ``dt`` partition, replacing that partition only."""
-    replace_partitions(df.withColumn("dt", F.lit(dt).cast("date")), path, "dt")
+    """Store df as the ``dt`` partition, replacing that partition only; every scan task writes its own file."""
+    _overwrite(df.withColumn("dt", F.lit(dt).cast("date")), path, ["dt"])
 
 
 def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
@@ -29,14 +39,7 @@ def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
     The rebalance hint lets AQE cut a large partition into several files and
     join small ones, instead of sending a whole partition to one task.
     """
-    (
-        df.hint("rebalance", *columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    _overwrite(df.hint("rebalance", *columns), path, columns)
 
 
 def read_partition(spark: SparkSession, path: str, dt: str) -> DataFrame:

@@ -19,8 +19,24 @@ WEATHER_DAYS = ("2024-01-01", "2024-01-30")
 RFM_DAY = "2001-08-02"
 
 
+# declared, so that opening a table does not start a job that infers its schema
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 # -- sales -------------------------------------------------------------------
@@ -31,20 +47,21 @@ def sales_order_header(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").alias("SalesOrderID"),
         F.col("o_orderdate").alias("OrderDate"),
         F.col("c_nationkey").alias("TerritoryID"),
-        F.when(F.col("o_orderstatus") == "F", 5).otherwise(1).alias("Status"),
+        F.when(F.col("o_orderstatus").eqNullSafe("F"), 5).otherwise(1).alias("Status"),
         (F.col("o_orderpriority") == "5-LOW").alias("OnlineOrderFlag"),
     )
 
 
-def sales_order_detail(spark: SparkSession, folder: str) -> DataFrame:
+def sales_order_detail(spark: SparkSession, folder: str, money: str = "decimal") -> DataFrame:
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
+    unit, total = ("decimal(18,8)", "decimal(18,4)") if money == "decimal" else ("double", "double")
     return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("SalesOrderID"),
         F.col("l_linenumber").alias("SalesOrderDetailID"),
         F.col("l_partkey").alias("ProductID"),
         quantity.cast("smallint").alias("OrderQty"),
-        F.try_divide(price, quantity).cast("decimal(18,8)").alias("UnitPrice"),
-        (price * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("LineTotal"),
+        F.try_divide(price, quantity).cast(unit).alias("UnitPrice"),
+        (price * (1 - F.col("l_discount"))).cast(total).alias("LineTotal"),
     )
 
 
