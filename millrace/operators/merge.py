@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.keys import first_per_key, latest_per_key
-from millrace.session import workspace
+from millrace.session import stored
 from millrace.sources.files import read_or_empty, replace_partitions
 
 __all__ = ["append_new", "replace_partitions", "unprocessed", "upsert"]
@@ -36,11 +36,13 @@ def append_new(
     """Append the rows whose key the table does not hold; one row per key survives.
 
     Repeating the call with the same batch changes nothing. ``partitions`` must
-    be part of the key: a key then lives in one partition only.
+    be part of the key: a key then lives in one partition only. The reduced
+    batch is stored first, because it is used twice (which partitions, which rows).
     """
     spark = batch.sparkSession
-    target = _touched(read_or_empty(spark, path, batch.schema), batch, partitions)
-    fresh = unprocessed(first_per_key(batch, keys, order), target, keys)
+    rows = stored(first_per_key(batch, keys, order), "batch")
+    target = _touched(read_or_empty(spark, path, batch.schema), rows, partitions)
+    fresh = unprocessed(rows, target, keys)
     fresh.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
@@ -53,21 +55,19 @@ def upsert(
 ) -> None:
     """Insert or replace by key; the highest version wins, the batch wins a tie.
 
-    ``partitions`` must follow from the key. The merged partitions are written to
-    a fresh folder first, because a plan cannot overwrite the files it reads.
-    With partitions Spark swaps them in when the second job commits, so a lost
-    executor only repeats tasks; a table without partitions is replaced as a
-    whole, and until that commits the staged folder holds the only full copy.
-    Running the same batch again gives the same table.
+    ``partitions`` must follow from the key. The merged partitions are stored
+    first, because a plan cannot overwrite the files it reads. With partitions
+    Spark swaps them in when the last job commits, so a lost executor only
+    repeats tasks; a table without partitions is replaced as a whole, and until
+    that commits the stored copy is the only full one. Running the same batch
+    again gives the same table.
     """
     spark: SparkSession = batch.sparkSession
-    old = _touched(read_or_empty(spark, path, batch.schema), batch, partitions)
-    both = old.withColumn("from_batch", F.lit(False)).unionByName(batch.withColumn("from_batch", F.lit(True)))
-    merged = latest_per_key(both, keys, [*version, "from_batch"]).drop("from_batch")
-    staged = workspace(spark, "upsert")
-    merged.write.parquet(staged)
-    result = spark.read.schema(batch.schema).parquet(staged)
+    rows = stored(latest_per_key(batch, keys, version), "batch") if partitions else batch
+    old = _touched(read_or_empty(spark, path, batch.schema), rows, partitions)
+    both = old.withColumn("from_batch", F.lit(False)).unionByName(rows.withColumn("from_batch", F.lit(True)))
+    merged = stored(latest_per_key(both, keys, [*version, "from_batch"]).drop("from_batch"), "merged")
     if partitions:
-        replace_partitions(result, path, *partitions)
+        replace_partitions(merged, path, *partitions)
     else:
-        result.write.mode("overwrite").parquet(path)
+        merged.write.mode("overwrite").parquet(path)

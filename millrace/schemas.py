@@ -3,11 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+_TYPES = {
+    "smallint": ShortType(),
+    "int": IntegerType(),
+    "bigint": LongType(),
+    "double": DoubleType(),
+    "string": StringType(),
+    "boolean": BooleanType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+    "timestamp_ntz": TimestampNTZType(),
+    "decimal(10,2)": DecimalType(10, 2),
+    "decimal(18,4)": DecimalType(18, 4),
+    "decimal(18,8)": DecimalType(18, 8),
+}
 
 
 def _schema(text: str) -> StructType:
-    return StructType.fromDDL(text)
+    """``name type, name type, ...``; unlike ``StructType.fromDDL`` it needs no running session."""
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in text.split(", "))])
 
 
 # -- sales sources -----------------------------------------------------------
@@ -45,7 +75,7 @@ FACT_SALES_PERFORMANCE = StructType(
 )
 
 # -- weather landing ---------------------------------------------------------
-LANDING_META = (
+LANDING_META = _schema(
     "location_key string, province string, island string, latitude double, longitude double, "
     "extracted_at string, run_date string, source string, api_url string, resolution string"
 )
@@ -73,10 +103,15 @@ HOURLY_FIELDS = {
     "cloud_cover": "cloudcover",
     "soil_moisture_0_to_1cm": "soil_moisture",
 }
-MANIFEST = _schema(
-    "run_date date, created_at timestamp, total_locations bigint, files_ingested bigint, part int, parts int, "
-    "locations array<struct<location_key:string,run_date:date,object_key:string,size_bytes:bigint,days_returned:bigint>>, "
-    "status string"
+MANIFEST = StructType(
+    [
+        *_schema("run_date date, created_at timestamp, total_locations bigint, files_ingested bigint, part int, parts int").fields,
+        StructField(
+            "locations",
+            ArrayType(_schema("location_key string, run_date date, object_key string, size_bytes bigint, days_returned bigint")),
+        ),
+        StructField("status", StringType()),
+    ]
 )
 
 # -- weather dimensions ------------------------------------------------------

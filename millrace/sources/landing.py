@@ -13,25 +13,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from millrace import schemas
 
 RESOLUTIONS = ("daily", "hourly")
 _FIELDS = {"daily": schemas.DAILY_FIELDS, "hourly": schemas.HOURLY_FIELDS}
-_TEXT_FIELDS = {"sunrise", "sunset"}
-_INT_FIELDS = {"weather_code"}
 _PATH = r"/(daily|hourly)/([^/]+)/(\d{4}-\d{2}-\d{2})\.json"
 
 
 def document_schema(resolution: str) -> StructType:
-    def element(name: str) -> str:
-        return "string" if name in _TEXT_FIELDS else "int" if name in _INT_FIELDS else "double"
-
-    arrays = ", ".join(f"{name}: array<{element(name)}>" for name in _FIELDS[resolution])
-    block = f"struct<time: array<string>, {arrays}>"
-    meta = schemas.LANDING_META.replace(" string", ": string").replace(" double", ": double")
-    return StructType.fromDDL(f"_meta struct<{meta}>, data struct<{resolution}: {block}>, {resolution} {block}")
+    bronze = schemas.BRONZE_WEATHER_DAILY if resolution == "daily" else schemas.BRONZE_WEATHER_HOURLY
+    arrays = [StructField(name, ArrayType(bronze[column].dataType)) for name, column in _FIELDS[resolution].items()]
+    block = StructField(resolution, StructType([StructField("time", ArrayType(StringType())), *arrays]))
+    return StructType([StructField("_meta", schemas.LANDING_META), StructField("data", StructType([block])), block])
 
 
 def _configured(reader, resolution: str, multi_line: bool):
