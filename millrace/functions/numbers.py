@@ -54,16 +54,16 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return round_half_away(F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double")), places)
 
 
-def decimal_ratio(part: Column, whole: Column, places: int, result: DecimalType, digits: int = 2) -> Column:
-    """part / whole of two decimals with at most ``digits`` decimals, rounded once, half away from zero.
+def decimal_ratio(part: Column, whole: Column, places: int, result: DecimalType) -> Column:
+    """part / whole of two decimals, rounded half away from zero; NULL where whole is zero.
 
-    Spark keeps only a few decimals of a decimal quotient, so a second rounding
-    can move a tie. Integer division on the scaled values rounds exactly.
+    Spark gives the quotient scale(part) + precision(whole) + 1 decimals while 38
+    digits hold it, which is fine enough that the first rounding cannot create a
+    tie for the second one. Callers cast their operands so that it does fit.
     """
-    integer = DecimalType(38, 0)
-    a = (part * F.lit(10**digits)).cast(integer)
-    b = F.nullif((whole * F.lit(10**digits)).cast(integer), F.lit(0).cast(integer))
-    doubled = (F.abs(a) * F.lit(2 * 10**places) + F.abs(b)).cast(integer)
-    steps = F.call_function("div", doubled, (F.abs(b) * F.lit(2)).cast(integer))
-    sign = F.when((a < 0) != (b < 0), F.lit(-1)).otherwise(F.lit(1))
-    return (steps.cast(DecimalType(20, 0)) * sign / F.lit(10**places).cast(DecimalType(10, 0))).cast(result)
+    return F.round(F.try_divide(part, whole), places).cast(result)
+
+
+def decimal_average(total: Column, count: Column, result: DecimalType) -> Column:
+    """Average from a sum of two-decimal values and its count (fewer than 10**13 rows)."""
+    return decimal_ratio(total.cast(DecimalType(24, 2)), count.cast(DecimalType(13, 0)), result.scale, result)

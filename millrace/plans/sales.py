@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from millrace.functions.numbers import decimal_ratio, exact_avg, exact_sum, round_half_away
+from millrace.functions.numbers import decimal_average, decimal_ratio, exact_avg, exact_sum, round_half_away
 
 COMPLETED = 5
 NOT_AVAILABLE = "N/A"
@@ -89,34 +89,21 @@ def sales_summary(
 
     Lines are summed per (product, territory) before the product attributes are
     joined, so neither the wide attributes nor single lines are shuffled to the
-    product join. ``ProductID`` is the key of products.
+    product join. ``ProductID`` is the key of products. ``extra`` holds named aggregates
+    of the order lines that are wanted as further columns.
     """
     keys = ["ProductID", "TerritoryID", "TerritoryName", "CountryRegionCode"]
-    grouped = orders.groupBy(*keys)
-    spread = F.col("ListPrice") - F.col("StandardCost")
     if money == "double":
-        sums = grouped.agg(
-            round_half_away(exact_sum(F.col("LineTotal"), 4), 2).alias("TotalRevenue"),
-            F.sum("OrderQty").alias("TotalQty"),
-            round_half_away(exact_avg(F.col("UnitPrice"), 8), 2).alias("AvgUnitPrice"),
-            *extra,
-        )
-        margin = round_half_away(spread, 2)
-        margin_pct = round_half_away(F.try_divide(spread, F.col("ListPrice")) * F.lit(100.0), 2)
+        revenue = round_half_away(exact_sum(F.col("LineTotal"), 4), 2)
+        price = round_half_away(exact_avg(F.col("UnitPrice"), 8), 2)
     else:
-        sums = grouped.agg(
-            _decimal(F.sum("LineTotal"), 15).alias("TotalRevenue"),
-            F.sum("OrderQty").alias("TotalQty"),
-            decimal_ratio(F.sum("UnitPrice"), F.count("UnitPrice").cast("decimal(20,0)"), 2, DecimalType(10, 2)).alias(
-                "AvgUnitPrice"
-            ),
-            *extra,
-        )
-        margin = _decimal(spread, 10)
-        margin_pct = decimal_ratio(spread * 100, F.col("ListPrice"), 2, DecimalType(6, 2))
-    base = [*keys, "TotalRevenue", "TotalQty", "AvgUnitPrice"]
-    added = [c for c in sums.columns if c not in base]
-    return sums.join(products, "ProductID").select(
+        revenue = _decimal(F.sum("LineTotal"), 15)
+        price = decimal_average(F.sum("UnitPrice"), F.count("UnitPrice"), DecimalType(10, 2))
+    sums = orders.groupBy(*keys).agg(
+        revenue.alias("TotalRevenue"), F.sum("OrderQty").alias("TotalQty"), price.alias("AvgUnitPrice"), *extra
+    )
+    added = sums.columns[len(keys) + 3 :]
+    return sums.join(_with_margin(products, money), "ProductID").select(
         "ProductID",
         "ProductName",
         "ProductNumber",
@@ -130,12 +117,24 @@ def sales_summary(
         "AvgUnitPrice",
         "ListPrice",
         "StandardCost",
-        margin.alias("Margin"),
-        margin_pct.alias("MarginPct"),
+        "Margin",
+        "MarginPct",
         *added,
     )
 
 
+def _with_margin(products: DataFrame, money: str) -> DataFrame:
+    """Margin and its percentage: a matter of the product alone, so it is not worked out per territory."""
+    spread = F.col("ListPrice") - F.col("StandardCost")
+    if money == "double":
+        margin = round_half_away(spread, 2)
+        margin_pct = round_half_away(F.try_divide(spread, F.col("ListPrice")) * F.lit(100.0), 2)
+    else:
+        margin = _decimal(spread, 10)
+        margin_pct = decimal_ratio(spread * 100, F.col("ListPrice"), 2, DecimalType(6, 2))
+    return products.withColumns({"Margin": margin, "MarginPct": margin_pct})
+
+
 def fact_sales_performance(summary: DataFrame, batch_date: str, load_time: Column | None = None) -> DataFrame:
     """The summary with its audit columns."""
     stamp = F.current_timestamp().cast("timestamp_ntz") if load_time is None else load_time
