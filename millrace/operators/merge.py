@@ -1,4 +1,4 @@
-"""Changes to Parquet tables: ignore-insert, upsert, partition replacement, incremental selection."""
+"""Changes to Parquet tables: ignore-insert, upsert, incremental selection."""
 
 from __future__ import annotations
 
@@ -11,8 +11,6 @@ from millrace.operators.keys import first_per_key, latest_per_key
 from millrace.session import stored
 from millrace.sources.files import read_or_empty, replace_partitions
 
-__all__ = ["append_new", "replace_partitions", "unprocessed", "upsert"]
-
 
 def _touched(target: DataFrame, batch: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Rows of the partitions the batch writes to; the others are pruned at run time."""

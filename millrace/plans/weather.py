@@ -16,7 +16,7 @@ from millrace.operators.keys import latest_per_key
 from millrace.operators.merge import append_new, upsert
 from millrace.operators.shares import at_latest
 from millrace.operators.streaks import dry_day_streaks
-from millrace.sources.files import replace_partitions
+from millrace.sources.files import replace_partition
 
 SOURCE_API = "open-meteo-via-minio-gold"
 
@@ -249,9 +249,9 @@ def store_bronze(batch: DataFrame, path: str, table: str) -> None:
     append_new(batch, path, schemas.TABLE_KEYS[table], ["run_date"], ["extracted_at"])
 
 
-def store_run(df: DataFrame, path: str) -> None:
-    """Replace the rows of the runs in df; repeating a run gives the same table."""
-    replace_partitions(df, path, "run_date")
+def store_run(df: DataFrame, path: str, run_date: str) -> None:
+    """Replace the rows of one run by those in df; repeating a run gives the same table."""
+    replace_partition(df, path, "run_date", run_date)
 
 
 def store_star_fact(facts: DataFrame, path: str) -> None:

@@ -228,7 +228,7 @@ def raw_roundtrip(spark, folder):
 @query
 def export_gold(spark, folder):
     path = workspace(spark, "gold")
-    files.replace_partitions(sales.fact_sales_performance(_summary(spark, folder), BATCH_DATE), path, "BatchDate")
+    files.replace_partition(sales.fact_sales_performance(_summary(spark, folder), BATCH_DATE), path, "BatchDate", BATCH_DATE)
     return spark.read.parquet(path).drop("LoadTimestamp")
 
 
@@ -455,8 +455,8 @@ def replace_partition(spark, folder):
     path = workspace(spark, "silver")
     early, late = (weather.silver_daily(b(spark, folder)) for b in (_early_bronze, _late_bronze))
     dry = early.where("precip_mm < 1")
-    for rows in (early, late, dry, dry):
-        weather.store_run(rows, path)
+    for rows, run in ((early, FIRST_RUN), (late, sample_tables.RUN_DATE), (dry, FIRST_RUN), (dry, FIRST_RUN)):
+        weather.store_run(rows, path, run)
     return spark.read.schema(schemas.SILVER_WEATHER_DAILY).parquet(path).select("location_key", "run_date", "obs_date", "precip_mm")
 
 

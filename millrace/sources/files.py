@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,13 +28,28 @@ def _overwrite(df: DataFrame, path: str, columns: Iterable[str]) -> None:
     )
 
 
+def replace_partition(df: DataFrame, path: str, column: str, value: str) -> None:
+    """Replace one date partition by the rows of df that belong to it, even if there are none.
+
+    The new files are moved in when the job commits. A dynamic overwrite leaves a
+    partition alone when no row falls into it; an observed count of zero
+    therefore empties the partition explicitly. No second pass is needed.
+    """
+    seen = Observation()
+    rows = df.where(F.col(column) == F.lit(value).cast("date"))
+    _overwrite(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path, [column])
+    if not seen.get.get("rows"):
+        empty = df.sparkSession.createDataFrame([], df.drop(column).schema)
+        empty.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+
+
 def write_partition(df: DataFrame, path: str, dt: str) -> None:
     """Store df as the ``dt`` partition, replacing that partition only; every scan task writes its own file."""
-    _overwrite(df.withColumn("dt", F.lit(dt).cast("date")), path, ["dt"])
+    replace_partition(df.withColumn("dt", F.lit(dt).cast("date")), path, "dt", dt)
 
 
 def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
-    """Dynamic overwrite: partitions present in df are replaced, others stay.
+    """Dynamic overwrite: the partitions present in df are replaced, others stay.
 
     The rebalance hint lets AQE cut a large partition into several files and
     join small ones, instead of sending a whole partition to one task.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators import keys, merge, quality, ranking, shares, streaks
+from millrace.sources import files
 
 
 # -- keys --------------------------------------------------------------------
@@ -85,12 +86,27 @@ def test_replacing_a_partition_twice_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, D1, 1, "a"), (2, D2, 1, "b")], SCHEMA)
     for _ in range(2):
-        merge.replace_partitions(rows, path, "day")
+        files.replace_partitions(rows, path, "day")
         assert len(table(spark, path)) == 2
-    merge.replace_partitions(rows.where("k = 1").withColumn("value", F.lit("z")), path, "day")
+    files.replace_partitions(rows.where("k = 1").withColumn("value", F.lit("z")), path, "day")
     assert table(spark, path) == [(1, D1, 1, "z"), (2, D2, 1, "b")]
 
 
+def test_a_partition_can_be_replaced_by_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, D1, 1, "a"), (2, D2, 1, "b")], SCHEMA)
+    for day in ("2026-01-01", "2026-01-02"):
+        files.replace_partition(rows, path, "day", day)
+    assert len(table(spark, path)) == 2
+    for empty in (rows.where("k > 5"), rows.limit(0), spark.createDataFrame([], SCHEMA), rows.groupBy("k", "day").agg(
+        F.max("version").alias("version"), F.max("value").alias("value")).where("version > 7")):
+        files.replace_partition(rows, path, "day", "2026-01-01")
+        files.replace_partition(empty, path, "day", "2026-01-01")
+        assert table(spark, path) == [(2, D2, 1, "b")]
+    files.replace_partition(rows, path, "day", "2026-01-01")
+    assert len(table(spark, path)) == 2
+
+
 # -- ranking -----------------------------------------------------------------
 def scores(spark, n=2000, seed=2):
     rng = random.Random(seed)
