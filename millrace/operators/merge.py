@@ -53,15 +53,16 @@ def upsert(
 ) -> None:
     """Insert or replace by key; the highest version wins, the batch wins a tie.
 
-    ``partitions`` must follow from the key. The merged partitions are stored
-    first, because a plan cannot overwrite the files it reads. With partitions
+    ``partitions`` must follow from the key. The batch is stored because it is
+    used twice (which partitions, which rows); the merged partitions are stored
+    because a plan cannot overwrite the files it reads. With partitions
     Spark swaps them in when the last job commits, so a lost executor only
     repeats tasks; a table without partitions is replaced as a whole, and until
     that commits the stored copy is the only full one. Running the same batch
     again gives the same table.
     """
     spark: SparkSession = batch.sparkSession
-    rows = stored(latest_per_key(batch, keys, version), "batch") if partitions else batch
+    rows = stored(batch, "batch") if partitions else batch
     old = _touched(read_or_empty(spark, path, batch.schema), rows, partitions)
     both = old.withColumn("from_batch", F.lit(False)).unionByName(rows.withColumn("from_batch", F.lit(True)))
     merged = stored(latest_per_key(both, keys, [*version, "from_batch"]).drop("from_batch"), "merged")

@@ -154,11 +154,17 @@ def missing_files(dim_location: DataFrame, found: DataFrame, first: str, last: s
     return missing.withColumn("object_key", name)
 
 
-def found_files(spark: SparkSession, base: str) -> DataFrame:
-    """(location_key, resolution, run_date) of every landing file, by a distributed listing without reading contents."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(base)
+def found_files(spark: SparkSession, base: str, run_date: str = "*") -> DataFrame:
+    """(location_key, resolution, run_date, size_bytes) of the landing files of a run, listed without reading them."""
+    try:
+        files = spark.read.format("binaryFile").load(f"{base.rstrip('/')}/{{{','.join(RESOLUTIONS)}}}/*/{run_date}.json")
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path string, length bigint")
     return files.select(
-        *[F.regexp_extract("path", _PATH, i).alias(n) for i, n in ((2, "location_key"), (1, "resolution"))],
+        F.regexp_extract("path", _PATH, 2).alias("location_key"),
+        F.regexp_extract("path", _PATH, 1).alias("resolution"),
         F.nullif(F.regexp_extract("path", _PATH, 3), F.lit("")).cast("date").alias("run_date"),
         F.col("length").alias("size_bytes"),
     ).where("run_date IS NOT NULL")
