@@ -123,6 +123,12 @@ def build_gold(house: Warehouse, run_date: str) -> None:
     weather.store_star_fact(weather.star_fact(gold, *dims), house.path("fact_weather_daily"))
 
 
+def create_dashboard_view(house: Warehouse, name: str = "gold_alert_dashboard") -> None:
+    """The dashboard as a view: it is computed from the stored gold table whenever it is queried."""
+    gold = house.read("gold_weather_daily")
+    weather.alert_dashboard(gold, seeds.dim_location(house.spark)).createOrReplaceTempView(name)
+
+
 def weather_run(
     spark: SparkSession,
     landing_base: str,
@@ -145,4 +151,5 @@ def weather_run(
     build_gold(house, run_date)
     gold = house.read("gold_weather_daily", run_date)
     quality.enforce(quality.run_checks(gold, quality.gold_checks(least_cities, el_nino_from)))
+    create_dashboard_view(house)
     return weather.daily_report(gold, seeds.dim_location(spark), run_date)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from millrace.sources import seeds
+
 
 def _r(value: str, places: int) -> str:
     return f"round({value}, {places})"
@@ -76,7 +78,6 @@ WHERE NOT online
 GROUP BY pid, pname, pnumber, category, subcategory, terr, tname, country, list_price, cost"""
 REVENUE = _sum('"TotalRevenue"', 2)
 SUMMARY_COLUMNS = "* EXCLUDE (newest)"
-ORDERS_COUNT = "(SELECT count(*) FROM header)"
 SIX_COUNTS = [
     ("sales_order_header", "(SELECT count(*) FROM orders JOIN customer ON c_custkey = o_custkey)", 5),
     ("sales_order_detail", "(SELECT count(*) FROM lineitem)", 6),
@@ -153,34 +154,22 @@ SALES_SQL = {
 }
 
 # -- weather -----------------------------------------------------------------
-_PLACES = [  # key, city, province, island, kind, zone, latitude, longitude, elevation
-    "jakarta|Jakarta|DKI Jakarta|Jawa|urban|Pesisir Utara Jawa|-6.2088|106.8456|8",
-    "surabaya|Surabaya|Jawa Timur|Jawa|urban|Pesisir Utara Jawa|-7.2575|112.7521|5",
-    "bandung|Bandung|Jawa Barat|Jawa|highland|Dataran Tinggi Jawa|-6.9175|107.6191|768",
-    "semarang|Semarang|Jawa Tengah|Jawa|coastal|Pesisir Utara Jawa|-6.9932|110.4203|5",
-    "yogyakarta|Yogyakarta|DI Yogyakarta|Jawa|urban|Lembah Jawa Selatan|-7.7956|110.3695|113",
-    "medan|Medan|Sumatera Utara|Sumatera|urban|Delta Sumatera|3.5952|98.6722|23",
-    "palembang|Palembang|Sumatera Selatan|Sumatera|peatland|Lahan Gambut Sumatera|-2.9761|104.7754|11",
-    "pekanbaru|Pekanbaru|Riau|Sumatera|peatland|Lahan Gambut Sumatera|0.5103|101.4478|30",
-    "palangkaraya|Palangkaraya|Kalimantan Tengah|Kalimantan|peatland|Lahan Gambut Kalimantan|-2.2136|113.9108|27",
-    "samarinda|Samarinda|Kalimantan Timur|Kalimantan|urban|Kalimantan Timur|-0.4948|117.1436|13",
-    "makassar|Makassar|Sulawesi Selatan|Sulawesi|coastal|Pesisir Sulawesi|-5.1477|119.4327|2",
-    "manado|Manado|Sulawesi Utara|Sulawesi|coastal|Sulawesi Utara|1.4748|124.8421|5",
-    "jayapura|Jayapura|Papua|Papua|coastal|Papua Utara|-2.5337|140.7181|15",
-    "kupang|Kupang|Nusa Tenggara Timur|NTT|coastal|NTT Kering|-10.1772|123.607|80",
-    "mataram|Mataram|Nusa Tenggara Barat|Lombok|urban|Lombok|-8.5833|116.1167|23",
-]
+def _literal(value) -> str:
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float):
+        return f"CAST({value} AS DOUBLE)"
+    return f"'{value}'" if isinstance(value, str) else str(value)
 
 
-def _place(number: int, line: str) -> str:
-    texts, numbers = line.split("|")[:6], line.split("|")[6:]
-    values = [str(number), *[f"'{t}'" for t in texts], *[f"CAST({n} AS DOUBLE)" for n in numbers]]
-    return f"({', '.join(values)})"
+def _values(rows: list[tuple]) -> str:
+    """Numbered rows of a seed list."""
+    return ", ".join(f"({', '.join(_literal(v) for v in (i, *row))})" for i, row in enumerate(rows, 1))
 
 
 LOCATION = f"""
 place AS (
-  SELECT * FROM (VALUES {", ".join(_place(i, p) for i, p in enumerate(_PLACES, 1))})
+  SELECT * FROM (VALUES {_values(seeds.LOCATIONS)})
   AS t(location_id, location_key, city_name, province, island, region_type, climate_zone, latitude, longitude, elevation_m))"""
 
 
@@ -293,23 +282,13 @@ dates AS (
   SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_id, full_date,
          CAST(extract(doy FROM full_date) AS INTEGER) AS day_of_year, {CALENDAR.format(d="full_date")}
   FROM (SELECT CAST(unnest(range(DATE '2024-01-01', DATE '2031-01-01', INTERVAL 1 DAY)) AS DATE) AS full_date))"""
-CONDITION = """
+CONDITION = f"""
 condition AS (
-  SELECT * FROM (VALUES
-    (1, 'CLEAR', 'Cerah', 'Tidak Hujan', false, false, 0.8), (2, 'PARTLY_CLOUDY', 'Cerah Berawan', 'Tidak Hujan', false, false, 0.9),
-    (3, 'CLOUDY', 'Berawan', 'Tidak Hujan', false, false, 1.0), (4, 'DRIZZLE', 'Gerimis', 'Ringan', false, false, 1.0),
-    (5, 'LIGHT_RAIN', 'Hujan Ringan', 'Ringan (<20mm)', false, false, 1.1),
-    (6, 'MODERATE_RAIN', 'Hujan Sedang', 'Sedang (20-50mm)', false, false, 1.2),
-    (7, 'HEAVY_RAIN', 'Hujan Lebat', 'Lebat (50-100mm)', false, false, 1.5),
-    (8, 'VERY_HEAVY', 'Hujan Sangat Lebat', 'Sangat Lebat (100-150mm)', true, false, 1.8),
-    (9, 'EXTREME_RAIN', 'Hujan Ekstrem', 'Ekstrem (>150mm)', true, true, 2.5),
-    (10, 'THUNDERSTORM', 'Hujan Badai', 'Ekstrem', true, true, 3.0), (11, 'FOG', 'Kabut', 'Tidak Hujan', false, false, 1.0),
-    (12, 'HAZE', 'Asap/Kabut Asap', 'Tidak Hujan', true, false, 1.5))
+  SELECT * FROM (VALUES {_values(seeds.CONDITIONS)})
   AS t(condition_id, condition_code, condition_label, precip_category, is_extreme, has_thunder, risk_multiplier))"""
-RISK = """
+RISK = f"""
 risk AS (
-  SELECT * FROM (VALUES (1, 'R_LOW', 'RENDAH', 10, 'Monitor rutin.', 'GREEN'), (2, 'R_MODERATE', 'SEDANG', 40, 'Siaga Level 2.', 'YELLOW'),
-    (3, 'R_HIGH', 'TINGGI', 70, 'Siaga Level 1.', 'ORANGE'), (4, 'R_EXTREME', 'EKSTREM', 95, 'TANGGAP DARURAT.', 'RED'))
+  SELECT * FROM (VALUES {_values(seeds.RISK_LEVELS)})
   AS t(risk_id, risk_code, risk_category, risk_score, mitigation_action, alert_color))"""
 FACT_SELECT = """
 SELECT location_id, date_id, condition_id, risk_id, temp_max_c, temp_min_c, temp_avg_c, precip_mm, windspeed_kmh, humidity_pct,
@@ -343,13 +322,6 @@ FOUND = """
 found AS (
   SELECT DISTINCT location_key, CASE event_type WHEN 'error' THEN 'daily' ELSE 'hourly' END AS resolution, CAST(ts AS DATE) AS day
   FROM events JOIN place ON location_id = user_id % 15 + 1 WHERE event_type IN ('error', 'signup'))"""
-DRY_RUNS = """
-joined AS (
-  SELECT location_key, obs_date, run_date, precip_mm,
-         count(*) FILTER (WHERE precip_mm >= 1) OVER (PARTITION BY location_key ORDER BY obs_date ROWS UNBOUNDED PRECEDING) AS wet
-  FROM silver)"""
-
-
 def _check(name: str, value: str, passed: str, source: str) -> str:
     return f"SELECT '{name}' AS \"check\", {value} {passed} AS passed, CAST({value} AS VARCHAR) AS detail FROM {source}"
 
@@ -362,7 +334,6 @@ def _duplicates(name: str, keys: str, source: str) -> str:
     return _check(name, "count(*)", "= 0", f"(SELECT 1 FROM {source} GROUP BY {keys} HAVING count(*) > 1)")
 
 
-_WET = "count(*) FILTER"
 WEATHER_SQL = {
     "dim_location": _with(LOCATION)
     + """SELECT place.*, 'Asia/Jakarta' AS timezone, true AS is_active, count(event_id) AS observations
@@ -371,7 +342,7 @@ WEATHER_SQL = {
     + """SELECT dates.* REPLACE (CAST(full_date AS VARCHAR) AS full_date), count(event_id) AS observations
     FROM dates LEFT JOIN events ON CAST(ts AS DATE) = dates.full_date GROUP BY ALL""",
     "dim_weather_condition": _with(LOCATION, BRONZE, SILVER, GOLD, CONDITION)
-    + """SELECT c.* REPLACE (CAST(risk_multiplier AS DOUBLE) AS risk_multiplier),
+    + """SELECT c.*,
     (SELECT count(*) FROM gold g WHERE g.condition_label = c.condition_code) AS days FROM condition c""",
     "dim_risk_level": _with(LOCATION, BRONZE, SILVER, GOLD, RISK)
     + """SELECT r.*, risk_category AS flood_risk, risk_category AS drought_risk, risk_category AS wildfire_risk,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators.quality import QualityError
-from millrace.plans import runs, weather
+from millrace.plans import packs, runs
 from millrace.sources import sample_tables, seeds
 from millrace.sources.landing import RESOLUTIONS
 
@@ -61,8 +61,8 @@ def test_weather_runs(spark, tmp_path):
     newest = {r.date_id: str(r.run_date) for r in fact.select("date_id", "run_date").distinct().collect()}
     assert newest == {int(d.replace("-", "")): "2026-04-08" if d in days[4:] else "2026-04-04" for d in days}
     assert house.read("gold_weather_daily").count() == 15 * 16
-    dashboard = weather.alert_dashboard(house.read("gold_weather_daily"), seeds.dim_location(spark))
-    assert {str(r.obs_date) for r in dashboard.collect()} == {"2026-04-12"}
+    dashboard = spark.table("gold_alert_dashboard").collect()
+    assert len(dashboard) == 15 and {str(r.obs_date) for r in dashboard} == {"2026-04-12"}
 
     # the older run again: no table changes, and the newer rows of the fact stay
     tables = [t for t in schemas.STORED_TABLES if "weather" in t and not t.startswith("dim")]
@@ -97,3 +97,21 @@ def test_sales_runs(spark, tmp_path):
     decimal = runs.sales_warehouse(spark, str(tmp_path), "2026-01-01", money="decimal", exclude_online=True)
     assert dict(decimal.dtypes)["MarginPct"] == "decimal(6,2)"
     assert decimal.count() > 0
+
+
+def test_every_report_of_the_packs(spark):
+    facts = {
+        "fact_sales_performance": runs.sales.build_fact(
+            {n: build(spark, FOLDER) for n, build in sample_tables.SALES_FRAMES.items()}, "2026-01-01"
+        ),
+        "fact_hr_workforce": sample_tables.fact_hr_workforce(spark, FOLDER),
+        "fact_vendor_performance": sample_tables.fact_vendor_performance(spark, FOLDER),
+        "stg_purchase_orders": sample_tables.stg_purchase_orders(spark, FOLDER),
+        "fact_customer_rfm": sample_tables.fact_customer_rfm(spark, FOLDER),
+    }
+    reports = packs.analytic_queries(facts)
+    assert len(reports) == 27
+    assert all(df.columns for df in reports.values())
+    assert reports["sales/by_territory"].count() == 25
+    only = packs.analytic_queries({"fact_hr_workforce": facts["fact_hr_workforce"]})
+    assert sorted(only) == sorted(n for n in reports if n.startswith("hr/"))
