@@ -77,11 +77,10 @@ def check_landing(spark: SparkSession, base: str, run_date: str, policy: str = "
     """Every location must have both files of the run."""
     found = landing.found_files(spark, base, run_date)
     missing = landing.missing_files(seeds.dim_location(spark), found, run_date, run_date)
-    absent = F.coalesce(F.concat_ws(", ", F.sort_array(F.collect_list("object_key"))), F.lit(""))
     # at most two files per location of the seed dimension
-    row = missing.agg(F.count("*").alias("n"), absent.alias("names")).first()
-    checks = spark.createDataFrame([("landing_files", row.n == 0, row.names)], "check string, passed boolean, detail string")
-    quality.enforce(checks, policy)
+    names = F.concat_ws(", ", F.sort_array(F.collect_list("object_key")))
+    result = missing.agg((F.count("*") == 0).alias("passed"), names.alias("detail"))
+    quality.enforce(result.select(F.lit("landing_files").alias("check"), "passed", "detail"), policy)
 
 
 def write_manifest(spark: SparkSession, base: str, run_date: str) -> None:

@@ -39,8 +39,7 @@ def replace_partition(df: DataFrame, path: str, column: str, value: str) -> None
     rows = df.where(F.col(column) == F.lit(value).cast("date"))
     _overwrite(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path, [column])
     if not seen.get.get("rows"):
-        empty = df.sparkSession.createDataFrame([], df.drop(column).schema)
-        empty.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+        empty_frame(df.sparkSession, df.drop(column).schema).write.mode("overwrite").parquet(f"{path}/{column}={value}")
 
 
 def write_partition(df: DataFrame, path: str, dt: str) -> None:
@@ -62,6 +61,11 @@ def read_partition(spark: SparkSession, path: str, dt: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("dt") == F.lit(dt).cast("date"))
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, as a plan the optimizer folds away (an empty Python list would start Python workers)."""
+    return spark.range(1).select(F.from_json(F.lit("{}"), schema).alias("row")).select("row.*").limit(0)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The dataset at ``path``, or an empty frame where nothing was written yet."""
     try:
@@ -69,7 +73,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     except AnalysisException as err:
         if err.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
 
 
 def register_bronze_views(spark: SparkSession, base: str, folders: Iterable[str], dt: str) -> list[str]:

@@ -13,9 +13,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from millrace import schemas
+from millrace.sources.files import empty_frame
 
 RESOLUTIONS = ("daily", "hourly")
 _FIELDS = {"daily": schemas.DAILY_FIELDS, "hourly": schemas.HOURLY_FIELDS}
@@ -54,8 +55,7 @@ def read_documents(spark: SparkSession, path: str | list[str], resolution: str,
     except AnalysisException as err:
         if err.getCondition() != "PATH_NOT_FOUND":
             raise
-        schema = document_schema(resolution).add("file_path", "string")
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, document_schema(resolution).add("file_path", StringType()))
 
 
 def stream_documents(reader: DataStreamReader, path: str, resolution: str, *, multi_line: bool = True) -> DataFrame:
@@ -161,7 +161,7 @@ def found_files(spark: SparkSession, base: str, run_date: str = "*") -> DataFram
     except AnalysisException as err:
         if err.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = spark.createDataFrame([], "path string, length bigint")
+        files = empty_frame(spark, StructType().add("path", StringType()).add("length", LongType()))
     return files.select(
         F.regexp_extract("path", _PATH, 2).alias("location_key"),
         F.regexp_extract("path", _PATH, 1).alias("resolution"),
