@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.keys import first_per_key, latest_per_key
-from millrace.session import stored
+from millrace.session import scratch, stored
 from millrace.sources.files import read_or_empty, replace_partitions
 
 
@@ -38,10 +38,11 @@ def append_new(
     batch is stored first, because it is used twice (which partitions, which rows).
     """
     spark = batch.sparkSession
-    rows = stored(first_per_key(batch, keys, order), "batch")
-    target = _touched(read_or_empty(spark, path, batch.schema), rows, partitions)
-    fresh = unprocessed(rows, target, keys)
-    fresh.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
+    with scratch(spark, "append") as folder:
+        rows = stored(first_per_key(batch, keys, order), f"{folder}/batch")
+        target = _touched(read_or_empty(spark, path, batch.schema), rows, partitions)
+        fresh = unprocessed(rows, target, keys)
+        fresh.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
 def upsert(
@@ -62,11 +63,13 @@ def upsert(
     again gives the same table.
     """
     spark: SparkSession = batch.sparkSession
-    rows = stored(batch, "batch") if partitions else batch
-    old = _touched(read_or_empty(spark, path, batch.schema), rows, partitions)
-    both = old.withColumn("from_batch", F.lit(False)).unionByName(rows.withColumn("from_batch", F.lit(True)))
-    merged = stored(latest_per_key(both, keys, [*version, "from_batch"]).drop("from_batch"), "merged")
-    if partitions:
-        replace_partitions(merged, path, *partitions)
-    else:
-        merged.write.mode("overwrite").parquet(path)
+    with scratch(spark, "upsert") as folder:
+        rows = stored(batch, f"{folder}/batch") if partitions else batch
+        old = _touched(read_or_empty(spark, path, batch.schema), rows, partitions)
+        both = old.withColumn("from_batch", F.lit(False)).unionByName(rows.withColumn("from_batch", F.lit(True)))
+        newest = latest_per_key(both, keys, [*version, "from_batch"]).drop("from_batch")
+        merged = stored(newest, f"{folder}/merged")
+        if partitions:
+            replace_partitions(merged, path, *partitions)
+        else:
+            merged.write.mode("overwrite").parquet(path)

@@ -358,12 +358,12 @@ def gold_island_ranking(spark, folder):
 
 @query
 def gold_alert_dashboard(spark, folder):
-    return weather.alert_dashboard(stored(_gold(spark, folder), "gold"), seeds.dim_location(spark))
+    return weather.alert_dashboard(stored(_gold(spark, folder), workspace(spark, "gold")), seeds.dim_location(spark))
 
 
 @query
 def gold_daily_report(spark, folder):
-    return weather.daily_report(stored(_gold(spark, folder), "gold"), seeds.dim_location(spark), sample_tables.RUN_DATE)
+    return weather.daily_report(stored(_gold(spark, folder), workspace(spark, "gold")), seeds.dim_location(spark), sample_tables.RUN_DATE)
 
 
 @query
@@ -524,7 +524,7 @@ def hr_long_tenure_low_pay(spark, folder):
 # -- vendors -----------------------------------------------------------------
 @query
 def vendor_ranking(spark, folder):
-    return vendor_reports.ranking(stored(sample_tables.fact_vendor_performance(spark, folder), "vendors"))
+    return vendor_reports.ranking(stored(sample_tables.fact_vendor_performance(spark, folder), workspace(spark, "vendors")))
 
 
 @query
@@ -572,7 +572,7 @@ def rfm_territory_profile(spark, folder):
 
 @query
 def rfm_winback(spark, folder):
-    return rfm_reports.win_back(stored(sample_tables.fact_customer_rfm(spark, folder), "customers"))
+    return rfm_reports.win_back(stored(sample_tables.fact_customer_rfm(spark, folder), workspace(spark, "customers")))
 
 
 @query

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,12 +74,23 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write df below the shared folder and read it back.
+@contextlib.contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A fresh shared folder, removed when the block succeeds.
+
+    After a failure it stays, because it may hold the only full copy of a table.
+    """
+    folder = workspace(spark, label)
+    yield folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write df to a fresh path and read it back.
 
     For a result that a plan uses twice: the long lineage runs once, and a lost
     executor repeats the read of a small table instead of the whole pipeline.
     """
-    path = workspace(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,9 +1,10 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 
-from millrace.session import shared_base, sizing, workspace
+from millrace.session import scratch, shared_base, sizing, stored, workspace
 from millrace.sources import files, sqlfile
 from millrace.sources.jdbc import SALES_TABLES, TableSpec, drop_time_zone, jdbc_options, split_options
 
@@ -83,6 +84,16 @@ def test_shared_folder(spark):
     assert one != two and one.startswith(base + "/x-")
 
 
+def test_scratch_goes_after_success_only(spark):
+    with scratch(spark, "s") as folder:
+        assert stored(spark.range(3), f"{folder}/x").count() == 3
+    assert not Path(folder).exists()
+    with pytest.raises(RuntimeError), scratch(spark, "s") as folder:
+        stored(spark.range(3), f"{folder}/x")
+        raise RuntimeError
+    assert Path(folder).exists()
+
+
 def test_sizing():
     small, large = sizing(1 << 30, 8), sizing(100 << 40, 4000)
     assert int(small["spark.sql.shuffle.partitions"]) == 8
