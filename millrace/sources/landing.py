@@ -71,7 +71,8 @@ def parse_documents(documents: DataFrame, resolution: str) -> DataFrame:
     """Documents to bronze rows: one row per entry of ``time``.
 
     Other arrays may be shorter, missing or not a list; those cells are NULL.
-    Entries past the end of ``time`` are ignored.
+    Entries past the end of ``time`` are ignored, and of a time that a document
+    repeats the first entry counts.
     """
     block = F.when(F.col("data").isNotNull(), F.col(f"data.{resolution}")).otherwise(F.col(resolution))
     located = documents.select(
@@ -84,7 +85,7 @@ def parse_documents(documents: DataFrame, resolution: str) -> DataFrame:
     )
     rows = located.select(
         "location_key", "run_date", "extracted_at", "block", F.posexplode("block.time").alias("i", "time")
-    )
+    ).where("time IS NULL OR array_position(block.time, time) = i + 1")
     daily = resolution == "daily"
     moment = ("obs_date", "date") if daily else ("hour_timestamp", "timestamp_ntz")
     values = [F.get(F.col(f"block.{name}"), F.col("i")).alias(column) for name, column in _FIELDS[resolution].items()]

@@ -69,6 +69,13 @@ def test_short_null_missing_and_scalar_arrays(spark, tmp_path):
     assert rows[0].humidity_max is not None
 
 
+def test_first_entry_of_a_repeated_time_counts(spark, tmp_path):
+    block = daily(time=["2026-04-02", "2026-04-01", "2026-04-02"], temperature_2m_max=[31.0, 30.0, 29.0])
+    write(tmp_path, "daily", "medan", {"_meta": meta("medan"), "data": {"daily": block}})
+    rows = bronze(spark, tmp_path).orderBy("obs_date").collect()
+    assert [(r.obs_date.day, r.temp_max) for r in rows] == [(1, 30.0), (2, 31.0)]
+
+
 def test_document_without_envelope(spark, tmp_path):
     write(tmp_path, "daily", "manado", {"daily": daily()})
     rows = bronze(spark, tmp_path).collect()
