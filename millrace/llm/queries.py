@@ -6,22 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, simhash
+from millrace.llm import hmm, packing, pii, simhash, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op3_hmm(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.score(table(spark, folder, "documents"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
+    "op3_hmm": op3_hmm,
     "op5_simhash": op5_simhash,
+    "op8_pii": op8_pii,
 }
 SQL: dict[str, str] = {}
