@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import hmm, packing, pii, simhash, toxicity
+from millrace.llm import hmm, nndescent, packing, pii, simhash, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_nndescent(spark: SparkSession, folder: str) -> DataFrame:
+    return nndescent.neighbours(table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
@@ -37,6 +42,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_hmm": op3_hmm,
     "op5_simhash": op5_simhash,
+    "op6_nndescent": op6_nndescent,
     "op8_pii": op8_pii,
 }
 SQL: dict[str, str] = {}
