@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hmm, nndescent, packing, pii, simhash, toxicity
+from millrace.llm import decontamination, hmm, nndescent, packing, pii, resampling, secrets, simhash, token_scan, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_hmm(spark: SparkSession, folder: str) -> DataFrame:
     return hmm.score(table(spark, folder, "documents"))
 
 
+def op4_token_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return token_scan.count_tokens(table(spark, folder, "documents"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -33,16 +37,32 @@ def op6_nndescent(spark: SparkSession, folder: str) -> DataFrame:
     return nndescent.neighbours(table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0)
 
 
+def op7_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_hmm": op3_hmm,
+    "op4_token_scan": op4_token_scan,
     "op5_simhash": op5_simhash,
     "op6_nndescent": op6_nndescent,
+    "op7_resampling": op7_resampling,
     "op8_pii": op8_pii,
+    "op9_decontamination": op9_decontamination,
+    "op10_secrets": op10_secrets,
 }
 SQL: dict[str, str] = {}
