@@ -2,8 +2,9 @@
 
 Texts are lower-cased (A-Z), cut at ASCII white space and closed by one end token.
 The scan turns them into blocks: a dictionary of the block's words and the texts as
-positions in it. Counts of all training words are grouped once; each block gets the
-counts of its own words back by a join. So no task ever holds the whole vocabulary.
+positions in it. Dictionaries are dealt out by a hash of the word, counts of all training
+words are added up, and each block gets those of its own words back. So no task ever
+holds the whole vocabulary, and a word travels once per block, not once per document.
 
 The model draws a latent state per token, from the state a class of words, and from
 the class a word by its count: P(w | k) = P(class | k) (c(w) - d) / N(class). Frequent
@@ -21,6 +22,7 @@ are 0; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -33,19 +35,21 @@ from pyspark.sql import functions as F
 from millrace.llm.common import fold_zero, keep, words_of
 
 BLOCK_TOKENS = 1_500_000  # tokens of a block, unless one text is longer
+BATCH_TOKENS = 500_000  # tokens that run through the recursions together
 FREQUENT = 20  # occurrences from which a word is classed by itself
 ENDING = 3  # last letters that class a rarer word
 WORD_CLASSES, ENDING_CLASSES = 1 << 15, 1 << 13
 ANCHORS = 128  # most frequent words, whose common documents give the first states
 PRIOR = 200.0  # tokens by which each state is drawn to the corpus average
-END = ""  # cannot be a word
+END = "\n"  # cannot be a word
+PART_WORDS = 400_000  # dictionary entries added up in one call, on average
 
 BLOCK = "block long, ids array<string>, held array<boolean>, lengths array<int>, codes binary, words array<string>, counts array<long>"
 
 
 def _blocks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     base, number = TaskContext.get().partitionId() << 32, 0
-    book: dict[bytes, int] = {b"": 0}
+    book: dict[bytes, int] = {END.encode(): 0}
     codes, ids, held, lengths, tokens = [], [], [], [], 0
 
     def row() -> pd.DataFrame:
@@ -58,10 +62,10 @@ def _blocks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for doc_id, text, out in zip(batch["doc_id"], batch["text"], batch["held_out"], strict=True):
             words = words_of(text)
-            words.append(b"")
+            words.append(END.encode())
             if tokens and tokens + len(words) > BLOCK_TOKENS:
                 yield row()
-                number, book, tokens = number + 1, {b"": 0}, 0
+                number, book, tokens = number + 1, {END.encode(): 0}, 0
                 codes, ids, held, lengths = [], [], [], []
             codes.append(np.fromiter((book.setdefault(w, len(book)) for w in words), dtype=np.int32, count=len(words)))
             ids.append(doc_id)
@@ -74,10 +78,10 @@ def _blocks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @dataclass
 class Corpus:
-    """Blocks with the counts (-1: not in training) and classes of their words, and the totals of the vocabulary."""
+    """Blocks with the counts (0: not in training) and classes (-1 then) of their words, and totals of the vocabulary."""
 
     blocks: DataFrame
-    vocabulary: DataFrame
+    anchors: list[tuple[str, int]]  # the most frequent words and their classes
     tokens: int
     words: int
     discount: float
@@ -85,6 +89,64 @@ class Corpus:
     class_words: np.ndarray
 
 
+REQUEST = "part int, block long, at binary, words string, counts binary"
+ANSWER = (
+    "part int, block long, at binary, c binary, class binary,"
+    " stats array<struct<class: int, c: long, v: long, n1: long, n2: long>>, top array<struct<c: long, word: string, class: int>>"
+)
+
+
+def _requests(parts: int):
+    """Each block's dictionary, dealt out by a hash of the word: a row per block and part, not per word."""
+
+    def run(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            for r in pdf.itertuples(index=False):
+                words = np.asarray(r.words, dtype=object)
+                counts = np.asarray(r.counts)
+                part = np.fromiter((zlib.crc32(w.encode()) % parts for w in words), dtype=np.int64, count=len(words))
+                order = np.argsort(part, kind="stable")
+                cuts = np.searchsorted(part[order], np.arange(parts + 1))
+                rows = []
+                for p in range(parts):
+                    at = order[cuts[p] : cuts[p + 1]]
+                    if len(at):
+                        rows.append((p, r.block, at.astype("<i4").tobytes(), " ".join(words[at]), counts[at].astype("<i4").tobytes()))
+                yield pd.DataFrame(rows, columns=["part", "block", "at", "words", "counts"])
+
+    return run
+
+
+def class_of(word: str, count: int) -> int:
+    if count >= FREQUENT:
+        return zlib.crc32(word.encode()) // 7 % WORD_CLASSES
+    return WORD_CLASSES + zlib.crc32(word[-ENDING:].encode()) % ENDING_CLASSES
+
+
+def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Adds up the counts of one part's words over all blocks, and tells each block those of its own."""
+    lists = [w.split(" ") for w in pdf["words"]]
+    sizes = [len(x) for x in lists]
+    number, unique = pd.factorize(np.array([w for x in lists for w in x], dtype=object))
+    counts = np.concatenate([np.frombuffer(x, dtype="<i4") for x in pdf["counts"]])
+    c = np.bincount(number, weights=counts, minlength=len(unique)).astype(np.int64)
+    cls = np.fromiter((class_of(w, n) if n else -1 for w, n in zip(unique, c, strict=True)), dtype=np.int32, count=len(unique))
+    rows, at, part = [], 0, int(pdf["part"].iloc[0])
+    for r, n in zip(pdf.itertuples(index=False), sizes, strict=True):
+        mine = number[at : at + n]
+        rows.append((part, r.block, r.at, c[mine].astype("<i8").tobytes(), cls[mine].astype("<i4").tobytes(), None, None))
+        at += n
+    known = np.flatnonzero(c)
+    names, inverse = np.unique(cls[known], return_inverse=True)
+    sums = [np.bincount(inverse, weights=w, minlength=len(names)).astype(np.int64) for w in (c[known], c[known] > 0, c[known] == 1, c[known] == 2)]
+    stats = [{"class": int(names[i])} | {k: int(s[i]) for k, s in zip(("c", "v", "n1", "n2"), sums, strict=True)} for i in range(len(names))]
+    best = sorted(((int(c[i]), unique[i], int(cls[i])) for i in known[np.argsort(-c[known], kind="stable")[: 2 * ANCHORS]]), key=lambda x: (-x[0], x[1]))
+    top = [{"c": n, "word": w, "class": k} for n, w, k in best[: ANCHORS + 1]]
+    rows.append((part, None, None, None, None, stats, top))
+    out = pd.DataFrame(rows, columns=["part", "block", "at", "c", "class", "stats", "top"])
+    return out.astype({"block": "Int64"})
+
+
 def corpus(docs: DataFrame, folds: int = 10) -> Corpus:
     picked = docs.select(
         F.col("doc_id").cast("string").alias("doc_id"),
@@ -92,33 +154,22 @@ def corpus(docs: DataFrame, folds: int = 10) -> Corpus:
         fold_zero(F.col("doc_id"), folds).alias("held_out"),
     )
     blocks = keep(picked.mapInPandas(_blocks, BLOCK), "hmm-blocks")
-    entries = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "entry"))
-    entries = entries.select("block", "at", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n"))
-    counted = entries.where("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
-    own = F.pmod(F.xxhash64("word"), F.lit(WORD_CLASSES))
-    ending = F.pmod(F.xxhash64(F.substring("word", -ENDING, ENDING)), F.lit(ENDING_CLASSES)) + WORD_CLASSES
-    vocabulary = keep(counted.withColumn("class", F.when(F.col("c") >= FREQUENT, own).otherwise(ending).cast("int")), "hmm-words")
+    entries = blocks.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+    asked = blocks.select("block", "words", "counts").mapInPandas(_requests(max(1, -(-entries // PART_WORDS))), REQUEST)
+    answers = keep(asked.groupBy("part").applyInPandas(_answer, ANSWER), "hmm-answers")
     # one row per class: at most WORD_CLASSES + ENDING_CLASSES
-    sums = vocabulary.groupBy("class").agg(
-        F.sum("c").alias("c"),
-        F.count("*").alias("v"),
-        F.count(F.when(F.col("c") == 1, 1)).alias("n1"),
-        F.count(F.when(F.col("c") == 2, 1)).alias("n2"),
-    ).collect()
+    sums = answers.select(F.inline("stats")).groupBy("class").agg(*[F.sum(x).alias(x) for x in ("c", "v", "n1", "n2")]).collect()
     class_tokens, class_words = np.zeros(WORD_CLASSES + ENDING_CLASSES), np.zeros(WORD_CLASSES + ENDING_CLASSES)
     for r in sums:
         class_tokens[r["class"]], class_words[r["class"]] = r.c, r.v
     once, twice = sum(r.n1 for r in sums), sum(r.n2 for r in sums)
     discount = min(max(once / max(once + 2 * twice, 1), 0.05), 0.95)
-    # every word of a block gets its count and class; a block's list is no longer than the block
-    known = entries.select("block", "at", "word").join(vocabulary, "word", "left")
-    known = known.select("block", F.struct("at", F.coalesce("c", F.lit(-1)).alias("c"), F.coalesce("class", F.lit(-1)).alias("class")).alias("w"))
-    lists = known.groupBy("block").agg(F.sort_array(F.collect_list("w")).alias("w"))
-    lists = lists.select("block", F.col("w.c").alias("c"), F.col("w.class").alias("class"))
-    coded = blocks.select("block", "ids", "held", "lengths", "codes").join(lists, "block")
-    return Corpus(
-        keep(coded, "hmm-coded"), vocabulary, int(class_tokens.sum()), int(class_words.sum()), discount, class_tokens, class_words
-    )
+    top = answers.select(F.inline("top")).where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(ANCHORS).collect()
+    # a block's answers are no longer than the block
+    lists = answers.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("at", "c", "class")).alias("answers"))
+    coded = blocks.select("block", "ids", "held", "lengths", "codes", F.size("words").alias("n")).join(lists, "block")
+    anchors = [(r.word, r["class"]) for r in top]
+    return Corpus(keep(coded, "hmm-coded"), anchors, int(class_tokens.sum()), int(class_words.sum()), discount, class_tokens, class_words)
 
 
 @dataclass
@@ -143,54 +194,85 @@ def emissions(per_class: np.ndarray, stats: Corpus) -> np.ndarray:
     return np.vstack([share, gone @ share])
 
 
-def batches_of(lengths: np.ndarray, at_most: int = 400_000, docs: int = 1024) -> Iterator[np.ndarray]:
-    """Positions of texts, longest first, in batches of similar lengths."""
-    order, i = np.argsort(-lengths, kind="stable"), 0
-    while i < len(order):
-        n = int(min(docs, max(1, at_most // max(lengths[order[i]], 1))))
-        yield order[i : i + n]
-        i += n
-
+def batches_of(lengths: np.ndarray, at_most: int = BATCH_TOKENS) -> Iterator[np.ndarray]:
+    """Positions of texts, longest first, in batches of at most so many tokens (or of one text)."""
+    order = np.argsort(-lengths, kind="stable")
+    batch = (np.cumsum(lengths[order]) - 1) // at_most
+    cuts = [0, *(np.flatnonzero(batch[1:] != batch[:-1]) + 1), len(order)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield order[a:b]
 
-def forward(model: Model, emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, stored: bool):
-    """Scaled forward recursion over texts given longest first; `emit` has a row per token of the block.
 
-    Returns log10 likelihoods and, if stored, the scaled states and scales by time step.
+@dataclass
+class Layout:
+    """Tokens of a batch by time step: step t takes rows first[t] to first[t] + active[t], texts in the same order."""
+
+    place: np.ndarray  # of the row's token in the block
+    text: np.ndarray  # of the row
+    first: list[int]
+    active: list[int]
+
+    @classmethod
+    def of(cls, starts: np.ndarray, lengths: np.ndarray) -> Layout:
+        """`lengths` must not rise."""
+        active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
+        first = np.cumsum(active) - active
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        row = first[step] + text
+        place, owner = np.empty_like(row), np.empty_like(row)
+        place[row], owner[row] = starts[text] + step, text
+        return cls(place, owner, first.tolist(), active.tolist())
+
+
+def forward(model: Model, emit: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled forward recursion over the rows of a layout: state probabilities so far, and scales.
+
+    The product of a text's scales is its likelihood.
     """
-    active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # texts with more than t tokens
-    log = np.zeros(len(lengths))
-    alphas, scales = [], []
-    alpha = None
-    for t in range(lengths[0]):
-        n = active[t]
-        alpha = (np.broadcast_to(model.start, (n, len(model.start))) if t == 0 else alpha[:n] @ model.move) * emit[starts[:n] + t]
-        scale = alpha.sum(axis=1)
-        alpha = alpha / scale[:, None]
-        log[:n] += np.log10(scale)
-        if stored:
-            alphas.append(alpha)
-            scales.append(scale)
-    return log, alphas, scales
-
-
-def expected(model: Model, emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
-    """Expected first states, moves, and the states' probabilities of every token (positions, gammas)."""
-    log, alphas, scales = forward(model, emit, starts, lengths, stored=True)
-    k = len(model.start)
-    moves, places, gammas = np.zeros((k, k)), [], []
-    beta = np.ones((len(alphas[-1]), k))
-    for t in range(len(alphas) - 1, -1, -1):
-        n = len(alphas[t])
-        if len(beta) < n:  # texts that end here
-            beta = np.vstack([beta, np.ones((n - len(beta), k))])
-        gamma = alphas[t] * beta
-        places.append(starts[:n] + t)
-        gammas.append(gamma)
+    alpha, scale = np.empty_like(emit), np.empty(len(emit))
+    ones, move, before = np.ones(emit.shape[1]), model.move, 0
+    for t, (a, n) in enumerate(zip(layout.first, layout.active, strict=True)):
+        now, sums = alpha[a : a + n], scale[a : a + n]
         if t:
-            ahead = emit[starts[:n] + t] * beta / scales[t][:, None]
-            moves += alphas[t - 1][:n].T @ ahead
-            beta = ahead @ model.move.T
-    return gammas[-1].sum(axis=0), moves * model.move, np.concatenate(places), np.concatenate(gammas), log.sum()
+            np.matmul(alpha[before : before + n], move, out=now)
+            now *= emit[a : a + n]
+        else:
+            np.multiply(emit[:n], model.start, out=now)
+        np.matmul(now, ones, out=sums)
+        now /= sums[:, None]
+        before = a
+    return alpha, scale
+
+
+def log_likelihood(model: Model, cls: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """log10 of each text's probability; `lengths` must not rise."""
+    layout = Layout.of(starts, lengths)
+    _, scale = forward(model, model.emit[cls[layout.place]], layout)
+    return np.bincount(layout.text, weights=np.log10(scale), minlength=len(lengths))
+
+
+def expected(model: Model, cls: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    """Expected first states and moves, each row's token and state probabilities, and the log10 likelihood."""
+    layout = Layout.of(starts, lengths)
+    emit = model.emit[cls[layout.place]]
+    alpha, scale = forward(model, emit, layout)
+    beta, back = np.ones_like(alpha), np.ascontiguousarray(model.move.T)
+    steps = list(zip(layout.first, layout.active, strict=True))
+    for (p, _), (a, n) in zip(steps[-2::-1], steps[:0:-1], strict=True):
+        emit[a : a + n] *= beta[a : a + n]  # what follows, seen from the state before
+        earlier = beta[p : p + n]
+        np.matmul(emit[a : a + n], back, out=earlier)
+        earlier /= scale[a : a + n, None]
+    n = layout.active[0]
+    later = np.arange(n, len(emit))
+    step = np.repeat(np.arange(len(steps)), layout.active)[n:]
+    prior = alpha[np.asarray(layout.first)[step - 1] + layout.text[later]]
+    moves = (prior / scale[later, None]).T @ emit[later] * model.move
+    alpha *= beta
+    alpha /= alpha.sum(axis=1, keepdims=True)
+    return alpha[:n].sum(axis=0), moves, layout.place, alpha, np.log10(scale).sum()
 
 
 def _parts(pdf: pd.DataFrame) -> Iterator[tuple]:
@@ -198,12 +280,11 @@ def _parts(pdf: pd.DataFrame) -> Iterator[tuple]:
     for r in pdf.itertuples(index=False):
         codes = np.frombuffer(r.codes, dtype="<i4")
         lengths = np.asarray(r.lengths, dtype=np.int64)
-        starts = np.cumsum(lengths) - lengths
-        yield r.ids, np.asarray(r.held, dtype=bool), lengths, starts, np.asarray(r.c)[codes], np.asarray(r.cls)[codes]
-
-
-def _read(blocks: DataFrame) -> DataFrame:
-    return blocks.select("ids", "held", "lengths", "codes", "c", F.col("class").alias("cls"))
+        c, cls = np.zeros(r.n, dtype=np.int64), np.full(r.n, -1, dtype=np.int32)
+        for x in r.answers:
+            at = np.frombuffer(x["at"], dtype="<i4")
+            c[at], cls[at] = np.frombuffer(x["c"], dtype="<i8"), np.frombuffer(x["class"], dtype="<i4")
+        yield r.ids, np.asarray(r.held, dtype=bool), lengths, np.cumsum(lengths) - lengths, c[codes], cls[codes]
 
 
 def baum_welch_round(stats: Corpus, model: Model) -> tuple[Model, float]:
@@ -219,7 +300,7 @@ def baum_welch_round(stats: Corpus, model: Model) -> tuple[Model, float]:
                 train = np.flatnonzero(~held)
                 for batch in batches_of(lengths[train]):
                     chosen = train[batch]
-                    one, many, places, gammas, value = expected(m, m.emit[cls], starts[chosen], lengths[chosen])
+                    one, many, places, gammas, value = expected(m, cls, starts[chosen], lengths[chosen])
                     first, moves, log = first + one, moves + many, log + value
                     at = cls[places]
                     for s in range(k):
@@ -230,7 +311,7 @@ def baum_welch_round(stats: Corpus, model: Model) -> tuple[Model, float]:
         yield pd.DataFrame({"class": names} | {f"s{s}": rows[:, s] for s in range(k)})
 
     columns = [f"s{s}" for s in range(k)]
-    parts = _read(stats.blocks).mapInPandas(run, "class int, " + ", ".join(f"{c} double" for c in columns))
+    parts = stats.blocks.mapInPandas(run, "class int, " + ", ".join(f"{c} double" for c in columns))
     sums = parts.groupBy("class").agg(*[F.sum(c).alias(c) for c in columns]).collect()  # a row per class
     shared.unpersist()
     per_class, moves, first, log = np.zeros((classes, k)), np.zeros((k, k)), np.zeros(k), 0.0
@@ -255,11 +336,10 @@ def first_states(stats: Corpus, k: int) -> Model:
     One pass over all documents gives a matrix of ANCHORS x ANCHORS; its leading
     eigenvectors put words of like company together, and each group of words marks a state.
     """
-    top = stats.vocabulary.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(ANCHORS).collect()
-    classes = len(stats.class_tokens)
+    top, classes = stats.anchors, len(stats.class_tokens)
     number = np.full(classes + 1, -1)
-    for i, r in enumerate(top):
-        number[r["class"]] = i
+    for i, (_, place) in enumerate(top):
+        number[place] = i
     m = max(len(top), 1)
     shared = stats.blocks.sparkSession.sparkContext.broadcast(number)
 
@@ -276,7 +356,7 @@ def first_states(stats: Corpus, k: int) -> Model:
         i, j = np.nonzero(together)
         yield pd.DataFrame({"i": i, "j": j, "n": together[i, j]})
 
-    parts = _read(stats.blocks).mapInPandas(run, "i int, j int, n double")
+    parts = stats.blocks.mapInPandas(run, "i int, j int, n double")
     together = np.zeros((m, m))
     for r in parts.groupBy("i", "j").agg(F.sum("n").alias("n")).collect():  # at most ANCHORS squared
         together[r.i, r.j] = r.n
@@ -293,8 +373,8 @@ def first_states(stats: Corpus, k: int) -> Model:
         centres = np.stack([points[group == g].sum(axis=0) if (group == g).any() else c for g, c in enumerate(centres)])
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
     boost = np.ones((classes, k))
-    for i, r in enumerate(top):
-        boost[r["class"]] = np.where(np.arange(k) == group[i], 4.0, 0.25)
+    for i, (_, place) in enumerate(top):
+        boost[place] = np.where(np.arange(k) == group[i], 4.0, 0.25)
     move = np.full((k, k), 0.1 / k) + 0.9 * np.eye(k)
     return Model(np.full(k, 1 / k), move, emissions(stats.class_tokens[:, None] * boost, stats))
 
@@ -321,15 +401,14 @@ def score(docs: DataFrame, states: int = 8, rounds: int = 4, folds: int = 10) ->
         for pdf in pdfs:
             for ids, held, lengths, starts, c, cls in _parts(pdf):
                 known = c > 0
-                base = np.log10((np.maximum(c, 0) + 0.1) / (n + 0.1 * (v + 1)))
+                base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
                 total = np.zeros(len(lengths))
                 if m:
                     # an unknown word is the last row of `emit` (class -1), with no further share
                     share = np.where(known, np.log10(np.maximum(c - d, 1e-300) / class_tokens[cls]), 0.0)
                     total = np.add.reduceat(share, starts)
-                    emit = m.emit[cls]
                     for batch in batches_of(lengths):
-                        total[batch] += forward(m, emit, starts[batch], lengths[batch], stored=False)[0]
+                        total[batch] += log_likelihood(m, cls, starts[batch], lengths[batch])
                 out = pd.DataFrame({"doc_id": list(ids), "held_out": held, "n_tokens": lengths})
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 out["n_known"] = np.add.reduceat(known.astype(np.int64), starts)
@@ -338,4 +417,4 @@ def score(docs: DataFrame, states: int = 8, rounds: int = 4, folds: int = 10) ->
                 out["score"] = total
                 yield out
 
-    return _read(stats.blocks).mapInPandas(run, SCORES)
+    return stats.blocks.mapInPandas(run, SCORES)

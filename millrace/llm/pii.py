@@ -37,8 +37,8 @@ BASE = {
 WIDE = {
     "email": r"(?i)(?:\G|(?<![A-Z0-9._%+-]))[A-Z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\{at\})\x20?[A-Z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Z0-9-]++)++",
     "ip": r"(?i)(?<![0-9A-F:])(?:[0-9A-F]{1,4}:){7}[0-9A-F]{1,4}(?![0-9A-F:])",
-    "card": r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{3,7}){2,3}(?![0-9])",
-    "phone": r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4})(?![0-9])",
+    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[.\x20-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])",
 }
 # cheap tests that a text must pass before a pattern is run on it
 MAY_HOLD = {

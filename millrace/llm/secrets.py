@@ -121,7 +121,8 @@ def describe(text: str, start: int, end: int, name: str) -> list[float]:
         float(bool(SPEAKS_FOR.search(near))),
         float(before[-1:] in "\"'" if before else 0),
         float(bool(re.search(r"[=:]\s*[\"']?$", before))),
-        float(bool(NOT_SECRET.search(f"{near} {value} {after[:12]}"))),
+        # what stands further off does not deny a value that has a name
+        float(bool(NOT_SECRET.search(f"{name} {value}" if name else f"{before} {value} {after[:12]}"))),
         max(counts.values()) / n,
     ]
 

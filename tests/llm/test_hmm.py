@@ -60,16 +60,17 @@ def random_model(rng, k, classes):
 def test_recursions_equal_sums_over_all_paths():
     rng = np.random.default_rng(3)
     model, lengths = random_model(rng, 3, 5), np.array([5, 3, 3, 1])
-    emit = model.emit[rng.integers(0, 5, lengths.sum())]
+    cls = rng.integers(0, 5, lengths.sum())
     starts = np.cumsum(lengths) - lengths
-    log, _, _ = hmm.forward(model, emit, starts, lengths, stored=False)
-    for i, (a, n) in enumerate(zip(starts, lengths, strict=True)):
-        assert 10 ** log[i] == pytest.approx(likelihood(model, emit[a : a + n]))
-    first, moves, places, gammas, _ = hmm.expected(model, emit, starts, lengths)
+    log = hmm.log_likelihood(model, cls, starts, lengths)
+    first, moves, places, gammas, total_log = hmm.expected(model, cls, starts, lengths)
+    assert total_log == pytest.approx(log.sum())
     # expected counts by hand: paths weighted by their probability
     want_first, want_moves, want = np.zeros(3), np.zeros((3, 3)), np.zeros((lengths.sum(), 3))
-    for a, n in zip(starts, lengths, strict=True):
-        e, total = emit[a : a + n], likelihood(model, emit[a : a + n])
+    for i, (a, n) in enumerate(zip(starts, lengths, strict=True)):
+        e = model.emit[cls[a : a + n]]
+        total = likelihood(model, e)
+        assert 10 ** log[i] == pytest.approx(total)
         for path in itertools.product(range(3), repeat=n):
             p = model.start[path[0]] * e[0, path[0]]
             for t in range(1, n):
@@ -84,6 +85,13 @@ def test_recursions_equal_sums_over_all_paths():
     assert np.allclose(first, want_first) and np.allclose(moves, want_moves) and np.allclose(got, want)
 
 
+def test_batches_hold_every_text_once():
+    lengths = np.array([3, 9, 1, 9, 4, 2])
+    batches = list(hmm.batches_of(lengths, 10))
+    assert sorted(np.concatenate(batches)) == list(range(6))
+    assert all((np.diff(lengths[b]) <= 0).all() for b in batches)
+
+
 def test_rounds_raise_the_likelihood_and_emissions_add_up(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     stats = hmm.corpus(df)

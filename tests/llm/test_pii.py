@@ -100,3 +100,12 @@ def test_luhn(spark, digits, good):
     from pyspark.sql import functions as F
 
     assert spark.range(1).select(pii.luhn(F.lit(digits)).alias("x")).first().x is good
+
+
+def test_neighbours_that_spoil_a_base_match(spark):
+    """A card beside an address and a phone beside a card run together for the base patterns; the wide ones part them."""
+    data = [(i, "pay 4111111111111111 now, +1 (555) 010-2030 today, 10.1.2.3 on", "", "", 0) for i in range(60)]
+    data += [(100, "x 4111111111111111 5500000000000004 y", "", "", 0), (101, "x +1 (826) 555-4081 190.137.223.204 y", "", "", 0)]
+    rows = {r.doc_id: r for r in pii.find(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert (rows[100].n_card, rows[100].spans) == (0, "card:2:18,card:19:35")
+    assert (rows[101].n_phone, rows[101].n_ip, rows[101].spans) == (0, 1, "ip:20:35,phone:2:19")
