@@ -379,7 +379,7 @@ def first_states(stats: Corpus, k: int) -> Model:
     return Model(np.full(k, 1 / k), move, emissions(stats.class_tokens[:, None] * boost, stats))
 
 
-def train(stats: Corpus, states: int = 8, rounds: int = 4) -> Model:
+def train(stats: Corpus, states: int = 8, rounds: int = 3) -> Model:
     model = first_states(stats, states)
     for _ in range(rounds):
         model, _ = baum_welch_round(stats, model)
@@ -389,7 +389,7 @@ def train(stats: Corpus, states: int = 8, rounds: int = 4) -> Model:
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(docs: DataFrame, states: int = 8, rounds: int = 4, folds: int = 10) -> DataFrame:
+def score(docs: DataFrame, states: int = 8, rounds: int = 3, folds: int = 10) -> DataFrame:
     """One row per document: sizes, the unigram base score and the model's log10 probability of the text."""
     stats = corpus(docs, folds)
     n, v, d = stats.tokens, stats.words, stats.discount
