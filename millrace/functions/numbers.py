@@ -1,4 +1,4 @@
-"""Rounding and sums whose result does not depend on the order of the rows."""
+"""Rounding, sums and ratios."""
 
 from __future__ import annotations
 
@@ -20,28 +20,22 @@ def round_half_away(value: Column, places: int = 2) -> Column:
     return F.round(value * scale) / scale
 
 
-_LOW_BITS = 20
+SETTLED = 6
 
 
-def exact_sum(value: Column, scale: int = 4) -> Column:
-    """Sum of a double at ``scale`` decimals, the same for every order of the rows.
+def settled_sum(value: Column, places: int = SETTLED) -> Column:
+    """Sum of doubles, whole values as they are; NaN and infinity stay what they are.
 
-    Retries and other partitionings then give the same cents, which a plain sum
-    of doubles does not. Each value becomes a whole number of units; the units
-    are summed in two halves as longs, which stays in generated code (decimal
-    sums allocate an object per row) and cannot overflow below 2**43 rows. Only
-    the finished sums are turned into a double.
+    Additions in another order (a retry, another partitioning) move the last digits
+    of such a sum. The result, never a value, is therefore rounded to `places` decimals,
+    which reports then round further; totals of money in the thousands of millions take two.
     """
-    value = value.cast("double")
-    units = (value * F.lit(float(10**scale)) + F.signum(value) * F.lit(0.5)).cast("bigint")
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("double")
-    low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1).cast("bigint"))).cast("double")
-    return (high * F.lit(float(2**_LOW_BITS)) + low) / F.lit(float(10**scale))
+    return F.round(F.sum(value.cast("double")), places)
 
 
-def exact_avg(value: Column, scale: int = 4) -> Column:
-    """Average over the non-null rows; NULL when there are none."""
-    return F.try_divide(exact_sum(value, scale), F.count(value))
+def settled_mean(value: Column) -> Column:
+    """Average over the non-null rows, the result rounded like that of `settled_sum`; NULL when there are none."""
+    return F.round(F.avg(value.cast("double")), SETTLED)
 
 
 def ratio(part: Column, whole: Column) -> Column:

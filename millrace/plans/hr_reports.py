@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import falling, ladder, rising
-from millrace.functions.numbers import exact_avg, percent, round_half_away
+from millrace.functions.numbers import percent, round_half_away, settled_mean
 from millrace.operators.ranking import top_rows_with_group_rank
 from millrace.operators.shares import compared_with_average
 
@@ -16,7 +16,7 @@ BRACKET_STEPS = ((5.0, "5-10 tahun"), (10.0, "10-15 tahun"), (15.0, "15+ tahun")
 
 
 def _mean(column: str):
-    return round_half_away(exact_avg(F.col(column)), 2)
+    return round_half_away(settled_mean(F.col(column)), 2)
 
 
 def _spread(column: str, suffix: str):
@@ -77,7 +77,7 @@ def job_titles(fact: DataFrame) -> DataFrame:
 
 def long_tenure_low_pay(fact: DataFrame, years: float = 10.0) -> DataFrame:
     rows = compared_with_average(
-        fact, exact_avg(F.col("LatestPayRate")), lambda average: F.col("LatestPayRate") < average
+        fact, settled_mean(F.col("LatestPayRate")), lambda average: F.col("LatestPayRate") < average
     )
     return (
         rows.where(F.col("TenureYears") > years)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import falling, lookup
-from millrace.functions.numbers import exact_avg, percent, round_half_away
+from millrace.functions.numbers import percent, round_half_away, settled_mean
 from millrace.operators.shares import compared_with_average, share_of_total
 
 # Segment names, in report order, with the column that counts them.
@@ -14,7 +14,7 @@ SEGMENTS = {"Champions": "Champions", "Loyal": "Loyal", "At Risk": "AtRisk", "Lo
 
 
 def _mean(column: str, places: int):
-    return round_half_away(exact_avg(F.col(column)), places)
+    return round_half_away(settled_mean(F.col(column)), places)
 
 
 def _segment_counts():
@@ -61,7 +61,7 @@ def territory_profile(fact: DataFrame) -> DataFrame:
 
 
 def win_back(fact: DataFrame, days: int = 365) -> DataFrame:
-    rows = compared_with_average(fact, exact_avg(F.col("Monetary")), lambda average: F.col("Monetary") > average)
+    rows = compared_with_average(fact, settled_mean(F.col("Monetary")), lambda average: F.col("Monetary") > average)
     return (
         rows.where(F.col("Recency") > days)
         .select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from millrace.functions.numbers import decimal_average, decimal_ratio, exact_avg, exact_sum, round_half_away
+from millrace.functions.numbers import decimal_average, decimal_ratio, round_half_away, settled_mean, settled_sum
 
 COMPLETED = 5
 NOT_AVAILABLE = "N/A"
@@ -96,8 +96,8 @@ def sales_summary(
     """
     keys = ["ProductID", "TerritoryID", "TerritoryName", "CountryRegionCode"]
     if money == "double":
-        revenue = round_half_away(exact_sum(F.col("LineTotal"), 4), 2)
-        price = round_half_away(exact_avg(F.col("UnitPrice"), 8), 2)
+        revenue = round_half_away(settled_sum(F.col("LineTotal")), 2)
+        price = round_half_away(settled_mean(F.col("UnitPrice")), 2)
     else:
         revenue = _decimal(F.sum("LineTotal"), 15)
         price = decimal_average(F.sum("UnitPrice"), F.count("UnitPrice"), DecimalType(10, 2))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import falling, rising
-from millrace.functions.numbers import exact_avg, exact_sum, round_half_away
+from millrace.functions.numbers import round_half_away, settled_mean, settled_sum
 from millrace.operators.ranking import top_ranked_per_group
 from millrace.operators.shares import share_of_total
 
@@ -14,7 +14,7 @@ PRODUCT = ("ProductName", "Category", "Subcategory")
 
 
 def _revenue():
-    return exact_sum(F.col("TotalRevenue"), 2)
+    return settled_sum(F.col("TotalRevenue"), 2)
 
 
 def preview(fact: DataFrame, rows: int = 20) -> DataFrame:
@@ -48,8 +48,8 @@ def margin_by_category(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy("Category", "Subcategory")
         .agg(
-            round_half_away(exact_avg(F.col("MarginPct")), 2).alias("AvgMarginPct"),
-            round_half_away(exact_avg(F.col("Margin")), 2).alias("AvgMargin"),
+            round_half_away(settled_mean(F.col("MarginPct")), 2).alias("AvgMarginPct"),
+            round_half_away(settled_mean(F.col("Margin")), 2).alias("AvgMargin"),
             round_half_away(_revenue(), 2).alias("TotalRevenue"),
             F.sum("TotalQty").alias("TotalQty"),
         )
@@ -62,7 +62,7 @@ def high_margin_low_quantity(fact: DataFrame, margin_over: float = 40.0, quantit
         fact.groupBy(*PRODUCT)
         .agg(
             F.sum("TotalQty").alias("TotalQty"),
-            exact_avg(F.col("MarginPct")).alias("AvgMarginPct"),
+            settled_mean(F.col("MarginPct")).alias("AvgMarginPct"),
             _revenue().alias("TotalRevenue"),
         )
         .where((F.col("AvgMarginPct") > margin_over) & (F.col("TotalQty") < quantity_under))
@@ -72,7 +72,7 @@ def high_margin_low_quantity(fact: DataFrame, margin_over: float = 40.0, quantit
 
 def category_share(fact: DataFrame) -> DataFrame:
     groups = fact.groupBy("Category").agg(_revenue().alias("CategoryRevenue"))
-    total = exact_sum(F.col("CategoryRevenue"), 2)
+    total = settled_sum(F.col("CategoryRevenue"), 2)
     return share_of_total(groups, "CategoryRevenue", "RevenueSharePct", total).orderBy(
         falling("CategoryRevenue"), "Category"
     )

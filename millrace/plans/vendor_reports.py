@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from millrace.functions.cleaning import falling, ladder, rising
-from millrace.functions.numbers import exact_avg, ratio, round_half_away
+from millrace.functions.numbers import SETTLED, ratio, round_half_away, settled_mean
 from millrace.operators.ranking import global_rank
 
 # Price labels and score bands.
@@ -39,10 +39,9 @@ def by_ship_method(fact: DataFrame, purchase_orders: DataFrame) -> DataFrame:
     weighted = lines.join(fact.select("VendorID", "OnTimeRate", "VendorScore", "AvgLeadTimeDays"), "VendorID")
 
     def mean(column: str, places: int):
-        value = F.col(column).cast(DecimalType(18, 4))
-        total = F.sum(value * F.col("n").cast(DecimalType(18, 0)))
+        value = F.col(column).cast("double")
         lines_with_value = F.sum(F.when(value.isNotNull(), F.col("n")))
-        return round_half_away(ratio(total, lines_with_value), places)
+        return round_half_away(F.round(ratio(F.sum(value * F.col("n")), lines_with_value), SETTLED), places)
 
     return (
         weighted.groupBy("ShipMethodName")
@@ -78,8 +77,8 @@ def performance_bands(fact: DataFrame) -> DataFrame:
         fact.groupBy(band.alias("PerformanceCategory"))
         .agg(
             F.count("*").alias("JumlahVendor"),
-            round_half_away(exact_avg(F.col("OnTimeRate")), 2).alias("AvgOnTimeRate"),
-            round_half_away(exact_avg(F.col("AvgLeadTimeDays")), 1).alias("AvgLeadTime"),
+            round_half_away(settled_mean(F.col("OnTimeRate")), 2).alias("AvgOnTimeRate"),
+            round_half_away(settled_mean(F.col("AvgLeadTimeDays")), 1).alias("AvgLeadTime"),
             F.min("VendorScore").alias("lowest"),
         )
         .orderBy(falling("lowest"))
@@ -91,5 +90,5 @@ def load_audit(fact: DataFrame) -> DataFrame:
     return fact.agg(
         F.max("LoadTimestamp").alias("LastLoadTime"),
         F.count("*").alias("TotalVendor"),
-        round_half_away(exact_avg(F.col("VendorScore")), 2).alias("AvgScoreKeseluruhan"),
+        round_half_away(settled_mean(F.col("VendorScore")), 2).alias("AvgScoreKeseluruhan"),
     )

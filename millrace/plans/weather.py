@@ -11,7 +11,7 @@ from millrace import schemas
 from millrace.functions import weather as wx
 from millrace.functions.calendar import EL_NINO_FROM, calendar_columns
 from millrace.functions.cleaning import bounded, falling, null_outside, rising
-from millrace.functions.numbers import exact_avg, exact_sum, round_half_away
+from millrace.functions.numbers import round_half_away, settled_mean, settled_sum
 from millrace.operators.keys import latest_per_key
 from millrace.operators.merge import append_new, upsert
 from millrace.operators.shares import at_latest
@@ -102,7 +102,7 @@ def island_daily(gold: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Measures, risk counts and alerts per island, day and run."""
 
     def mean(column: str, places: int) -> Column:
-        return round_half_away(exact_avg(F.col(column)), places)
+        return round_half_away(settled_mean(F.col(column)), places)
 
     placed = gold.join(dim_location.select("location_key", "island"), "location_key", "left")
     counts = [
@@ -124,7 +124,7 @@ def island_daily(gold: DataFrame, dim_location: DataFrame) -> DataFrame:
             F.count("*").alias("city_count"),
             mean("temp_max_c", 2).alias("avg_temp_max_c"),
             mean("temp_min_c", 2).alias("avg_temp_min_c"),
-            round_half_away(exact_sum(F.col("precip_mm")), 2).alias("total_precip_mm"),
+            round_half_away(settled_sum(F.col("precip_mm")), 2).alias("total_precip_mm"),
             round_half_away(F.max("precip_mm"), 2).alias("max_precip_mm"),
             mean("humidity_pct", 2).alias("avg_humidity_pct"),
             mean("windspeed_kmh", 2).alias("avg_windspeed_kmh"),

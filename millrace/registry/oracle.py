@@ -9,12 +9,12 @@ def _r(value: str, places: int) -> str:
     return f"round({value}, {places})"
 
 
-def _sum(value: str, scale: int = 4) -> str:
-    return f"CAST(sum(CAST({value} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def _sum(value: str, places: int = 6) -> str:
+    return f"round(sum(CAST({value} AS DOUBLE)), {places})"
 
 
-def _avg(value: str, scale: int = 4) -> str:
-    return f"({_sum(value, scale)} / nullif(count({value}), 0))"
+def _avg(value: str) -> str:
+    return f"round(avg(CAST({value} AS DOUBLE)), 6)"
 
 
 def _with(*parts: str) -> str:
@@ -55,7 +55,7 @@ summary AS (
   SELECT pid AS "ProductID", pname AS "ProductName", pnumber AS "ProductNumber", category AS "Category",
          subcategory AS "Subcategory", terr AS "TerritoryID", tname AS "TerritoryName", country AS "CountryRegionCode",
          {_r(_sum("total"), 2)} AS "TotalRevenue", CAST(sum(qty) AS BIGINT) AS "TotalQty",
-         {_r(_avg("price", 8), 2)} AS "AvgUnitPrice",
+         {_r(_avg("price"), 2)} AS "AvgUnitPrice",
          CAST(list_price AS DOUBLE) AS "ListPrice", CAST(cost AS DOUBLE) AS "StandardCost",
          round(CAST(list_price AS DOUBLE) - CAST(cost AS DOUBLE), 2) AS "Margin",
          round((CAST(list_price AS DOUBLE) - CAST(cost AS DOUBLE)) / CAST(list_price AS DOUBLE) * CAST(100 AS DOUBLE), 2) AS "MarginPct",
@@ -455,7 +455,7 @@ VENDOR = f"""
 measured AS (
   SELECT l_suppkey, count(*) AS n, count(*) FILTER (WHERE abs(CAST(l_shipdate AS DATE) - CAST(o_orderdate AS DATE)) <= 1350) AS timely,
          sum(abs(CAST(l_shipdate AS DATE) - CAST(o_orderdate AS DATE))) AS days, max(o_orderdate) AS newest,
-         {_avg("(l_extendedprice / l_quantity)", 8)} AS price
+         {_avg("(l_extendedprice / l_quantity)")} AS price
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1),
 rated AS (
   SELECT l_suppkey AS "VendorID", s_name AS "VendorName", n AS "TotalOrders", round(timely * CAST(100 AS DOUBLE) / n, 2) AS "OnTimeRate",

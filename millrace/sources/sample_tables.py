@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import bounded, ladder
-from millrace.functions.numbers import exact_avg, exact_sum, round_half_away
+from millrace.functions.numbers import round_half_away, settled_mean, settled_sum
 from millrace.sources.seeds import dim_location
 
 RUN_DATE = "2024-01-30"
@@ -244,7 +244,7 @@ def fact_vendor_performance(spark: SparkSession, folder: str) -> DataFrame:
             F.count("*").alias("TotalOrders"),
             F.count_if(days <= 1350).alias("on_time"),
             F.sum(days).alias("days"),
-            exact_avg(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")), 8).alias("price"),
+            settled_mean(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("price"),
             F.max("o_orderdate").alias("LoadTimestamp"),
         )
     )
@@ -275,7 +275,7 @@ def fact_customer_rfm(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             F.max("o_orderdate").alias("LoadTimestamp"),
             F.count("*").alias("Frequency"),
-            exact_sum(F.col("o_totalprice"), 2).alias("Monetary"),
+            settled_sum(F.col("o_totalprice"), 2).alias("Monetary"),
         )
     )
     recency = F.datediff(F.lit(RFM_DAY).cast("date"), F.col("LoadTimestamp").cast("date"))
