@@ -22,6 +22,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +34,7 @@ from millrace.llm.common import keep
 
 SAMPLE = 8192  # vectors the projection trees are fitted on
 TREES = 4
-LEAF = 1500  # nodes of a leaf, on average
+LEAF = 700  # nodes of a leaf, on average; two neighbouring leaves are a block of the first comparison
 BLOCK = 3000  # nodes compared with one another at most, about
 DEEPEST = 9  # levels of a tree; larger leaves are split by a hash
 
@@ -108,11 +109,11 @@ def unquantised(data: pd.Series, scale: pd.Series) -> np.ndarray:
 
 
 def placed(found: DataFrame, seed: int) -> DataFrame:
-    """Nodes with their short vector (q, scale), a block per tree, and the home group their joins run in."""
+    """Nodes with their short vector (q, scale), a block per tree, and the home their joins run in: their leaf of the first tree."""
     total = found.count()
     sample = found.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").collect()
     x = np.array([r.vec for r in sample])
-    depth = int(np.clip(np.ceil(np.log2(max(total, 1) / LEAF)), 0, DEEPEST))
+    depth = int(np.clip(np.round(np.log2(max(total, 1) / LEAF)), 0, DEEPEST))
     rng = np.random.default_rng(seed)
     trees = [plant(x, depth, rng) for _ in range(TREES)] if len(x) else []
 
@@ -126,15 +127,21 @@ def placed(found: DataFrame, seed: int) -> DataFrame:
     marked = keep(found.select("*", place("vec").alias("p")).select("id", "vec", "members", "p.*"), "nn-placed")
     # TREES x 2 ** DEEPEST rows at most
     sizes = marked.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect()
-    parts = {(r.tree, r.leaf): -(-r["count"] // BLOCK) for r in sizes}
+    homes, blocks = Counter(), Counter()
+    for r in sizes:
+        blocks[r.tree, r.leaf >> 1] += r["count"]
+        if r.tree == 0:
+            homes[0, r.leaf] = r["count"]
 
-    def block(tree: int) -> Column:
-        leaf = F.col("leaves")[tree]
-        counts = [parts.get((tree, i), 1) for i in range(2**depth)]
-        split = F.pmod(F.xxhash64("id", F.lit(tree)), F.get(F.array(*[F.lit(c) for c in counts]), leaf).cast("long"))
-        return (leaf.cast("long") * (1 << 32) + split).alias(f"b{tree}")
+    def group(tree: int, number: Column, counts: Counter) -> Column:
+        """The group's number; what the tree leaves too large is split by a hash."""
+        splits = F.array(*[F.lit(-(-counts[tree, i] // BLOCK) or 1) for i in range(2**depth)])
+        split = F.pmod(F.xxhash64("id", F.lit(tree)), F.get(splits, number).cast("long"))
+        return number.cast("long") * (1 << 32) + split
 
-    return keep(marked.select("id", "vec", "members", "q", "scale", *[block(t) for t in range(TREES)]), "nn-nodes")
+    columns = [group(t, F.shiftright(F.col("leaves")[t], 1), blocks).alias(f"b{t}") for t in range(TREES)]
+    home = group(0, F.col("leaves")[0], homes).alias("home")
+    return keep(marked.select("id", "vec", "members", "q", "scale", home, *columns), "nn-nodes")
 
 
 def nearest(u: np.ndarray, w: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,7 +203,7 @@ def improve(graph: DataFrame, index: DataFrame, homes: DataFrame, settings: Sett
     # the score a newcomer must beat
     least = graph.groupBy("id").agg(F.min("s").alias("least"), F.count("*").alias("n"))
     least = least.select("id", F.when(F.col("n") >= k, F.col("least")).otherwise(float("-inf")).cast("float").alias("least"))
-    needed = edges.select(F.col("home").alias("at"), F.col("u").alias("id")).distinct().join(index.select("id", "q", "scale"), "id").join(least, "id", "left")
+    needed = edges.select(F.col("home").alias("at"), F.col("u").alias("id")).distinct().join(index.select("id", "q", "scale").join(least, "id", "left"), "id")
 
     def join(edges: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(members["id"].to_numpy())
@@ -225,7 +232,7 @@ def improve(graph: DataFrame, index: DataFrame, homes: DataFrame, settings: Sett
 
 def build(index: DataFrame, settings: Settings) -> DataFrame:
     """The neighbour graph (id, home, nbr, s)."""
-    homes = index.select("id", F.col("b0").alias("home"))
+    homes = index.select("id", "home")
     graph = keep(merged(first_lists(index, settings.neighbours), homes, settings.neighbours), "nn-graph")
     for turn in range(settings.rounds):
         graph = improve(graph, index, homes, settings, turn)
@@ -237,7 +244,7 @@ STATE = "qid long, home long, vec array<double>, ids array<long>, scores array<f
 
 def search(queries: DataFrame, index: DataFrame, graph: DataFrame, settings: Settings) -> DataFrame:
     """Greedy search for each row (qid, home, vec) of queries, which are nodes: their lists (STATE) after all steps."""
-    homes = index.select("id", F.col("b0").alias("home"))
+    homes = index.select("id", "home")
     both = graph.select("id", "nbr").union(
         reverse_edges(graph, homes, settings.reverse, settings.seed).select(F.col("v").alias("id"), F.col("u").alias("nbr"))
     )
@@ -293,7 +300,7 @@ def neighbours(
     asked = asked.where(F.col("query_id").isNotNull()).distinct().join(index.select("vec", F.col("id").alias("qid")), "vec").select("query_id", "qid")
     asked = keep(asked, "nn-asked")
     starts = index.join(asked.select(F.col("qid").alias("id")).distinct(), "id", "left_semi")
-    starts = starts.select(F.col("id").alias("qid"), F.col("b0").alias("home"), "vec")
+    starts = starts.select(F.col("id").alias("qid"), "home", "vec")
     state = search(starts, index, build(index, settings), settings)
 
     # exact scores of the best of each list, on the original vectors; the node itself may hold other rows
