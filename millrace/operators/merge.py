@@ -1,10 +1,16 @@
-"""Changes to Parquet tables: ignore-insert, upsert, incremental selection."""
+"""Changes to Parquet tables: ignore-insert, upsert, incremental selection.
+
+Keys match null-safe: a row whose key holds NULL is found again like any other, so
+repeating a load adds nothing. Loads that must not hold such rows filter them first
+(`split_complete`).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.keys import first_per_key, latest_per_key
@@ -12,16 +18,38 @@ from millrace.session import scratch, stored
 from millrace.sources.files import read_or_empty, replace_partitions
 
 
+def _is_touched(batch: DataFrame, partitions: Sequence[str]) -> Column:
+    """Filter for the partitions a stored batch writes to, with their values as literals.
+
+    Literals prune folders when the target is planned; a join with the batch would read them
+    all. The values are days or months, so the calendar bounds their number. Taken per
+    column they may select a few more partitions than needed, which changes nothing.
+    """
+    values = batch.select(*partitions).distinct().collect()
+    parts = []
+    for name in partitions:
+        seen = {row[name] for row in values}
+        known = sorted(v for v in seen if v is not None)
+        found = F.col(name).isin(known) if known else F.lit(False)
+        parts.append(found | F.col(name).isNull() if None in seen else found)
+    return reduce(Column.__and__, parts)
+
+
 def _touched(target: DataFrame, batch: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Rows of the partitions the batch writes to; the others are pruned at run time."""
-    if not partitions:
-        return target
-    return target.join(batch.select(*partitions).distinct(), list(partitions), "left_semi")
+    return target.where(_is_touched(batch, partitions)) if partitions else target
+
+
+def split_complete(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a whole key, and those where a part of it is NULL."""
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    return rows.where(whole), rows.where(~whole)
 
 
 def unprocessed(source: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key is not in ``done`` yet."""
-    return source.join(done.select(*keys), list(keys), "left_anti")
+    """Source rows whose key is not in ``done`` yet; NULL equals NULL."""
+    seen = done.select(*[F.col(k).alias(f"done_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"done_{k}")) for k in keys])
+    return source.join(seen, same, "left_anti")
 
 
 def append_new(
@@ -34,8 +62,9 @@ def append_new(
     """Append the rows whose key the table does not hold; one row per key survives.
 
     Repeating the call with the same batch changes nothing. ``partitions`` must
-    be part of the key: a key then lives in one partition only. The reduced
-    batch is stored first, because it is used twice (which partitions, which rows).
+    be part of the key: a key then lives in one partition only, and only the batch's
+    partitions are read. The reduced batch is stored first, because it is used
+    twice (which partitions, which rows).
     """
     spark = batch.sparkSession
     with scratch(spark, "append") as folder:
@@ -50,26 +79,22 @@ def upsert(
     path: str,
     keys: Sequence[str],
     version: Sequence[str],
-    partitions: Sequence[str] = (),
+    partitions: Sequence[str],
 ) -> None:
     """Insert or replace by key; the highest version wins, the batch wins a tie.
 
-    ``partitions`` must follow from the key. The batch is stored because it is
-    used twice (which partitions, which rows); the merged partitions are stored
-    because a plan cannot overwrite the files it reads. With partitions
-    Spark swaps them in when the last job commits, so a lost executor only
-    repeats tasks; a table without partitions is replaced as a whole, and until
-    that commits the stored copy is the only full one. Running the same batch
-    again gives the same table.
+    ``partitions`` must follow from the key and must be given: only theirs are read
+    and rewritten, and Spark swaps the new files in when the job commits, so the old ones
+    stay whole until then. (A table without partitions could only be deleted before
+    its new copy is in place.) The batch is stored because it is used twice (which
+    partitions, which rows). Running the same batch again gives the same table.
     """
+    if not partitions:
+        raise ValueError("an upsert needs partition columns: a whole table cannot be swapped in one commit")
     spark: SparkSession = batch.sparkSession
     with scratch(spark, "upsert") as folder:
-        rows = stored(batch, f"{folder}/batch") if partitions else batch
+        rows = stored(batch, f"{folder}/batch")
         old = _touched(read_or_empty(spark, path, batch.schema), rows, partitions)
         both = old.withColumn("from_batch", F.lit(False)).unionByName(rows.withColumn("from_batch", F.lit(True)))
         newest = latest_per_key(both, keys, [*version, "from_batch"]).drop("from_batch")
-        merged = stored(newest, f"{folder}/merged")
-        if partitions:
-            replace_partitions(merged, path, *partitions)
-        else:
-            merged.write.mode("overwrite").parquet(path)
+        replace_partitions(newest, path, *partitions)

@@ -13,7 +13,7 @@ from millrace.functions.calendar import EL_NINO_FROM, calendar_columns
 from millrace.functions.cleaning import bounded, falling, null_outside, rising
 from millrace.functions.numbers import round_half_away, settled_mean, settled_sum
 from millrace.operators.keys import latest_per_key
-from millrace.operators.merge import append_new, upsert
+from millrace.operators.merge import append_new, split_complete, upsert
 from millrace.operators.shares import at_latest
 from millrace.operators.streaks import dry_day_streaks
 from millrace.sources.files import replace_partition
@@ -245,8 +245,23 @@ def high_risk(report: DataFrame) -> DataFrame:
 
 # -- stored tables -----------------------------------------------------------
 def store_bronze(batch: DataFrame, path: str, table: str) -> None:
-    """Append the observations the run does not hold yet."""
-    append_new(batch, path, schemas.TABLE_KEYS[table], ["run_date"], ["extracted_at"])
+    """Append the observations the run does not hold yet.
+
+    Rows whose key is not whole (a document may list an empty time) are no observations:
+    they go to ``<path>_rejected``, where they can be counted, and not into the table.
+    """
+    keys = schemas.TABLE_KEYS[table]
+    batch = batch.persist()  # two filters of one parse
+    whole, rejected = split_complete(batch, keys)
+    append_new(whole, path, keys, ["run_date"], ["extracted_at"])
+    if not rejected.isEmpty():
+        append_new(rejected, f"{path}_rejected", keys, [], ["extracted_at"])
+    batch.unpersist()
+
+
+def store_silver(batch: DataFrame, path: str, table: str) -> None:
+    """Append cleaned rows the run does not hold yet, next to what batch runs have stored."""
+    append_new(batch, path, schemas.TABLE_KEYS[table], ["run_date"])
 
 
 def store_run(df: DataFrame, path: str, run_date: str) -> None:

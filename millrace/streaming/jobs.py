@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
-from millrace.plans.weather import silver_daily, silver_hourly, store_bronze
+from millrace.plans.weather import silver_daily, silver_hourly, store_bronze, store_silver
 from millrace.sources.landing import parse_documents, stream_documents
 
 MAX_FILES_PER_BATCH = 100_000
@@ -54,17 +54,25 @@ def bronze_to_silver(
     *,
     max_files: int = MAX_FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Clean new bronze files; row-wise, so no state is kept between batches."""
+    """Clean new bronze files and append the keys silver does not hold.
+
+    Row-wise, so no state is kept between batches. The table is the one that batch runs
+    write; a replayed batch or a lost checkpoint finds its keys present and appends nothing.
+    """
     if resolution == "daily":
         schema, clean = schemas.BRONZE_WEATHER_DAILY, silver_daily
     else:
         schema, clean = schemas.BRONZE_WEATHER_HOURLY, silver_hourly
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(bronze)
+    table = f"silver_weather_{resolution}"
+
+    def append(batch: DataFrame, _batch_id: int) -> None:
+        store_silver(batch, silver, table)
+
     return (
         clean(rows)
-        .writeStream.format("parquet")
-        .partitionBy("run_date")
+        .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(silver)
+        .start()
     )

@@ -58,12 +58,11 @@ def test_append_new_keeps_what_is_there(spark, tmp_path):
     assert table(spark, path) == expected
 
 
-@pytest.mark.parametrize("partitions", [(), ("day",)])
-def test_upsert_takes_the_newest(spark, tmp_path, partitions):
+def test_upsert_takes_the_newest(spark, tmp_path):
     path = str(tmp_path / "t")
 
     def put(rows):
-        merge.upsert(spark.createDataFrame(rows, SCHEMA), path, ["k", "day"], ["version"], partitions)
+        merge.upsert(spark.createDataFrame(rows, SCHEMA), path, ["k", "day"], ["version"], ["day"])
 
     put([(1, D1, 1, "a"), (2, D1, 5, "b"), (7, D2, 1, "untouched")])
     batch = [(1, D1, 2, "new"), (2, D1, 4, "stale"), (3, D1, 1, "x"), (3, D1, 2, "y")]
@@ -82,6 +81,40 @@ def test_upsert_prunes_untouched_partitions(spark, tmp_path):
     assert {p.name for p in (tmp_path / "t" / "day=2026-01-02").glob("*.parquet")} == before
 
 
+def test_null_keys_are_appended_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for _ in range(3):
+        merge.append_new(spark.createDataFrame([(None, D1, 1, "a"), (2, None, 1, "b")], SCHEMA), path, ["k", "day"], ["day"], ["version"])
+        assert spark.read.schema(SCHEMA).parquet(path).count() == 2
+    whole, rest = merge.split_complete(spark.read.schema(SCHEMA).parquet(path), ["k", "day"])
+    assert (whole.count(), rest.count()) == (0, 2)
+
+
+def test_upsert_keeps_what_lies_in_the_null_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge.upsert(spark.createDataFrame([(1, None, 1, "a"), (2, None, 1, "b"), (3, D1, 1, "c")], SCHEMA), path, ["k", "day"], ["version"], ["day"])
+    merge.upsert(spark.createDataFrame([(9, None, 1, "new"), (4, D1, 1, "new"), (2, None, 2, "b2")], SCHEMA), path, ["k", "day"], ["version"], ["day"])
+    got = sorted((r.k, r.value) for r in spark.read.schema(SCHEMA).parquet(path).collect())
+    assert got == [(1, "a"), (2, "b2"), (3, "c"), (4, "new"), (9, "new")]
+
+
+def test_upsert_without_partitions_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError):
+        merge.upsert(spark.createDataFrame([(1, D1, 1, "a")], SCHEMA), str(tmp_path / "t"), ["k"], ["version"], [])
+
+
+def test_only_the_batch_partitions_are_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = [dt.date(2026, 1, d) for d in range(1, 21)]
+    merge.append_new(spark.createDataFrame([(1, d, 1, "a") for d in days], SCHEMA), path, ["k", "day"], ["day"])
+    target = spark.read.schema(SCHEMA).parquet(path)
+    touched = merge._touched(target, spark.createDataFrame([(5, D1, 1, "x"), (6, D2, 1, "y")], SCHEMA), ["day"])
+    assert len(touched.inputFiles()) == 20  # of the relation; the plan reads two
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day" in plan and "2026-01-01" in plan.split("PartitionFilters")[1]
+    assert sorted(r.day for r in touched.collect()) == [D1, D2]
+
+
 def test_replacing_a_partition_twice_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, D1, 1, "a"), (2, D2, 1, "b")], SCHEMA)

@@ -51,3 +51,37 @@ def test_a_repeated_batch_appends_nothing(spark, tmp_path):
     for offsets in ("lost", "new"):  # a lost checkpoint replays every file
         jobs.landing_to_bronze(spark, str(landing), bronze, str(tmp_path / offsets)).awaitTermination()
     assert spark.read.parquet(bronze).count() == 2
+
+
+def test_silver_survives_replays_and_batch_runs(spark, tmp_path):
+    """A lost checkpoint with new rows, a replay, and a batch run into the same table: every row once."""
+    from millrace.plans.weather import silver_daily, store_run
+
+    landing, bronze, silver = (tmp_path / n for n in ("landing", "bronze", "silver"))
+
+    def load(run, days, offsets):
+        document(landing, "jakarta", run, days, 30.0)
+        jobs.landing_to_bronze(spark, str(landing), str(bronze), str(tmp_path / "b")).awaitTermination()
+        jobs.bronze_to_silver(spark, str(bronze), str(silver), str(tmp_path / offsets)).awaitTermination()
+        rows = spark.read.schema(schemas.SILVER_WEATHER_DAILY).parquet(str(silver)).collect()
+        return sorted((str(r.run_date), str(r.obs_date)) for r in rows)
+
+    first = load("2026-04-01", ["2026-04-01", "2026-04-02"], "lost")
+    assert len(first) == 2
+    both = load("2026-04-02", ["2026-04-02"], "new")
+    assert both == [*first, ("2026-04-02", "2026-04-02")]
+    jobs.bronze_to_silver(spark, str(bronze), str(silver), str(tmp_path / "again")).awaitTermination()
+    table = spark.read.schema(schemas.SILVER_WEATHER_DAILY).parquet(str(silver))
+    assert table.count() == 3
+    stored = spark.read.schema(schemas.BRONZE_WEATHER_DAILY).parquet(str(bronze))
+    store_run(silver_daily(stored.where("run_date = '2026-04-01'")), str(silver), "2026-04-01")
+    assert load("2026-04-03", ["2026-04-03"], "new") == [*both, ("2026-04-03", "2026-04-03")]
+
+
+def test_rows_without_a_time_are_set_aside(spark, tmp_path):
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    document(landing, "jakarta", "2026-04-01", ["2026-04-01", None], 30.0)
+    for offsets in ("a", "b"):
+        jobs.landing_to_bronze(spark, str(landing), bronze, str(tmp_path / offsets)).awaitTermination()
+    assert spark.read.parquet(bronze).count() == 1
+    assert spark.read.parquet(f"{bronze}_rejected").count() == 1
