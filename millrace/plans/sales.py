@@ -27,10 +27,9 @@ def stg_sales_orders(
     The warehouse flavour keeps online orders and doubles; the database flavour
     drops online orders and stores two decimals. The status filter and the
     column lists reach the file scans. Headers and lines both grow with the
-    business, so both are shuffled (compressed file sizes would talk Catalyst
-    into broadcasting the lines). The hash table is built from the headers: their
-    key is unique, so their partitions are even and small, the many lines need no
-    sort, and AQE splits an order that holds very many of them.
+    business; how they meet is left to measured sizes: a sort-merge join, which spills,
+    or AQE's hash join where each partition of a side is small. AQE splits an order
+    that holds very many lines.
     """
     if money not in MONEY:
         raise ValueError(f"money must be one of {MONEY}")
@@ -44,7 +43,6 @@ def stg_sales_orders(
     names = territory.select("TerritoryID", F.col("Name").alias("TerritoryName"), "CountryRegionCode")
     return (
         completed.join(names, "TerritoryID")
-        .hint("shuffle_hash")
         .join(detail, "SalesOrderID")
         .select(
             "SalesOrderID",

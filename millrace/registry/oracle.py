@@ -435,7 +435,8 @@ marked AS (
     + """SELECT location_key, resolution, CAST(day AS VARCHAR) AS run_date,
     'weather/raw/' || resolution || '/' || location_key || '/' || CAST(day AS VARCHAR) || '.json' AS object_key
     FROM (SELECT location_key, resolution, day FROM place, (VALUES ('daily'), ('hourly')) r(resolution),
-          (SELECT CAST(unnest(range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS day)
+          (SELECT CAST(unnest(range(lo, hi + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day
+           FROM (SELECT CAST(min(day) AS TIMESTAMP) AS lo, CAST(max(day) AS TIMESTAMP) AS hi FROM found))
           EXCEPT SELECT * FROM found)""",
     "landing_manifest": _with(LOCATION, FOUND)
     + """SELECT CAST(day AS VARCHAR) AS run_date, CAST(15 AS BIGINT) AS total_locations, 2 * count(*) OVER (PARTITION BY day) AS files_ingested,

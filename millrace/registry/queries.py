@@ -194,7 +194,7 @@ def ingest_all_tables(spark, folder):
 
 @query
 def raw_validation_summary(spark, folder):
-    return files.validation_summary(spark, _ingest(spark, folder), BATCH_DATE)
+    return files.validation_summary(spark, _ingest(spark, folder), BATCH_DATE).drop("detail")
 
 
 @query
@@ -235,7 +235,8 @@ def export_gold(spark, folder):
 @query
 def landing_missing_files(spark, folder):
     found = sample_tables.landing_files(spark, folder)
-    return landing.missing_files(seeds.dim_location(spark), found, *sample_tables.WEATHER_DAYS)
+    first, last = found.agg(F.min("run_date").cast("string"), F.max("run_date").cast("string")).first()
+    return landing.missing_files(seeds.dim_location(spark), found, first, last)
 
 
 @query

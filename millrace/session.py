@@ -18,6 +18,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # static sizes count compressed files; nothing that grows should be broadcast by mistake
+    "spark.sql.sources.fileCompressionFactor": "4.0",
+    # a side whose every shuffled partition is below this is hashed instead of sorted
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 << 20),
     # landing folders hold many small files: pack them into few tasks
     "spark.sql.files.openCostInBytes": str(1 << 20),
     # recording the call site of every column doubles the time to build a plan
@@ -25,11 +29,20 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app_name: str = "millrace",
+    master: str | None = None,
+    *,
+    input_bytes: int | None = None,
+    cores: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session with the library's settings; given the size of the input and the cores, with partitions to match."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    sized = sizing(input_bytes, cores or 8) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -42,12 +55,12 @@ def _local_base() -> str:
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     """Partition settings for a given input size and number of cores.
 
-    Shuffle partitions start at about 128 MB of input each and AQE joins the
-    small ones; scan splits grow with the input so that 100 TB does not become
+    Shuffle partitions start at 128 MB of input each, at every size, and AQE joins
+    the small ones; scan splits grow with the input so that 100 TB does not become
     close to a million tiny tasks, and stay small enough to keep all cores busy.
     """
     split = min(max(input_bytes // max(cores * 4, 1), 16 << 20), 512 << 20)
-    partitions = min(max(input_bytes // (128 << 20), cores), 50_000)
+    partitions = max(input_bytes // (128 << 20), cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),

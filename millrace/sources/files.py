@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -109,22 +110,27 @@ def ingest_tables(read: Callable[[TableSpec], DataFrame], specs: Iterable[TableS
 
 
 def validation_summary(spark: SparkSession, paths: dict[str, str], dt: str) -> DataFrame:
-    """(table, status, row_count, column_count); an unreadable table is a FAILED row."""
-    parts = []
-    for table, path in paths.items():
+    """(table, status, row_count, column_count, detail); a missing or damaged table is a FAILED row with the reason.
+
+    Every table is counted here and now, all at the same time, because a damaged file shows only
+    when it is opened. All columns are read, not just the files' footers.
+    """
+
+    def count(table: str) -> tuple:
         try:
-            df = read_partition(spark, path, dt).drop("dt")
-            row = df.agg(F.count("*").alias("row_count")).withColumn("column_count", F.lit(len(df.columns)))
-            status = "OK"
-        except AnalysisException:
-            row = spark.sql("SELECT CAST(NULL AS BIGINT) AS row_count, CAST(NULL AS INT) AS column_count")
-            status = "FAILED"
-        parts.append(row.select(F.lit(table).alias("table"), F.lit(status).alias("status"), "row_count", "column_count"))
-    return reduce(DataFrame.unionByName, parts)
+            df = read_partition(spark, paths[table], dt).drop("dt")
+            whole = F.count(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+            return table, "OK", df.agg(whole).first()[0], len(df.columns), None
+        except (PySparkException, Py4JJavaError) as err:
+            return table, "FAILED", None, None, str(err).splitlines()[0][:500]
+
+    with ThreadPoolExecutor(max_workers=max(len(paths), 1)) as pool:
+        rows = list(pool.map(count, paths))  # one per table
+    return spark.createDataFrame(rows, "table string, status string, row_count long, column_count int, detail string")
 
 
 def require_valid(summary: DataFrame) -> None:
-    """Raise if a table could not be read (one row per table comes to the driver)."""
-    failed = [r["table"] for r in summary.where("status <> 'OK'").select("table").collect()]
+    """Raise one error that names every table that could not be read (one row per table comes to the driver)."""
+    failed = [f"{r['table']}: {r['detail']}" for r in summary.where("status <> 'OK'").select("table", "detail").collect()]
     if failed:
         raise ValueError(f"unreadable tables: {sorted(failed)}")

@@ -83,12 +83,25 @@ def parse_documents(documents: DataFrame, resolution: str) -> DataFrame:
         ),
         block.alias("block"),
     )
-    rows = located.select(
-        "location_key", "run_date", "extracted_at", "block", F.posexplode("block.time").alias("i", "time")
-    ).where("time IS NULL OR array_position(block.time, time) = i + 1")
+    # places of the entries in the order of their times; of equal times the first comes first
+    placed = F.array_sort(F.transform("block.time", lambda t, i: F.struct(t.alias("time"), i.alias("i"))))
+    ordered = located.withColumn("placed", placed)
+    fields = _FIELDS[resolution]
+
+    def entry(place: Column) -> Column:
+        values = [F.get(F.col(f"block.{name}"), place["i"]).alias(column) for name, column in fields.items()]
+        return F.struct(place["time"].alias("time"), *values)
+
+    def is_first(place: Column, i: Column) -> Column:
+        before = F.get(F.col("placed.time"), i - 1)
+        return (i == 0) | place["time"].isNull() | before.isNull() | (before != place["time"])
+
+    kept = ordered.withColumn("kept", F.filter("placed", is_first))
+    # only the finished entries are multiplied into rows, not the document
+    entries = kept.select("location_key", "run_date", "extracted_at", F.transform("kept", entry).alias("entries"))
+    rows = entries.select("location_key", "run_date", "extracted_at", F.inline("entries"))
     daily = resolution == "daily"
     moment = ("obs_date", "date") if daily else ("hour_timestamp", "timestamp_ntz")
-    values = [F.get(F.col(f"block.{name}"), F.col("i")).alias(column) for name, column in _FIELDS[resolution].items()]
     source = F.concat(F.lit(f"weather/raw/{resolution}/"), "location_key", F.lit("/"), "run_date", F.lit(".json"))
     keys = ["location_key", "run_date", moment[0]]
     schema = schemas.BRONZE_WEATHER_DAILY if daily else schemas.BRONZE_WEATHER_HOURLY
@@ -99,7 +112,7 @@ def parse_documents(documents: DataFrame, resolution: str) -> DataFrame:
             F.col("time").cast(moment[1]).alias(moment[0]),
             "extracted_at",
             F.current_timestamp().alias("ingested_at"),
-            *values,
+            *fields.values(),
             source.alias("source_file"),
         )
         .withColumn("bronze_id", F.xxhash64(*keys))
@@ -178,8 +191,8 @@ def manifest(entries: DataFrame, total_locations: int, entries_per_part: int = E
     """One summary document per run with its list of locations.
 
     ``entries``: location_key, run_date, object_key, size_bytes, days_returned.
-    A run with very many locations is spread over numbered parts, so no single
-    row (and no single task) has to hold the whole list.
+    The list is in numbered parts (``part`` of ``parts``) at every size, so no single
+    row (and no single task) has to hold the whole list; a short one has one part.
     """
     per_run = entries.groupBy("run_date").agg(F.count("*").alias("n"))
     sized = entries.join(per_run, "run_date")

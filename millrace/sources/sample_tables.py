@@ -15,7 +15,6 @@ from millrace.functions.numbers import round_half_away, settled_mean, settled_su
 from millrace.sources.seeds import dim_location
 
 RUN_DATE = "2024-01-30"
-WEATHER_DAYS = ("2024-01-01", "2024-01-30")
 RFM_DAY = "2001-08-02"
 
 

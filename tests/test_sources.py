@@ -48,11 +48,19 @@ def test_ingest_and_validate(spark, tmp_path):
     specs = [TableSpec("s", "A", "a"), TableSpec("s", "B", "b")]
     paths = files.ingest_tables(lambda s: spark.range(3 if s.folder == "a" else 4), specs, str(tmp_path), "2026-01-01")
     summary = files.validation_summary(spark, paths, "2026-01-01")
-    assert sorted(tuple(r) for r in summary.collect()) == [("a", "OK", 3, 1), ("b", "OK", 4, 1)]
+    assert sorted(tuple(r) for r in summary.collect()) == [("a", "OK", 3, 1, None), ("b", "OK", 4, 1, None)]
     files.require_valid(summary)
+    damaged = tmp_path / "damaged" / "dt=2026-01-01"
+    damaged.mkdir(parents=True)
+    (damaged / "part-0.parquet").write_bytes(b"no parquet at all" * 20)
+    bad = files.validation_summary(spark, {**paths, "d": str(damaged.parent), "e": str(tmp_path / "none")}, "2026-01-01")
+    reasons = {r.table: (r.status, bool(r.detail)) for r in bad.collect()}
+    assert reasons["d"] == reasons["e"] == ("FAILED", True) and reasons["a"] == ("OK", False)
+    with pytest.raises(ValueError, match="d: .*e: "):
+        files.require_valid(bad)
     broken = files.validation_summary(spark, {**paths, "c": str(tmp_path / "none")}, "2026-01-01")
-    assert ("c", "FAILED", None, None) in [tuple(r) for r in broken.collect()]
-    with pytest.raises(ValueError, match="'c'"):
+    assert ("c", "FAILED", None, None) in [tuple(r)[:4] for r in broken.collect()]
+    with pytest.raises(ValueError, match="c: "):
         files.require_valid(broken)
     views = files.register_bronze_views(spark, str(tmp_path), paths, "2026-01-01")
     assert sorted(tuple(r) for r in files.row_counts({v: spark.table(v) for v in views}).collect()) == [
@@ -97,5 +105,5 @@ def test_scratch_goes_after_success_only(spark):
 def test_sizing():
     small, large = sizing(1 << 30, 8), sizing(100 << 40, 4000)
     assert int(small["spark.sql.shuffle.partitions"]) == 8
-    assert int(large["spark.sql.shuffle.partitions"]) == 50_000
+    assert int(large["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 << 20
