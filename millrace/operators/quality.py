@@ -85,3 +85,8 @@ def key_check(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Number of keys that occur more than once."""
     copies = df.groupBy(*keys).agg(F.count("*").alias("copies"))
     return run_checks(copies, [Check(name, F.count_if(F.col("copies") > 1), equals=0)])
+
+
+def whole_key_check(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Number of rows whose key is not whole."""
+    return run_checks(df, [Check(name, F.count_if(F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))), equals=0)])

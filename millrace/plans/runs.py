@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.functions.calendar import EL_NINO_FROM
 from millrace.operators import quality
-from millrace.plans import sales, weather
+from millrace.operators.merge import append_new
+from millrace.operators.streaks import continue_streaks
+from millrace.plans import packs, sales, weather
 from millrace.sources import files, landing, seeds
 from millrace.sources.jdbc import SALES_TABLES, TableSpec
 
@@ -30,12 +32,16 @@ def sales_ingestion(spark: SparkSession, read: Callable[[TableSpec], DataFrame],
 
 
 def sales_warehouse(spark: SparkSession, base: str, dt: str, *, money: str = "double", exclude_online: bool = False) -> DataFrame:
-    """Bronze views, stored silver tables and the gold fact of one load date; returns the fact."""
+    """Bronze views, stored silver tables and the gold fact of one load date; returns the fact.
+
+    Each money flavour has tables of its own (``..._decimal``), because their columns differ in type.
+    """
+    suffix = "" if money == "double" else f"_{money}"
     raw = {s.folder: files.read_partition(spark, files.raw_path(base, s.folder), dt).drop("dt") for s in SALES_TABLES}
     files.register_bronze_views(spark, base, raw, dt)
 
     def store(df: DataFrame, table: str) -> DataFrame:
-        path = f"{base.rstrip('/')}/silver/{table}"
+        path = f"{base.rstrip('/')}/silver/{table}{suffix}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
@@ -52,11 +58,20 @@ def sales_warehouse(spark: SparkSession, base: str, dt: str, *, money: str = "do
         "trf_sales_summary",
     )
     fact = sales.fact_sales_performance(summary, dt)
-    path = f"{base.rstrip('/')}/gold/fact_sales_performance"
+    path = f"{base.rstrip('/')}/gold/fact_sales_performance{suffix}"
     files.replace_partition(fact, path, "BatchDate", dt)
     return spark.read.schema(fact.schema).parquet(path).where(F.col("BatchDate") == F.lit(dt).cast("date"))
 
 
+def write_reports(tables: dict[str, DataFrame], base: str) -> list[str]:
+    """Every report whose facts are given, stored as ``reports/<pack>/<report>``; returns the paths."""
+    paths = []
+    for name, report in packs.analytic_queries(tables).items():
+        paths.append(f"{base.rstrip('/')}/reports/{name}")
+        report.coalesce(1).write.mode("overwrite").parquet(paths[-1])  # reports are short, and keep their order
+    return paths
+
+
 # -- weather -----------------------------------------------------------------
 class Warehouse:
     """The stored weather tables below one folder."""
@@ -72,18 +87,38 @@ class Warehouse:
         df = files.read_or_empty(self.spark, self.path(table), schema)
         return df if run_date is None else df.where(F.col("run_date") == F.lit(run_date).cast("date"))
 
+    def seed(self, dates: tuple[dt.date, dt.date] = seeds.DATE_RANGE) -> None:
+        """Store the dimensions; rows whose key is there stay as they are, so a user's own rows survive."""
+        for table, (keys, build) in DIMENSIONS.items():
+            rows = build(self.spark, *dates) if table == "dim_date" else build(self.spark)
+            append_new(rows, self.path(table), keys)
+
+    def add(self, table: str, rows: DataFrame) -> None:
+        """More rows of a dimension, such as own locations."""
+        append_new(rows.select(*schemas.STORED_TABLES[table][0].names), self.path(table), DIMENSIONS[table][0])
 
-def check_landing(spark: SparkSession, base: str, run_date: str, policy: str = "raise") -> None:
+
+DIMENSIONS = {
+    "dim_location": (["location_key"], seeds.dim_location),
+    "dim_date": (["date_id"], seeds.dim_date),
+    "dim_weather_condition": (["condition_code"], seeds.dim_weather_condition),
+    "dim_risk_level": (["risk_code"], seeds.dim_risk_level),
+}
+NAMED = 50  # missing files named in an error; all are counted
+
+
+def check_landing(spark: SparkSession, base: str, run_date: str, dim_location: DataFrame, policy: str = "raise") -> None:
     """Every location must have both files of the run."""
     found = landing.found_files(spark, base, run_date)
-    missing = landing.missing_files(seeds.dim_location(spark), found, run_date, run_date)
-    # at most two files per location of the seed dimension
-    names = F.concat_ws(", ", F.sort_array(F.collect_list("object_key")))
-    result = missing.agg((F.count("*") == 0).alias("passed"), names.alias("detail"))
+    missing = landing.missing_files(dim_location, found, run_date, run_date)
+    first = missing.orderBy("object_key").limit(NAMED).agg(F.concat_ws(", ", F.sort_array(F.collect_list("object_key"))).alias("names"))
+    count = missing.agg(F.count("*").alias("n"))
+    names = F.when(F.col("n") > NAMED, F.concat("names", F.lit(" and more: "), F.col("n").cast("string"))).otherwise(F.col("names"))
+    result = count.join(first).select((F.col("n") == 0).alias("passed"), names.alias("detail"))
     quality.enforce(result.select(F.lit("landing_files").alias("check"), "passed", "detail"), policy)
 
 
-def write_manifest(spark: SparkSession, base: str, run_date: str) -> None:
+def write_manifest(spark: SparkSession, base: str, run_date: str, total_locations: int) -> None:
     """Summary of the daily files of the run, below ``_manifests``."""
     documents = landing.read_documents(spark, landing.landing_globs(base, "daily", run_date), "daily")
     days = landing.parse_documents(documents, "daily").groupBy("location_key", "run_date", "source_file").agg(
@@ -92,7 +127,7 @@ def write_manifest(spark: SparkSession, base: str, run_date: str) -> None:
     files_of_run = landing.found_files(spark, base, run_date).where("resolution = 'daily'")
     sizes = files_of_run.select("location_key", "run_date", "size_bytes")
     entries = days.join(sizes, ["location_key", "run_date"]).withColumnRenamed("source_file", "object_key")
-    manifest = landing.manifest(entries, len(seeds.LOCATIONS))
+    manifest = landing.manifest(entries, total_locations)
     manifest.write.mode("overwrite").json(f"{base.rstrip('/')}/_manifests/{run_date}")
 
 
@@ -110,22 +145,53 @@ def build_silver(house: Warehouse, run_date: str, el_nino_from: dt.date = EL_NIN
     weather.store_run(hourly, house.path("silver_weather_hourly"), run_date)
 
 
+def _days_before(gold: DataFrame) -> list[dt.date]:
+    """The days before the first days of the locations of a run; the calendar bounds their number."""
+    firsts = gold.groupBy("location_key").agg(F.min("obs_date").alias("first"))
+    return [r.day for r in firsts.select(F.date_sub("first", 1).alias("day")).distinct().collect() if r.day]
+
+
 def build_gold(house: Warehouse, run_date: str) -> None:
-    """Gold, the island aggregate and the star fact of one run."""
-    location = seeds.dim_location(house.spark)
+    """Gold, the island aggregate and the star fact of one run; true streaks go on from earlier runs."""
+    location = house.read("dim_location")
     gold = weather.gold_daily(house.read("silver_weather_daily", run_date), location)
+    before = house.read("gold_weather_daily").where(F.col("run_date") < F.lit(run_date).cast("date"))
+    before = before.where(F.col("obs_date").isin(_days_before(house.read("silver_weather_daily", run_date))))
+    gold = continue_streaks(gold, before).select(*schemas.GOLD_WEATHER_DAILY.names)
     weather.store_run(gold, house.path("gold_weather_daily"), run_date)
     gold = house.read("gold_weather_daily", run_date)
     islands = weather.island_daily(gold, location)
     weather.store_run(islands, house.path("gold_weather_island_daily"), run_date)
-    dims = seeds.dim_date(house.spark), seeds.dim_weather_condition(house.spark), seeds.dim_risk_level(house.spark)
+    quality.enforce(left_out(house, gold), "warn")
+    sync_star_fact(house, gold)
+
+
+def sync_star_fact(house: Warehouse, gold: DataFrame | None = None) -> None:
+    """Upsert gold into the star fact; without `gold` all of it, which rebuilds a lost fact."""
+    gold = house.read("gold_weather_daily") if gold is None else gold
+    dims = [house.read(t) for t in ("dim_date", "dim_weather_condition", "dim_risk_level")]
     weather.store_star_fact(weather.star_fact(gold, *dims), house.path("fact_weather_daily"))
 
 
+def left_out(house: Warehouse, gold: DataFrame) -> DataFrame:
+    """How many gold rows the star fact cannot hold, for want of a location or a date."""
+    dates = house.read("dim_date").select(F.col("full_date").alias("obs_date"), F.lit(True).alias("dated"))
+    checked = gold.select("location_id", "obs_date").join(dates, "obs_date", "left")
+    lost = F.col("location_id").isNull() | F.col("dated").isNull()
+    return quality.run_checks(checked, [quality.Check("rows_left_out_of_fact", F.count_if(lost), equals=0)])
+
+
+def check_keys(house: Warehouse, table: str, run_date: str | None = None) -> None:
+    """Keys of a stored table must be whole and unique, in place of the database's constraints."""
+    df, keys = house.read(table, run_date), schemas.TABLE_KEYS[table]
+    quality.enforce(quality.key_check(df, keys, f"{table}_unique"))
+    quality.enforce(quality.whole_key_check(df, keys, f"{table}_not_null"))
+
+
 def create_dashboard_view(house: Warehouse, name: str = "gold_alert_dashboard") -> None:
     """The dashboard as a view: it is computed from the stored gold table whenever it is queried."""
     gold = house.read("gold_weather_daily")
-    weather.alert_dashboard(gold, seeds.dim_location(house.spark)).createOrReplaceTempView(name)
+    weather.alert_dashboard(gold, house.read("dim_location")).createOrReplaceTempView(name)
 
 
 def weather_run(
@@ -136,19 +202,30 @@ def weather_run(
     *,
     least_cities: int = 10,
     el_nino_from: dt.date = EL_NINO_FROM,
+    dates: tuple[dt.date, dt.date] = seeds.DATE_RANGE,
 ) -> DataFrame:
-    """Landing files to the daily report; a failed gate stops the run before the next layer."""
+    """Landing files to the daily report; a failed gate stops the run before the next layer.
+
+    The stored dimensions decide which locations are expected (see `Warehouse.add`).
+    """
     house = Warehouse(spark, warehouse_base)
-    check_landing(spark, landing_base, run_date)
-    write_manifest(spark, landing_base, run_date)
+    house.seed(dates)
+    location = house.read("dim_location")
+    cities = location.count()
+    check_landing(spark, landing_base, run_date, location)
+    write_manifest(spark, landing_base, run_date, cities)
     load_bronze(spark, landing_base, house, run_date)
+    check_keys(house, "bronze_weather_daily", run_date)
     bronze = house.read("bronze_weather_daily", run_date)
-    quality.enforce(quality.run_checks(bronze, quality.bronze_checks(len(seeds.LOCATIONS))), "warn")
+    quality.enforce(quality.run_checks(bronze, quality.bronze_checks(cities)), "warn")
     build_silver(house, run_date, el_nino_from)
+    check_keys(house, "silver_weather_daily", run_date)
     silver = house.read("silver_weather_daily", run_date)
     quality.enforce(quality.run_checks(silver, quality.silver_checks(least_cities)))
     build_gold(house, run_date)
+    check_keys(house, "gold_weather_daily", run_date)
+    check_keys(house, "fact_weather_daily")
     gold = house.read("gold_weather_daily", run_date)
     quality.enforce(quality.run_checks(gold, quality.gold_checks(least_cities, el_nino_from)))
     create_dashboard_view(house)
-    return weather.daily_report(gold, seeds.dim_location(spark), run_date)
+    return weather.daily_report(gold, location, run_date)

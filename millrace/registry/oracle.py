@@ -289,7 +289,8 @@ condition AS (
 RISK = f"""
 risk AS (
   SELECT * FROM (VALUES {_values(seeds.RISK_LEVELS)})
-  AS t(risk_id, risk_code, risk_category, risk_score, mitigation_action, alert_color))"""
+  AS t(risk_id, risk_code, risk_category, risk_score, flood_risk, drought_risk, wildfire_risk, heat_risk,
+       mitigation_action, alert_color))"""
 FACT_SELECT = """
 SELECT location_id, date_id, condition_id, risk_id, temp_max_c, temp_min_c, temp_avg_c, precip_mm, windspeed_kmh, humidity_pct,
        apparent_temp_max_c AS apparent_temp_max, drought_index, dry_day_streak, heat_index, fire_weather_idx, crop_stress_score,
@@ -345,8 +346,7 @@ WEATHER_SQL = {
     + """SELECT c.*,
     (SELECT count(*) FROM gold g WHERE g.condition_label = c.condition_code) AS days FROM condition c""",
     "dim_risk_level": _with(LOCATION, BRONZE, SILVER, GOLD, RISK)
-    + """SELECT r.*, risk_category AS flood_risk, risk_category AS drought_risk, risk_category AS wildfire_risk,
-    risk_category AS heat_risk, (SELECT count(*) FROM gold g WHERE g.risk_code = r.risk_code) AS days FROM risk r""",
+    + """SELECT r.*, (SELECT count(*) FROM gold g WHERE g.risk_code = r.risk_code) AS days FROM risk r""",
     "bronze_weather_daily": _with(LOCATION, BRONZE) + f"SELECT {BRONZE_COLUMNS}, {EXTRACTED} FROM bronze",
     "bronze_weather_hourly": _with(LOCATION, HOURLY) + f"SELECT {HOURLY_COLUMNS}, {EXTRACTED} FROM hourly",
     "landing_daily_documents": _with(LOCATION, BRONZE) + f"SELECT {BRONZE_COLUMNS} FROM bronze",

@@ -29,7 +29,9 @@ _TYPES = {
     "date": DateType(),
     "timestamp": TimestampType(),
     "timestamp_ntz": TimestampNTZType(),
+    "decimal(6,2)": DecimalType(6, 2),
     "decimal(10,2)": DecimalType(10, 2),
+    "decimal(15,2)": DecimalType(15, 2),
     "decimal(18,4)": DecimalType(18, 4),
     "decimal(18,8)": DecimalType(18, 8),
 }
@@ -73,6 +75,16 @@ TRF_SALES_SUMMARY = _schema(
 FACT_SALES_PERFORMANCE = StructType(
     TRF_SALES_SUMMARY.fields + _schema("LoadTimestamp timestamp_ntz, BatchDate date").fields
 )
+# the database flavour of the same table
+FACT_SALES_PERFORMANCE_DECIMAL = StructType(
+    _schema(
+        "ProductID bigint, ProductName string, ProductNumber string, Category string, Subcategory string, "
+        "TerritoryID int, TerritoryName string, CountryRegionCode string, TotalRevenue decimal(15,2), TotalQty bigint, "
+        "AvgUnitPrice decimal(10,2), ListPrice decimal(10,2), StandardCost decimal(10,2), Margin decimal(10,2), "
+        "MarginPct decimal(6,2)"
+    ).fields
+    + _schema("LoadTimestamp timestamp_ntz, BatchDate date").fields
+)
 
 # -- weather landing ---------------------------------------------------------
 LANDING_META = _schema(
@@ -209,11 +221,12 @@ STORED_TABLES = {
     "silver_weather_hourly": (SILVER_WEATHER_HOURLY, ("run_date",)),
     "gold_weather_daily": (GOLD_WEATHER_DAILY, ("run_date",)),
     "gold_weather_island_daily": (GOLD_WEATHER_ISLAND_DAILY, ("run_date",)),
-    "fact_weather_daily": (FACT_WEATHER_DAILY, ()),
+    "fact_weather_daily": (StructType([*FACT_WEATHER_DAILY.fields, *_schema("date_month int").fields]), ("date_month",)),
     "stg_sales_orders": (STG_SALES_ORDERS, ()),
     "stg_products": (STG_PRODUCTS, ()),
     "trf_sales_summary": (TRF_SALES_SUMMARY, ()),
     "fact_sales_performance": (FACT_SALES_PERFORMANCE, ("BatchDate",)),
+    "fact_sales_performance_decimal": (FACT_SALES_PERFORMANCE_DECIMAL, ("BatchDate",)),
 }
 
 

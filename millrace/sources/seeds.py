@@ -47,12 +47,12 @@ CONDITIONS = [
     ("FOG", "Kabut", "Tidak Hujan", False, False, 1.0),
     ("HAZE", "Asap/Kabut Asap", "Tidak Hujan", True, False, 1.5),
 ]
-# Code, level (category and all four hazard columns), score, action, colour.
+# Code, category, score, the four hazard columns, action, colour.
 RISK_LEVELS = [
-    ("R_LOW", "RENDAH", 10, "Monitor rutin.", "GREEN"),
-    ("R_MODERATE", "SEDANG", 40, "Siaga Level 2.", "YELLOW"),
-    ("R_HIGH", "TINGGI", 70, "Siaga Level 1.", "ORANGE"),
-    ("R_EXTREME", "EKSTREM", 95, "TANGGAP DARURAT.", "RED"),
+    ("R_LOW", "RENDAH", 10, "RENDAH", "RENDAH", "RENDAH", "RENDAH", "Monitor rutin.", "GREEN"),
+    ("R_MODERATE", "SEDANG", 40, "SEDANG", "SEDANG", "SEDANG", "SEDANG", "Siaga Level 2.", "YELLOW"),
+    ("R_HIGH", "TINGGI", 70, "TINGGI", "TINGGI", "TINGGI", "TINGGI", "Siaga Level 1.", "ORANGE"),
+    ("R_EXTREME", "EKSTREM", 95, "EKSTREM", "EKSTREM", "EKSTREM", "EKSTREM", "TANGGAP DARURAT.", "RED"),
 ]
 DATE_RANGE = (dt.date(2024, 1, 1), dt.date(2030, 12, 31))
 
@@ -73,11 +73,7 @@ def dim_weather_condition(spark: SparkSession) -> DataFrame:
 
 
 def dim_risk_level(spark: SparkSession) -> DataFrame:
-    rows = [
-        (i, code, level, score, level, level, level, level, action, colour)
-        for i, (code, level, score, action, colour) in enumerate(RISK_LEVELS, 1)
-    ]
-    return _local(spark, rows, schemas.DIM_RISK_LEVEL)
+    return _local(spark, [(i, *row) for i, row in enumerate(RISK_LEVELS, 1)], schemas.DIM_RISK_LEVEL)
 
 
 def date_series(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:

@@ -13,9 +13,9 @@ from millrace.sources.landing import RESOLUTIONS
 FOLDER = "/root/testdata/sf0.001"
 
 
-def land(base, run, days, seed=0, skip=()):
+def land(base, run, days, seed=0, skip=(), more=(), dry=False):
     rng = random.Random(seed)
-    for city, *_ in seeds.LOCATIONS:
+    for city in [*(row[0] for row in seeds.LOCATIONS), *more]:
         for resolution, fields in zip(RESOLUTIONS, (schemas.DAILY_FIELDS, schemas.HOURLY_FIELDS)):
             if (city, resolution) in skip:
                 continue
@@ -26,6 +26,8 @@ def land(base, run, days, seed=0, skip=()):
                     block[name] = [f"{t}T06:00" for t in time]
                 elif name == "weather_code":
                     block[name] = [rng.randint(0, 99) for _ in time]
+                elif dry and name in ("precipitation_sum", "precipitation"):
+                    block[name] = [0.0 for _ in time]
                 else:
                     block[name] = [round(rng.uniform(0, 60), 1) for _ in time]
             folder = base / resolution / city
@@ -84,6 +86,53 @@ def test_gates_stop_a_run(spark, tmp_path):
     assert house.read("gold_weather_daily").count() == 0
 
 
+def test_streaks_go_on_and_own_locations_count(spark, tmp_path):
+    """Two runs of dry days: the second goes on counting; a sixteenth location is expected, checked and reported."""
+    landing, base = tmp_path / "landing", str(tmp_path / "warehouse")
+    days = [f"2026-04-{d:02d}" for d in range(1, 9)]
+    house = runs.Warehouse(spark, base)
+    house.seed()
+    own = house.read("dim_location").where("location_id = 1").withColumns(
+        {"location_id": F.lit(16), "location_key": F.lit("newtown"), "city_name": F.lit("Newtown")}
+    )
+    house.add("dim_location", own)
+    land(landing, "2026-04-04", days[:4], 1, dry=True)
+    with pytest.raises(QualityError, match="newtown"):
+        runs.weather_run(spark, str(landing), base, "2026-04-04")
+    land(landing, "2026-04-04", days[:4], 1, more=["newtown"], dry=True)
+    assert runs.weather_run(spark, str(landing), base, "2026-04-04").count() == 16
+    land(landing, "2026-04-08", days[4:], 2, more=["newtown"], dry=True)
+    runs.weather_run(spark, str(landing), base, "2026-04-08")
+    gold = house.read("gold_weather_daily").where("location_key = 'newtown'")
+    assert [r.dry_day_streak_true for r in gold.orderBy("obs_date").collect()] == list(range(1, 9))
+    assert house.read("dim_location").count() == 16
+
+    # the fact can be rebuilt from gold alone, and rows that it cannot hold are counted
+    before = stored(house, "fact_weather_daily")
+    rebuilt = runs.Warehouse(spark, str(tmp_path / "other"))
+    rebuilt.seed()
+    house.read("gold_weather_daily").write.partitionBy("run_date").parquet(rebuilt.path("gold_weather_daily"))
+    runs.sync_star_fact(rebuilt)
+    assert stored(rebuilt, "fact_weather_daily") == before
+    stray = house.read("gold_weather_daily").withColumn("obs_date", F.add_months("obs_date", 1200))
+    assert runs.left_out(house, stray).first().passed is False
+    assert runs.left_out(house, house.read("gold_weather_daily")).first().passed is True
+
+
+def test_keys_are_checked(spark, tmp_path):
+    house = runs.Warehouse(spark, str(tmp_path))
+    row = spark.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.SILVER_WEATHER_DAILY.fields if f.name != "run_date"],
+        F.lit("2026-01-01").cast("date").alias("run_date"),
+    )
+    row.union(row).write.partitionBy("run_date").parquet(house.path("silver_weather_daily"))
+    with pytest.raises(QualityError, match="unique"):
+        runs.check_keys(house, "silver_weather_daily")
+    row.write.mode("overwrite").partitionBy("run_date").parquet(house.path("silver_weather_daily"))
+    with pytest.raises(QualityError, match="not_null"):
+        runs.check_keys(house, "silver_weather_daily")
+
+
 def test_sales_runs(spark, tmp_path):
     def read(spec):
         return sample_tables.SALES_FRAMES[spec.folder](spark, FOLDER)
@@ -97,9 +146,18 @@ def test_sales_runs(spark, tmp_path):
     decimal = runs.sales_warehouse(spark, str(tmp_path), "2026-01-01", money="decimal", exclude_online=True)
     assert dict(decimal.dtypes)["MarginPct"] == "decimal(6,2)"
     assert decimal.count() > 0
-
-
-def test_every_report_of_the_packs(spark):
+    # both flavours on two dates stay readable, each with its declared schema
+    runs.sales_ingestion(spark, read, str(tmp_path), "2026-01-02")
+    for money in ("double", "decimal"):
+        runs.sales_warehouse(spark, str(tmp_path), "2026-01-02", money=money)
+    for table in ("fact_sales_performance", "fact_sales_performance_decimal"):
+        schema = schemas.STORED_TABLES[table][0]
+        fact = spark.read.schema(schema).parquet(str(tmp_path / "gold" / table))
+        assert {str(r.BatchDate) for r in fact.collect()} == {"2026-01-01", "2026-01-02"}
+        assert {f.name: f.dataType for f in spark.read.parquet(str(tmp_path / "gold" / table)).schema} == {f.name: f.dataType for f in schema}
+
+
+def test_every_report_of_the_packs(spark, tmp_path):
     facts = {
         "fact_sales_performance": runs.sales.build_fact(
             {n: build(spark, FOLDER) for n, build in sample_tables.SALES_FRAMES.items()}, "2026-01-01"
@@ -113,5 +171,10 @@ def test_every_report_of_the_packs(spark):
     assert len(reports) == 27
     assert all(df.columns for df in reports.values())
     assert reports["sales/by_territory"].count() == 25
+    paths = runs.write_reports(facts, str(tmp_path))
+    assert len(paths) == 27
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/reports/sales/by_territory").collect()] == [
+        tuple(r) for r in reports["sales/by_territory"].collect()
+    ]
     only = packs.analytic_queries({"fact_hr_workforce": facts["fact_hr_workforce"]})
     assert sorted(only) == sorted(n for n in reports if n.startswith("hr/"))
