@@ -32,8 +32,13 @@ HEADLINE = [
     "gold_island_daily",
     "gold_alert_dashboard",
     "fact_weather_daily",
+    "upsert_ignore",
     "upsert_replace",
+    "landing_hourly_documents",
+    "stream_landing_to_bronze",
+    "stream_bronze_to_silver",
     "dq_gold",
+    "dq_unique_keys",
     "hr_top5_pay",
     "hr_mover_pct",
     "vendor_ranking",
