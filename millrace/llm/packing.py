@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import Encoder, vocabulary
+from millrace.llm.bpe import encoder, vocabulary
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 COLUMNS = [field.split()[0] for field in SCHEMA.split(", ")]
@@ -124,12 +124,12 @@ def pack(docs: DataFrame, capacity: int = 1024, end_id: int = 0, tokenizer: str
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encode = encoder(path).encode
         packer = Packer(capacity, TaskContext.get().partitionId() << 36)
         for batch in batches:
             for i in range(0, len(batch), BATCH):
                 part = batch.iloc[i : i + BATCH]
-                for doc_id, ids in zip(part["doc_id"], encoder.encode(list(part["text"])), strict=True):
+                for doc_id, ids in zip(part["doc_id"], encode(list(part["text"])), strict=True):
                     packer.add(int(doc_id) if doc_id else None, ids + end)
                 yield packer.take()
         packer.finish()

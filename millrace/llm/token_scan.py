@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import Encoder, vocabulary
+from millrace.llm.bpe import encoder, vocabulary
 from millrace.llm.common import keep
 
 BLOCK_TOKENS = 1 << 18
@@ -43,14 +43,14 @@ def write_stream(docs: DataFrame, end_id: int = 50256, dtype: str = "<u2", token
     path = tokenizer or vocabulary()
 
     def run(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, file = Encoder(path), TaskContext.get().partitionId()
+        encode, file = encoder(path).encode, TaskContext.get().partitionId()
         end, size = np.array([end_id], dtype=dtype).tobytes(), BLOCK_TOKENS * WIDTH[dtype]
         left, block, ordinal = b"", 0, 0
         for pdf in pdfs:
             for i in range(0, len(pdf), BATCH):
                 part = pdf.iloc[i : i + BATCH]
                 pieces, ids = [left], []
-                for doc_id, one in zip(part["doc_id"], encoder.encode(list(part["text"])), strict=True):
+                for doc_id, one in zip(part["doc_id"], encode(list(part["text"])), strict=True):
                     tokens = np.frombuffer(one, dtype="<u4")
                     pieces += [tokens[tokens != end_id].astype(dtype).tobytes(), end]
                     ids.append((file, ordinal, int(doc_id) if doc_id else None))

@@ -7,7 +7,7 @@ from millrace.llm import packing
 from millrace.llm.bpe import Encoder, vocabulary
 
 SCHEMA = "doc_id long, text string, start string, offset int"
-ODD = ["", None, "a", "  two  spaces\n\n\tand tab ", "x\x1cy !\x1c z", "non\xa0breaking \xa0 space x", "end <|endoftext|> mark", "z" * 3000]
+ODD = ["\n", " ", "a\n", "\nb", " c", "d ", "e\nf g\nh", "i\n\nj", "k \nl", "it's 12,5% \u00e9t\u00e9 \u4f60\u597d", "", None, "a", "  two  spaces\n\n\tand tab ", "x\x1cy !\x1c z", "non\xa0breaking \xa0 space x", "end <|endoftext|> mark", "z" * 3000]
 
 
 TOKENIZER = Tokenizer.from_file(vocabulary())
