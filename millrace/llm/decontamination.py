@@ -52,6 +52,16 @@ _MULTIPLIER = 0x9E3779B97F4A7C15  # odd; powers of it weigh the places of a wind
 VARIANTS = (0, 1)  # names as words, names as placeholders
 
 
+def form_of(token: str) -> str:
+    """The token in a template that keeps names as words."""
+    low = token.lower()
+    return NUMBER if token[0].isdigit() or low in NUMBER_WORDS else UNIT if low in UNITS else low
+
+
+def is_capitalised(token: str) -> bool:
+    return token[0].isupper() and token[1:].islower()
+
+
 def tokens_of(text: str | None) -> tuple[list[str], list[tuple[str, ...]]]:
     """Raw tokens, and the template tokens of each variant."""
     raw, plain, named, starts = [], [], [], True
@@ -59,39 +69,68 @@ def tokens_of(text: str | None) -> tuple[list[str], list[tuple[str, ...]]]:
         if token in ".!?\n":
             starts = True
             continue
-        low = token.lower()
-        form = NUMBER if token[0].isdigit() or low in NUMBER_WORDS else UNIT if low in UNITS else low
+        low, form = token.lower(), form_of(token)
         raw.append(low)
         plain.append(form)
-        name = form is low and not starts and token[0].isupper() and token[1:].islower()
+        name = form == low and not starts and is_capitalised(token)
         named.append(NAME if name else form)
         starts = False
     return raw, [tuple(plain), tuple(named)]
 
 
-def _token_hash(token: str) -> int:
-    return xxhash.xxh64_intdigest(token.encode(), 7)
+def token_hash(form: str) -> int:
+    return xxhash.xxh64_intdigest(form.encode(), 7)
+
+
+def window_hashes(each: np.ndarray, width: int, variant: int) -> np.ndarray:
+    """A hash per window start, from the hashes of the template tokens."""
+    n = len(each) - width + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    total = np.full(n, (width << 1) + variant, dtype=np.uint64)
+    for i in range(width):
+        total *= np.uint64(_MULTIPLIER)
+        total += each[i : i + n]
+    return total ^ total >> np.uint64(29)
 
 
-class Hasher(dict):
-    """Token to 64-bit hash, remembered for a bounded number of tokens."""
+class Scanner(dict):
+    """Token to its number in tables of hashes and kinds, for whole texts at numpy's speed.
+
+    Gives the same template hashes as `tokens_of` does; holds a bounded number of tokens.
+    """
+
+    MOST = 400_000
+    END, NAME_LIKE = 1, 2
+
+    def __init__(self):
+        super().__init__()
+        self._hash, self._kind = np.zeros(1 << 12, dtype=np.uint64), np.zeros(1 << 12, dtype=np.int8)
+        self._name = np.uint64(token_hash(NAME))
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 500_000:
+        number = self[token] = len(self)
+        if number == len(self._hash):
+            self._hash, self._kind = (np.concatenate([x, np.zeros_like(x)]) for x in (self._hash, self._kind))
+        form = form_of(token)
+        likely_name = is_capitalised(token) and form == token.lower()
+        self._kind[number] = self.END if token in ".!?\n" else self.NAME_LIKE if likely_name else 0
+        self._hash[number] = token_hash(form)
+        return number
+
+    def templates(self, text: str | None) -> list[np.ndarray]:
+        """Hashes of the template tokens of each variant."""
+        if len(self) > self.MOST:
             self.clear()
-        value = self[token] = _token_hash(token)
-        return value
-
-    def windows(self, template: tuple[str, ...], width: int, variant: int) -> np.ndarray:
-        """A hash per window start."""
-        n = len(template) - width + 1
-        if n <= 0:
-            return np.zeros(0, dtype=np.uint64)
-        each = np.fromiter(map(self.__getitem__, template), dtype=np.uint64, count=len(template))
-        total = np.full(n, (width << 1) + variant, dtype=np.uint64)
-        for i in range(width):
-            total = total * np.uint64(_MULTIPLIER) + each[i : i + n]
-        return total ^ total >> np.uint64(29)
+        tokens = TOKEN.findall(text or "")
+        number = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        kind = self._kind[number]
+        starts = np.ones(len(tokens), dtype=bool)
+        starts[1:] = kind[:-1] == self.END
+        word = kind != self.END
+        plain = self._hash[number]
+        named = np.where((kind == self.NAME_LIKE) & ~starts, self._name, plain)
+        return [plain[word], named[word]]
 
 
 def informative(template: tuple[str, ...], width: int) -> np.ndarray:
@@ -110,14 +149,15 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
-            hasher, rows = Hasher(), []
+            rows = []
             for item_id, text in zip(pdf["item_id"], pdf["text"], strict=True):
                 raw, templates = tokens_of(text)
                 if item_id is None or len(raw) < SHORTEST:
                     continue
                 width = min(WINDOW, len(raw))
                 for variant in VARIANTS:
-                    hashes, good = hasher.windows(templates[variant], width, variant), informative(templates[variant], width)
+                    each = np.array([token_hash(t) for t in templates[variant]], dtype=np.uint64)
+                    hashes, good = window_hashes(each, width, variant), informative(templates[variant], width)
                     for at in np.flatnonzero(good):
                         values = slots(templates[variant], raw, at, width)
                         rows.append((int(hashes[at].view(np.int64)), int(item_id), variant, width, int(at), values, int(good.sum())))
@@ -148,19 +188,17 @@ def hits_column(text: Column, windows: DataFrame) -> Column:
 
     @F.pandas_udf(HIT)
     def run(texts: pd.Series) -> pd.Series:
-        hasher, out, words = Hasher(), [], bits.value
+        scanner, out, words = Scanner(), [], bits.value
         for text in texts:
-            raw, templates = tokens_of(text)
-            found = []
+            each, found, raw, templates = scanner.templates(text), [], None, None
             for width in widths:
                 for variant in VARIANTS:
-                    if variant and templates[1] == templates[0]:
-                        hashes = hasher.windows(templates[1], width, 1)
-                    else:
-                        hashes = hasher.windows(templates[variant], width, variant)
+                    hashes = window_hashes(each[variant], width, variant)
                     place = hashes & np.uint64(FILTER_BITS - 1)
                     inside = words[place >> np.uint64(6)] >> (hashes & np.uint64(63)) & np.uint64(1)
                     for at in np.flatnonzero(inside):
+                        if raw is None:  # the tokens themselves are needed for hits alone
+                            raw, templates = tokens_of(text)
                         values = slots(templates[variant], raw, at, width)
                         found.append({"hash": int(hashes[at].view(np.int64)), "variant": variant, "at": int(at), "slots": values})
             out.append(found)

@@ -28,14 +28,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import fold_zero, keep, words_of
 
-BLOCK_TOKENS = 1_500_000  # tokens of a block, unless one text is longer
-BATCH_TOKENS = 500_000  # tokens that run through the recursions together
+BLOCK_TOKENS = 1_000_000  # tokens of a block, unless one text is longer
+BATCH_TOKENS = 250_000  # tokens that run through the recursions together
 FREQUENT = 20  # occurrences from which a word is classed by itself
 ENDING = 3  # last letters that class a rarer word
 WORD_CLASSES, ENDING_CLASSES = 1 << 15, 1 << 13
@@ -47,16 +48,31 @@ PART_WORDS = 400_000  # dictionary entries added up in one call, on average
 BLOCK = "block long, ids array<string>, held array<boolean>, lengths array<int>, codes binary, words array<string>, counts array<long>"
 
 
+def squeezed(codes: np.ndarray) -> bytes:
+    """Codes as compressed planes of bytes: the upper ones are nearly empty."""
+    planes = codes.astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 def _blocks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     base, number = TaskContext.get().partitionId() << 32, 0
     book: dict[bytes, int] = {END.encode(): 0}
     codes, ids, held, lengths, tokens = [], [], [], [], 0
 
     def row() -> pd.DataFrame:
-        joined = np.concatenate(codes).astype("<i4")
+        words = np.array(list(book), dtype=object)
+        order = np.argsort(np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=len(words)), kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        joined = rank[np.concatenate(codes)]
         train = np.repeat(~np.array(held, dtype=bool), lengths)
         counts = np.bincount(joined[train], minlength=len(book))
-        one = (base + number, ids, held, lengths, joined.tobytes(), [w.decode() for w in book], counts)
+        one = (base + number, ids, held, lengths, squeezed(joined), [w.decode() for w in words[order]], counts)
         return pd.DataFrame([one], columns=["block", "ids", "held", "lengths", "codes", "words", "counts"])
 
     for batch in batches:
@@ -89,29 +105,30 @@ class Corpus:
     class_words: np.ndarray
 
 
-REQUEST = "part int, block long, at binary, words string, counts binary"
+REQUEST = "part int, block long, at int, words string, counts binary"
 ANSWER = (
-    "part int, block long, at binary, c binary, class binary,"
+    "part int, block long, at int, c binary, class binary,"
     " stats array<struct<class: int, c: long, v: long, n1: long, n2: long>>, top array<struct<c: long, word: string, class: int>>"
 )
 
 
 def _requests(parts: int):
-    """Each block's dictionary, dealt out by a hash of the word: a row per block and part, not per word."""
+    """Each block's dictionary, dealt out by a hash of the word: a row per block and part, not per word.
+
+    A dictionary is in the order of that hash, so a part of it is one stretch, known by its first place.
+    """
 
     def run(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
             for r in pdf.itertuples(index=False):
                 words = np.asarray(r.words, dtype=object)
                 counts = np.asarray(r.counts)
-                part = np.fromiter((zlib.crc32(w.encode()) % parts for w in words), dtype=np.int64, count=len(words))
-                order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(parts + 1))
+                crc = np.fromiter((zlib.crc32(w.encode()) for w in words), dtype=np.int64, count=len(words))
+                cuts = np.searchsorted(crc * parts >> 32, np.arange(parts + 1))
                 rows = []
-                for p in range(parts):
-                    at = order[cuts[p] : cuts[p + 1]]
-                    if len(at):
-                        rows.append((p, r.block, at.astype("<i4").tobytes(), " ".join(words[at]), counts[at].astype("<i4").tobytes()))
+                for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                    if b > a:
+                        rows.append((p, r.block, a, " ".join(words[a:b]), counts[a:b].astype("<i4").tobytes()))
                 yield pd.DataFrame(rows, columns=["part", "block", "at", "words", "counts"])
 
     return run
@@ -144,7 +161,7 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     top = [{"c": n, "word": w, "class": k} for n, w, k in best[: ANCHORS + 1]]
     rows.append((part, None, None, None, None, stats, top))
     out = pd.DataFrame(rows, columns=["part", "block", "at", "c", "class", "stats", "top"])
-    return out.astype({"block": "Int64"})
+    return out.astype({"block": "Int64", "at": "Int32"})
 
 
 def corpus(docs: DataFrame, folds: int = 10) -> Corpus:
@@ -278,12 +295,13 @@ def expected(model: Model, cls: np.ndarray, starts: np.ndarray, lengths: np.ndar
 def _parts(pdf: pd.DataFrame) -> Iterator[tuple]:
     """(ids, held, lengths, starts, counts and classes per token) of each block."""
     for r in pdf.itertuples(index=False):
-        codes = np.frombuffer(r.codes, dtype="<i4")
+        codes = unsqueezed(r.codes)
         lengths = np.asarray(r.lengths, dtype=np.int64)
         c, cls = np.zeros(r.n, dtype=np.int64), np.full(r.n, -1, dtype=np.int32)
         for x in r.answers:
-            at = np.frombuffer(x["at"], dtype="<i4")
-            c[at], cls[at] = np.frombuffer(x["c"], dtype="<i8"), np.frombuffer(x["class"], dtype="<i4")
+            counts = np.frombuffer(x["c"], dtype="<i8")
+            place = slice(x["at"], x["at"] + len(counts))
+            c[place], cls[place] = counts, np.frombuffer(x["class"], dtype="<i4")
         yield r.ids, np.asarray(r.held, dtype=bool), lengths, np.cumsum(lengths) - lengths, c[codes], cls[codes]
 
 
@@ -311,7 +329,7 @@ def baum_welch_round(stats: Corpus, model: Model) -> tuple[Model, float]:
         yield pd.DataFrame({"class": names} | {f"s{s}": rows[:, s] for s in range(k)})
 
     columns = [f"s{s}" for s in range(k)]
-    parts = stats.blocks.mapInPandas(run, "class int, " + ", ".join(f"{c} double" for c in columns))
+    parts = stats.blocks.mapInPandas(run, "class int, " + ", ".join(f"{c} float" for c in columns))
     sums = parts.groupBy("class").agg(*[F.sum(c).alias(c) for c in columns]).collect()  # a row per class
     shared.unpersist()
     per_class, moves, first, log = np.zeros((classes, k)), np.zeros((k, k)), np.zeros(k), 0.0

@@ -101,3 +101,13 @@ def test_bloom_holds_every_window(spark):
     for r in windows.collect():
         place = r.hash & leaks.FILTER_BITS - 1
         assert int(bits[place >> 6]) >> (r.hash & 63) & 1
+
+
+def test_scanner_equals_templates(spark):
+    scanner = leaks.Scanner()
+    scanner.MOST = 50  # starts over again and again
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text in [TRAINS, "", None, "One two. Three Four, 5 KM Éte Été McDonald NASA!\nAnna", *texts[:60]]:
+        _, templates = leaks.tokens_of(text)
+        for each, template in zip(scanner.templates(text), templates, strict=True):
+            assert each.tolist() == [leaks.token_hash(t) for t in template]

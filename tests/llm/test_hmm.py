@@ -85,6 +85,12 @@ def test_recursions_equal_sums_over_all_paths():
     assert np.allclose(first, want_first) and np.allclose(moves, want_moves) and np.allclose(got, want)
 
 
+def test_codes_survive_squeezing():
+    codes = np.random.default_rng(0).integers(0, 1 << 24, 5000)
+    assert hmm.unsqueezed(hmm.squeezed(codes)).tolist() == codes.tolist()
+    assert hmm.unsqueezed(hmm.squeezed(codes[:0])).tolist() == []
+
+
 def test_batches_hold_every_text_once():
     lengths = np.array([3, 9, 1, 9, 4, 2])
     batches = list(hmm.batches_of(lengths, 10))
