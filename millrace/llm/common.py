@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +15,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+_swept: list[list[str]] = []
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write df to a fresh shared folder and read it back: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    return stored(df, workspace(spark, label))
+    """Write df to a fresh shared folder and read it back: cuts the lineage and survives lost executors.
+
+    The folder stays for as long as a result may read it; `swept` removes it.
+    """
+    path = workspace(df.sparkSession, label)
+    if _swept:
+        _swept[-1].append(path)
+    return stored(df, path)
+
+
+@contextlib.contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Removes, on success, the folders that `keep` made inside the block; results must be written by then."""
+    _swept.append([])
+    try:
+        yield
+    finally:
+        made = _swept.pop()
+    for folder in made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold_zero(doc_id: Column, folds: int) -> Column:
@@ -70,12 +90,3 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
         out = joined.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         out = out.union(least.select("u", F.col("m").alias("v")))
     return out.where(F.col("u") != F.col("v")).distinct()
-
-
-def frames(rows: list[tuple], columns: list[str], size: int = 50_000) -> Iterator[pd.DataFrame]:
-    for i in range(0, len(rows), size):
-        yield pd.DataFrame(rows[i : i + size], columns=columns)
-
-
-def array_of(values: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(values, dtype=dtype)
