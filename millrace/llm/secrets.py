@@ -48,7 +48,11 @@ KNOWN = re.compile("|".join(KNOWN_FORMATS))
 VALUE = r"[A-Za-z0-9+/=_.~!@#$%^&*-]"
 ASSIGNED = re.compile(rf"""(?i)\b([a-z0-9_-]{{0,40}}(?:{SECRET_NAMES})[a-z0-9_-]{{0,40}})["']?\s{{0,8}}(?:=>|:=|[:=])\s{{0,8}}["']?({VALUE}{{8,{LONGEST}}})""")
 PEM = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,8192}?(?:-----END [A-Z ]{0,30}PRIVATE KEY-----|$)")
-RUN = re.compile(rf"(?=[A-Za-z0-9+/=_-]{{20}})[A-Za-z0-9+/=_-]{{20,{LONGEST}}}")
+RUN = re.compile(r"[A-Za-z0-9+/=_-]+")
+SHORTEST_RUN = 20
+# texts without any of these need no search for the patterns above
+NAME_PARTS = ["token", "secret", "passw", "pwd", "key", "auth", "credential", "bearer"]
+FORMAT_PARTS = ["AKIA", "gh", "sk-", "xox", "AIza", "eyJ"]
 HEX = re.compile(r"(?i)[0-9a-f]+")
 NOT_SECRET = re.compile(r"(?i)example|sample|placeholder|changeme|your[_-]|xxxx|dummy|checksum|sha1|sha256|md5|hash|uuid|commit|digest")
 SPEAKS_FOR = re.compile(rf"(?i){SECRET_NAMES}|login|key")
@@ -149,9 +153,15 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
     if not text:
         return []
     found = [(m.start(), m.end(), "key") for m in PEM.finditer(text)] if "-----BEGIN" in text else []
-    found += [(m.start(), m.end(), "") for m in KNOWN.finditer(text)]
-    found += [(*m.span(2), m.group(1)) for m in ASSIGNED.finditer(text)]
-    found += [(m.start(), m.end(), "") for m in RUN.finditer(text)]
+    if any(map(text.__contains__, FORMAT_PARTS)):
+        found += [(m.start(), m.end(), "") for m in KNOWN.finditer(text)]
+    if any(map(text.lower().__contains__, NAME_PARTS)):
+        found += [(*m.span(2), m.group(1)) for m in ASSIGNED.finditer(text)]
+    if max(map(len, text.split()), default=0) >= SHORTEST_RUN:
+        for m in RUN.finditer(text):
+            a, b = m.span()
+            if b - a >= SHORTEST_RUN:
+                found += [(i, min(i + LONGEST, b), "") for i in range(a, b, LONGEST) if min(i + LONGEST, b) - i >= SHORTEST_RUN]
     # in order of trust; taken stays sorted, so that only the neighbours can overlap
     taken: list[tuple[int, int, str]] = []
     for span in found:
