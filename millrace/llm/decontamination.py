@@ -20,6 +20,7 @@ shorter than a window is one window. Other columns of both tables are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -62,6 +63,12 @@ def is_capitalised(token: str) -> bool:
     return token[0].isupper() and token[1:].islower()
 
 
+@functools.cache
+def worker_scanner() -> Scanner:
+    """One per worker process: later tasks find the tokens of earlier ones."""
+    return Scanner()
+
+
 def tokens_of(text: str | None) -> tuple[list[str], list[tuple[str, ...]]]:
     """Raw tokens, and the template tokens of each variant."""
     raw, plain, named, starts = [], [], [], True
@@ -100,7 +107,7 @@ class Scanner(dict):
     Gives the same template hashes as `tokens_of` does; holds a bounded number of tokens.
     """
 
-    MOST = 400_000
+    MOST = 600_000
     END, NAME_LIKE = 1, 2
 
     def __init__(self):
@@ -188,7 +195,7 @@ def hits_column(text: Column, windows: DataFrame) -> Column:
 
     @F.pandas_udf(HIT)
     def run(texts: pd.Series) -> pd.Series:
-        scanner, out, words = Scanner(), [], bits.value
+        scanner, out, words = worker_scanner(), [], bits.value
         for text in texts:
             each, found, raw, templates = scanner.templates(text), [], None, None
             for width in widths:
