@@ -37,7 +37,7 @@ SHORTEST = 5  # tokens of an item, or of words that are no placeholders in a win
 RUN = 13  # aligned tokens that are enough by themselves
 COVERAGE = 0.5  # share of an item's windows that is enough
 FILTER_BITS = 1 << 26
-TOKEN = re.compile(r"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_]+|[.!?\n]")
+TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]|[0-9]+(?:[.,:/][0-9]+)*")
 NUMBER_WORDS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
     " eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
