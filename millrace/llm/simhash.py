@@ -178,7 +178,12 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, dense: int = DENSE)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     prints = fingerprint_column(F.col("text"), shingle).alias("fp")
     marked = keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), prints, row), "simhash-rows")
-    found = classes(marked.select("doc_id", "fp"), dense).where(F.col("first_id").eqNullSafe(F.col("component_id")))
+    return keepers_of(marked, classes(marked.select("doc_id", "fp"), dense))
+
+
+def keepers_of(marked: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of marked (doc_id, fp, row) per component of `found`, as `classes` gives them."""
+    found = found.where(F.col("first_id").eqNullSafe(F.col("component_id")))
     keepers = found.groupBy("component", "component_id").agg(F.min("fp").alias("kept_fp"))
     # joined by print and id: a print that many documents share is spread by their ids
     same = (marked["fp"] == keepers["kept_fp"]) & marked["doc_id"].eqNullSafe(keepers["component_id"])
