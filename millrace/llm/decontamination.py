@@ -3,7 +3,8 @@
 Texts become sequences of word and number tokens. A template puts typed placeholders for
 numbers, units and, in one of two variants, names (capitalised words inside a
 sentence); the other variant keeps all words in lower case, so that a change of case
-hides nothing. Windows of template tokens of the benchmark and of the documents are
+hides nothing. A third variant has no placeholders at all: the raw tokens in lower case, all
+of whose windows count, so that exact copies are found whatever they consist of. Windows of template tokens of the benchmark and of the documents are
 joined by hash. Along each alignment of a document with an item the raw values of the
 placeholders must map consistently: an item's number, name or unit always to the same
 value in the document. So a question asked again with other numbers is found, and a
@@ -14,8 +15,9 @@ the windows that cannot match; it is the only thing sent to all tasks.
 
 Rules for unusual rows: a null or empty text matches nothing; a null doc_id is kept;
 repeated rows are judged each; repeated items (by id or by text) are matched each, null
-items' texts never; items of fewer than SHORTEST tokens are not looked for; an item
-shorter than a window is one window. Other columns of both tables are ignored.
+items' texts never; items of fewer than SHORTEST tokens are looked for word for word only,
+so a row of one word finds every text with that word; an item shorter than a window is one
+window. Other columns of both tables are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import keep
 
 WINDOW = 8  # tokens
-SHORTEST = 5  # tokens of an item, or of words that are no placeholders in a window of WINDOW
+SHORTEST = 5  # tokens of an item with placeholders, or of words that are no placeholders in a window of WINDOW
 RUN = 13  # aligned tokens that are enough by themselves
 COVERAGE = 0.5  # share of an item's windows that is enough
 FILTER_BITS = 1 << 26
@@ -50,7 +52,8 @@ UNITS = frozenset(
 )
 NUMBER, UNIT, NAME = "\x01", "\x02", "\x03"  # cannot be tokens
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd; powers of it weigh the places of a window
-VARIANTS = (0, 1)  # names as words, names as placeholders
+RAW = 2
+VARIANTS = (0, 1, RAW)  # names as words, names as placeholders, no placeholders
 
 
 def form_of(token: str) -> str:
@@ -82,7 +85,7 @@ def tokens_of(text: str | None) -> tuple[list[str], list[tuple[str, ...]]]:
         name = form == low and not starts and is_capitalised(token)
         named.append(NAME if name else form)
         starts = False
-    return raw, [tuple(plain), tuple(named)]
+    return raw, [tuple(plain), tuple(named), tuple(raw)]
 
 
 def token_hash(form: str) -> int:
@@ -94,7 +97,7 @@ def window_hashes(each: np.ndarray, width: int, variant: int) -> np.ndarray:
     n = len(each) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    total = np.full(n, (width << 1) + variant, dtype=np.uint64)
+    total = np.full(n, (width << 2) + variant, dtype=np.uint64)
     for i in range(width):
         total *= np.uint64(_MULTIPLIER)
         total += each[i : i + n]
@@ -112,17 +115,19 @@ class Scanner(dict):
 
     def __init__(self):
         super().__init__()
-        self._hash, self._kind = np.zeros(1 << 12, dtype=np.uint64), np.zeros(1 << 12, dtype=np.int8)
+        self._hash, self._raw = np.zeros(1 << 12, dtype=np.uint64), np.zeros(1 << 12, dtype=np.uint64)
+        self._kind = np.zeros(1 << 12, dtype=np.int8)
         self._name = np.uint64(token_hash(NAME))
 
     def __missing__(self, token: str) -> int:
         number = self[token] = len(self)
         if number == len(self._hash):
-            self._hash, self._kind = (np.concatenate([x, np.zeros_like(x)]) for x in (self._hash, self._kind))
-        form = form_of(token)
-        likely_name = is_capitalised(token) and form == token.lower()
+            self._hash, self._raw, self._kind = (np.concatenate([x, np.zeros_like(x)]) for x in (self._hash, self._raw, self._kind))
+        form, low = form_of(token), token.lower()
+        likely_name = is_capitalised(token) and form == low
         self._kind[number] = self.END if token in ".!?\n" else self.NAME_LIKE if likely_name else 0
         self._hash[number] = token_hash(form)
+        self._raw[number] = self._hash[number] if form == low else token_hash(low)
         return number
 
     def templates(self, text: str | None) -> list[np.ndarray]:
@@ -137,7 +142,7 @@ class Scanner(dict):
         word = kind != self.END
         plain = self._hash[number]
         named = np.where((kind == self.NAME_LIKE) & ~starts, self._name, plain)
-        return [plain[word], named[word]]
+        return [plain[word], named[word], self._raw[number[word]]]
 
 
 def informative(template: tuple[str, ...], width: int) -> np.ndarray:
@@ -151,20 +156,21 @@ def slots(template: tuple[str, ...], raw: list[str], start: int, width: int) ->
     return [raw[i] for i in range(start, start + width) if template[i] in (NUMBER, UNIT, NAME)]
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(hash, item_id, variant, width, at, slots, windows): all informative windows of every item."""
+def benchmark_windows(benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+    """(hash, item_id, variant, width, at, slots, windows): all raw and all informative windows of items of `shortest` tokens or more."""
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
             rows = []
             for item_id, text in zip(pdf["item_id"], pdf["text"], strict=True):
                 raw, templates = tokens_of(text)
-                if item_id is None or len(raw) < SHORTEST:
+                if item_id is None or len(raw) < shortest:
                     continue
                 width = min(WINDOW, len(raw))
-                for variant in VARIANTS:
+                for variant in VARIANTS if len(raw) >= SHORTEST else (RAW,):
                     each = np.array([token_hash(t) for t in templates[variant]], dtype=np.uint64)
-                    hashes, good = window_hashes(each, width, variant), informative(templates[variant], width)
+                    hashes = window_hashes(each, width, variant)
+                    good = np.ones(len(hashes), dtype=bool) if variant == RAW else informative(templates[variant], width)
                     for at in np.flatnonzero(good):
                         values = slots(templates[variant], raw, at, width)
                         rows.append((int(hashes[at].view(np.int64)), int(item_id), variant, width, int(at), values, int(good.sum())))
@@ -191,23 +197,22 @@ HIT = "array<struct<hash: bigint, variant: int, at: int, slots: array<string>>>"
 def hits_column(text: Column, windows: DataFrame) -> Column:
     """The windows of a text that may be in the benchmark."""
     bits = windows.sparkSession.sparkContext.broadcast(bloom(windows))
-    widths = [r.width for r in windows.select("width").distinct().orderBy("width").collect()]  # at most WINDOW different ones
+    forms = [(r.width, r.variant) for r in windows.select("width", "variant").distinct().orderBy("width", "variant").collect()]  # at most WINDOW widths
 
     @F.pandas_udf(HIT)
     def run(texts: pd.Series) -> pd.Series:
         scanner, out, words = worker_scanner(), [], bits.value
         for text in texts:
             each, found, raw, templates = scanner.templates(text), [], None, None
-            for width in widths:
-                for variant in VARIANTS:
-                    hashes = window_hashes(each[variant], width, variant)
-                    place = hashes & np.uint64(FILTER_BITS - 1)
-                    inside = words[place >> np.uint64(6)] >> (hashes & np.uint64(63)) & np.uint64(1)
-                    for at in np.flatnonzero(inside):
-                        if raw is None:  # the tokens themselves are needed for hits alone
-                            raw, templates = tokens_of(text)
-                        values = slots(templates[variant], raw, at, width)
-                        found.append({"hash": int(hashes[at].view(np.int64)), "variant": variant, "at": int(at), "slots": values})
+            for width, variant in forms:
+                hashes = window_hashes(each[variant], width, variant)
+                place = hashes & np.uint64(FILTER_BITS - 1)
+                inside = words[place >> np.uint64(6)] >> (hashes & np.uint64(63)) & np.uint64(1)
+                for at in np.flatnonzero(inside):
+                    if raw is None:  # the tokens themselves are needed for hits alone
+                        raw, templates = tokens_of(text)
+                    values = slots(templates[variant], raw, at, width)
+                    found.append({"hash": int(hashes[at].view(np.int64)), "variant": variant, "at": int(at), "slots": values})
             out.append(found)
         return pd.Series(out)
 
@@ -231,7 +236,11 @@ def matches(marked: DataFrame, windows: DataFrame) -> DataFrame:
         F.bool_or(F.coalesce(F.col("b") != F.col("low"), F.lit(False))).alias("changed"),
     )
     spans = pairs.groupBy(*group, "windows", "width").agg(F.collect_set("at").alias("ats"))  # no more than the item's windows
-    lines = spans.join(steady.where("steady"), group)
+    # a raw alignment is exact only where the templates show no other value beside it
+    place = ["rid", "item_id", "shift"]
+    beside = pairs.groupBy(*place).agg(F.bool_or(F.col("slots") != F.col("doc_slots")).alias("beside"))
+    lines = spans.join(steady.where("steady"), group).join(beside, place)
+    lines = lines.withColumn("changed", F.col("changed") | ((F.col("variant") == RAW) & F.col("beside")))
     best = lines.groupBy("rid", "item_id", "variant", "windows", "width").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("covered"),
         F.max(F.size("ats")).alias("longest"),
@@ -247,7 +256,7 @@ def matches(marked: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def _marked(docs: DataFrame, benchmark: DataFrame, *extra: Column) -> tuple[DataFrame, DataFrame]:
-    windows = benchmark_windows(benchmark)
+    windows = benchmark_windows(benchmark, shortest=1)
     rid = F.monotonically_increasing_id().alias("rid")
     ids = F.col("doc_id").cast("long").alias("doc_id")
     marked = keep(docs.select(rid, ids, *extra, hits_column(F.col("text"), windows).alias("hits")), "leak-hits")

@@ -111,3 +111,25 @@ def test_scanner_equals_templates(spark):
         _, templates = leaks.tokens_of(text)
         for each, template in zip(scanner.templates(text), templates, strict=True):
             assert each.tolist() == [leaks.token_hash(t) for t in template]
+
+
+@pytest.mark.parametrize(
+    "item",
+    [
+        "Solve 2 x plus 3 equals 7",
+        "How many minutes are 3 days 4 hours 12 minutes",
+        "1 1 2 3 5 8 13 21 34 55 89",
+        "What is 2 + 2?",
+    ],
+)
+def test_exact_copies_rich_in_numbers(spark, item):
+    docs = [(1, f"Some words before. {item} And some after."), (2, "Some words before. And some after."), (3, item.upper())]
+    got = find(spark, docs, [(10, item), (11, TRAINS)])
+    assert got == {1: (True, 10, "exact"), 2: (False, None, None), 3: (True, 10, "exact")}
+
+
+def test_quote_rich_in_numbers_inside_a_long_item(spark):
+    quote = "3 days 4 hours 12 minutes 9 km 7 kg 5 miles 2"  # 13 tokens, eight windows without enough words
+    item = f"{TRAINS} {quote} weeks and then something else entirely happened to everyone who was there at that time"
+    got = find(spark, [(1, f"nothing of it but {quote} here")], [(10, item)])
+    assert got[1] == (True, 10, "exact")
