@@ -7,7 +7,8 @@ hides nothing. A third variant has no placeholders at all: the raw tokens in low
 of whose windows count, so that exact copies are found whatever they consist of. Windows of template tokens of the benchmark and of the documents are
 joined by hash. Along each alignment of a document with an item the raw values of the
 placeholders must map consistently: an item's number, name or unit always to the same
-value in the document. So a question asked again with other numbers is found, and a
+value in the document. Of an alignment that does not, its longest consistent stretch of
+neighbouring windows counts. So a question asked again with other numbers is found, and a
 chance likeness of forms is not.
 
 Before the join, a Bloom filter of fixed size built from the benchmark's windows drops
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -219,8 +221,45 @@ def hits_column(text: Column, windows: DataFrame) -> Column:
     return run(text.cast("string"))
 
 
+def longest_stretch(windows: list[tuple[int, list[str], list[str]]]) -> list[int]:
+    """The most windows (at, item's slots, document's slots), one after the other, in which each value stands for one value.
+
+    Two ends move over the windows in order; the counts say which values the windows between them map.
+    """
+    windows = sorted(windows, key=lambda w: w[0])
+    seen: dict[str, Counter] = {}
+    best, first, clashes = (0, 0), 0, 0
+    for last, (at, item, doc) in enumerate(windows):
+        if last and at != windows[last - 1][0] + 1:
+            seen, first, clashes = {}, last, 0
+        for b, d in zip(item, doc, strict=True):
+            values = seen.setdefault(b, Counter())
+            clashes += len(values) == 1 and d not in values
+            values[d] += 1
+        while clashes:  # a window that clashes with itself goes as well
+            for b, d in zip(*windows[first][1:], strict=True):
+                values = seen[b]
+                values[d] -= 1
+                if not values[d]:
+                    del values[d]
+                    clashes -= len(values) == 1
+            first += 1
+        best = max(best, (last + 1 - first, -first))
+    return [w[0] for w in windows[-best[1] : -best[1] + best[0]]]
+
+
+def stretch_column(windows: Column) -> Column:
+    """`longest_stretch` of arrays of (at, slots, doc_slots)."""
+
+    @F.pandas_udf("array<int>")
+    def run(lists: pd.Series) -> pd.Series:
+        return pd.Series([longest_stretch([(w["at"], list(w["slots"]), list(w["doc_slots"])) for w in ws]) for ws in lists], dtype=object)
+
+    return run(windows)
+
+
 def matches(marked: DataFrame, windows: DataFrame) -> DataFrame:
-    """(rid, item_id, coverage, aligned, kind) per row (rid, hits) and item with a consistent alignment.
+    """(rid, item_id, coverage, aligned, kind) per row (rid, hits) and item with a consistent alignment or stretch of one.
 
     kind is exact, or reparameterised where a value differs from the item's.
     """
@@ -239,8 +278,14 @@ def matches(marked: DataFrame, windows: DataFrame) -> DataFrame:
     # a raw alignment is exact only where the templates show no other value beside it
     place = ["rid", "item_id", "shift"]
     beside = pairs.groupBy(*place).agg(F.bool_or(F.col("slots") != F.col("doc_slots")).alias("beside"))
-    lines = spans.join(steady.where("steady"), group).join(beside, place)
-    lines = lines.withColumn("changed", F.col("changed") | ((F.col("variant") == RAW) & F.col("beside")))
+    whole = spans.join(steady.where("steady"), group).join(beside, place)
+    whole = whole.withColumn("changed", F.col("changed") | ((F.col("variant") == RAW) & F.col("beside")))
+    columns = [*group, "windows", "width", "ats", "changed"]
+    # of an alignment that is not steady as a whole its longest steady stretch
+    broken = pairs.join(steady.where("not steady").select(*group), group).groupBy(*group, "windows", "width")
+    broken = broken.agg(F.collect_set(F.struct("at", "slots", "doc_slots")).alias("stretch"))  # no more than the item's windows
+    broken = broken.withColumn("ats", stretch_column(F.col("stretch"))).withColumn("changed", F.lit(True)).where(F.size("ats") > 0)
+    lines = whole.select(*columns).union(broken.select(*columns))
     best = lines.groupBy("rid", "item_id", "variant", "windows", "width").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("covered"),
         F.max(F.size("ats")).alias("longest"),

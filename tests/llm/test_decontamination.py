@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +135,38 @@ def test_quote_rich_in_numbers_inside_a_long_item(spark):
     item = f"{TRAINS} {quote} weeks and then something else entirely happened to everyone who was there at that time"
     got = find(spark, [(1, f"nothing of it but {quote} here")], [(10, item)])
     assert got[1] == (True, 10, "exact")
+
+
+def words(first, count):
+    return " ".join("w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(first, first + count))
+
+
+def test_one_changed_value_does_not_hide_a_copy(spark):
+    item = f"{words(0, 30)} 3 {words(30, 40)} 3 {words(70, 28)}"
+    shared = f"{words(100, 6)} 3 apples and 3 pears {words(110, 15)}"  # two slots that merely share a value
+    docs = [(1, item.replace("3", "4", 1)), (2, shared.replace("3 apples", "5 apples").replace("3 pears", "7 pears"))]
+    got = find(spark, docs, [(10, item), (11, shared)])
+    assert got == {1: (True, 10, "reparameterised"), 2: (True, 11, "reparameterised")}
+
+
+def test_stretch_of_other_values_only(spark):
+    """Seventeen tokens with new numbers in each window, so that no raw window agrees, and a clash behind them."""
+    item = "the 3 red boats meet the 8 blue boats near the 6 old ships while some 3 whales watch"
+    doc = "the 4 red boats meet the 9 blue boats near the 7 old ships while some 5 whales watch"
+    assert find(spark, [(1, doc)], [(10, item)])[1] == (True, 10, "reparameterised")
+
+
+def test_longest_stretch_by_brute_force():
+    rng = random.Random(2)
+    for _ in range(300):
+        ats = sorted(rng.sample(range(14), rng.randint(1, 12)))
+        windows = [(a, [rng.choice("ab") for _ in range(2)], [rng.choice("xxxy") for _ in range(2)]) for a in ats]
+        best = 0
+        for i in range(len(ats)):
+            for j in range(i + 1, len(ats) + 1):
+                part = windows[i:j]
+                pairs = {p for _, b, d in part for p in zip(b, d, strict=True)}
+                if part[-1][0] - part[0][0] == j - i - 1 and len({b for b, _ in pairs}) == len(pairs):
+                    best = max(best, j - i)
+        got = leaks.longest_stretch(rng.sample(windows, len(windows)))
+        assert len(got) == best and got == list(range(got[0], got[0] + best) if got else [])
