@@ -99,10 +99,18 @@ def window_hashes(each: np.ndarray, width: int, variant: int) -> np.ndarray:
     n = len(each) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    total = np.full(n, (width << 2) + variant, dtype=np.uint64)
-    for i in range(width):
-        total *= np.uint64(_MULTIPLIER)
-        total += each[i : i + n]
+    # hashes of 1, 2, 4 ... tokens, each from two of the half, put together to the width
+    sizes = [1 << i for i in range(width.bit_length())]
+    power = [np.uint64(pow(_MULTIPLIER, size, 1 << 64)) for size in sizes]
+    blocks = [each]
+    for size, by in zip(sizes[:-1], power, strict=False):
+        blocks.append(blocks[-1][:-size] * by + blocks[-1][size:])
+    total, done = np.uint64(0), 0
+    for size, by, block in zip(sizes[::-1], power[::-1], blocks[::-1], strict=True):
+        if width & size:
+            part = block[done : done + n]
+            total, done = total * by + part if done else part, done + size
+    total = total + np.uint64(((width << 2) + variant) * pow(_MULTIPLIER, width, 1 << 64) & (1 << 64) - 1)
     return total ^ total >> np.uint64(29)
 
 
