@@ -36,8 +36,9 @@ BASE = {
 # wider forms; what a base span covers is left out later
 WIDE = {
     "email": r"(?i)(?:\G|(?<![A-Z0-9._%+-]))[A-Z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\{at\})\x20?[A-Z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Z0-9-]++)++",
-    "ip": r"(?i)(?<![0-9A-F:])(?:[0-9A-F]{1,4}:){7}[0-9A-F]{1,4}(?![0-9A-F:])",
-    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4})(?![0-9])",
+    "ip": r"(?i)(?<![0-9A-F:])(?:[0-9A-F]{1,4}:){7}[0-9A-F]{1,4}(?![0-9A-F:])"
+    r"|(?<![\p{L}\p{N}_:])(?:[0-9A-F]{1,4}(?::[0-9A-F]{1,4}){0,6}::(?:[0-9A-F]{1,4}(?::[0-9A-F]{1,4}){0,5})?|::[0-9A-F]{1,4}(?::[0-9A-F]{1,4}){0,6})(?![\p{L}\p{N}_:])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[\x20-][0-9]{3,7}){2,3})(?![0-9])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[.\x20-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])",
 }
 # cheap tests that a text must pass before a pattern is run on it
@@ -47,7 +48,7 @@ MAY_HOLD = {
     ("card", True): ("rlike", r"[0-9][\x20-]?[0-9]"),
     ("phone", True): ("rlike", r"\+[0-9]"),
     ("email", False): ("rlike", r"(?i)[(\[{]at[)\]}]"),
-    ("ip", False): ("rlike", r"(?i)(?:[0-9A-F]{1,4}:){7}"),
+    ("ip", False): ("rlike", r"(?i)(?:[0-9A-F]{1,4}:){7}|[0-9A-F]::|::[0-9A-F]"),
     ("card", False): ("rlike", r"[0-9]{4}[\x20-]?[0-9]{3}"),
     ("phone", False): ("rlike", r"[0-9]{3}[.\x20-][0-9]{4}"),
 }
@@ -130,9 +131,10 @@ def spans(stored: DataFrame) -> DataFrame:
     n = F.char_length(digits)
     kind, base = F.col("kind"), F.col("base")
     right_length = n.between(16, 19)
+    groups = F.size(F.filter(F.split("match", ":"), lambda x: x != ""))
     ok = (
         F.when(kind == 0, F.lit(True))
-        .when(kind == 1, F.when(base, F.col("match").rlike(rf"^{IP_PART}(?:\.{IP_PART}){{3}}$")).otherwise(True))
+        .when(kind == 1, F.when(base, F.col("match").rlike(rf"^{IP_PART}(?:\.{IP_PART}){{3}}$")).otherwise(groups <= F.when(F.contains("match", F.lit("::")), 7).otherwise(8)))
         .when(kind == 2, F.when(n.between(13, 19), luhn(digits)).otherwise(False))
         .otherwise(n.between(8, 15))
     )

@@ -109,3 +109,14 @@ def test_neighbours_that_spoil_a_base_match(spark):
     rows = {r.doc_id: r for r in pii.find(spark.createDataFrame(data, SCHEMA)).collect()}
     assert (rows[100].n_card, rows[100].spans) == (0, "card:2:18,card:19:35")
     assert (rows[101].n_phone, rows[101].n_ip, rows[101].spans) == (0, 1, "ip:20:35,phone:2:19")
+
+
+def test_printed_cards_and_short_ipv6_are_proposed(spark):
+    found = ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904", "4222 222 222 222", "2001:db8::1", "fe80::", "::ffff:0:1", "2001:DB8:0:0:0:0:0:1"]
+    left_out = ["std::vector", "Foo::Bar", "a :: b"]
+    texts = [f"é before {t} after" for t in found + left_out]
+    df = spark.createDataFrame([(i, t, "k", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    cut = pii.candidates(df).cache()
+    ids = {r.rid: r.doc_id for r in cut.select("rid", "doc_id").collect()}
+    got = [(ids[r.rid], r.start, r.end) for r in pii.spans(cut).where("not sure and kind in (1, 2) and check = 1").collect()]
+    assert sorted(texts[i][a:b] for i, a, b in got) == sorted(found)
