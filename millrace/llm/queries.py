@@ -1,4 +1,4 @@
-"""The registered queries op1 ... op10: each operator over its whole table, with production parameters."""
+"""The registered queries op1 ... op13: each operator over its whole table, with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, hmm, nndescent, packing, pii, resampling, secrets, simhash, token_scan, toxicity
+from millrace.llm import decontamination, hmm, mask_ranking, nndescent, packing, pii, resampling, secrets, simhash, token_scan, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(table(spark, folder, "documents"))
 
 
+def op13_mask_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    return mask_ranking.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -64,5 +68,6 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
+    "op13_mask_ranking": op13_mask_ranking,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op13_mask_ranking": mask_ranking.RANK_SQL}
