@@ -199,6 +199,8 @@ def rank(docs: DataFrame, items: DataFrame, top: int = TOP, block_terms: int = B
     out = None
     for number in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("slot"), F.lit(blocks)) == number).collect()
+        if not rows:
+            continue
         vocabulary = sorted({bytes(term) for row in rows for term in row.terms})
         found = _rank_block(docs, rows, vocabulary, top)
         out = found if out is None else out.unionByName(found)
