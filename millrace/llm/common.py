@@ -38,8 +38,12 @@ def swept(spark: SparkSession) -> Iterator[None]:
     finally:
         made = _swept.pop()
     for folder in made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold_zero(doc_id: Column, folds: int) -> Column:

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import anchor_lists, decontamination, hmm, mask_ranking, nndescent, packing, pii, resampling, secrets, simhash, token_scan, toxicity
+from millrace.llm import (
+    anchor_lists,
+    decontamination,
+    hmm,
+    mask_ranking,
+    nndescent,
+    packing,
+    pii,
+    resampling,
+    secrets,
+    simhash,
+    suffix_levels,
+    token_scan,
+    toxicity,
+)
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +67,10 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(table(spark, folder, "documents"))
 
 
+def op11_suffix_levels(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_levels.digest(table(spark, folder, "documents"))
+
+
 def op12_anchor_lists(spark: SparkSession, folder: str) -> DataFrame:
     vec_id, label = F.col("vec_id"), F.col("label")
     label = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
@@ -75,7 +93,12 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
+    "op11_suffix_levels": op11_suffix_levels,
     "op12_anchor_lists": op12_anchor_lists,
     "op13_mask_ranking": op13_mask_ranking,
 }
-SQL: dict[str, str] = {"op12_anchor_lists": anchor_lists.MINE_SQL, "op13_mask_ranking": mask_ranking.RANK_SQL}
+SQL: dict[str, str] = {
+    "op11_suffix_levels": suffix_levels.REPEATS_SQL,
+    "op12_anchor_lists": anchor_lists.MINE_SQL,
+    "op13_mask_ranking": mask_ranking.RANK_SQL,
+}
