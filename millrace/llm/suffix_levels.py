@@ -14,8 +14,9 @@ rewritten once for each doubling of the index.
 
 Candidates become exact spans in this way. A stretch that occurs twice is repeated as a whole. Where
 stretches differ around an equal core, their windows are compared: the different stretches of a
-core meet in one task, or, where there are more than DENSE, window by window in a shuffle.
-Window hashes are compared within equal cores, so equality rests on 128 bits.
+core meet in one task. Where there are more than DENSE, each is cut into short runs of windows, at
+places counted from the anchor, which have longer cores and go the same way again, down to
+single windows. Window hashes are compared within equal cores, so equality rests on 128 bits.
 
 Rules for unusual rows: a null text is empty; texts shorter than MATCH bytes lose nothing;
 null ids stay; repeated rows are texts each, so all but short ones are removed whole; other
@@ -46,10 +47,11 @@ BATCHES = 4  # a whole table is added in so many batches
 BITS = 1 << 26  # of the filters before shuffles
 DENSE = 256  # different stretches of a core that one task compares
 TOGETHER = 2048  # stretches in a call, on average
+CUTS = (32, 4, 1)  # windows of a run that is cut from a stretch of a dense core, and again
 _PLACE = np.uint64((1 << 21) - 1)
 _ODD = 0x9E3779B97F4A7C15
 
-RUN = "struct<start:int,windows:int,head:long,core:long,hi:long,lo:long,copies:int>"
+RUN = "struct<start:int,windows:int,turn:int,head:long,core:long,hi:long,lo:long,copies:int>"
 SPAN = "struct<begin:int,end:int>"
 TEXT_KEY = ["ka", "kb"]
 STRETCH_KEY = ["core", "hi", "lo"]
@@ -84,8 +86,8 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(text: bytes) -> dict[str, np.ndarray]:
-    """The runs of a text in order: start and number of windows, first bytes and hash of the core, hash of the stretch."""
-    found: dict[str, list] = {name: [] for name in ("start", "windows", "head", "core", "hi", "lo")}
+    """The runs of a text in order: start, number of windows, place of the anchor from there, first bytes and hash of the core, hash of the stretch."""
+    found: dict[str, list] = {name: [] for name in ("start", "windows", "turn", "head", "core", "hi", "lo")}
     for base in range(0, len(text) - MATCH + 1, PIECE):
         piece = text[base : base + PIECE + MATCH - 1]
         data = np.frombuffer(piece, dtype=np.uint8)
@@ -101,6 +103,7 @@ def runs_of(text: bytes) -> dict[str, np.ndarray]:
         first = data[anchor[start][:, None] + np.arange(8)].copy().view(">u8").ravel()
         found["start"].append(start + base)
         found["windows"].append(windows)
+        found["turn"].append(anchor[start] - start)
         found["head"].append((first ^ np.uint64(1 << 63)).astype(np.uint64).view(np.int64))  # sorts as the bytes do
         found["core"].append(cores[anchor[start]].view(np.int64))
         found["hi"].append(hashes[:, 0])
@@ -131,7 +134,7 @@ def indexed(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, columns = [], {name: [] for name in ("start", "windows", "head", "core", "hi", "lo", "copies")}
+            sizes, columns = [], {name: [] for name in ("start", "windows", "turn", "head", "core", "hi", "lo", "copies")}
             lengths, hashes, own_sizes, own_begins, own_ends = [], [], [], [], []
             for value in batch.column(3):
                 text = value.as_py()
@@ -149,7 +152,7 @@ def indexed(docs: DataFrame) -> DataFrame:
                 own_sizes.append(len(begins))
                 own_begins.append(begins)
                 own_ends.append(ends)
-            fields = {name: pa.array(np.concatenate(parts), pa.int32() if name in ("start", "windows", "copies") else pa.int64()) for name, parts in columns.items()}
+            fields = {name: pa.array(np.concatenate(parts), pa.int32() if name in ("start", "windows", "turn", "copies") else pa.int64()) for name, parts in columns.items()}
             spans = {name: pa.array(np.concatenate(parts), pa.int32()) for name, parts in (("begin", own_begins), ("end", own_ends))}
             yield pa.record_batch(
                 [
@@ -226,29 +229,39 @@ def repeated_spans(texts: DataFrame, docs: DataFrame, cores: DataFrame, dense: i
     """(ka, kb, begin, end): the spans of windows that occur elsewhere, spans within one text alone left out."""
     runs = texts.select("doc_id", *TEXT_KEY, F.explode("runs").alias("r")).select("doc_id", *TEXT_KEY, "r.*").drop("head")
     runs = keep(runs.where(filter_of(cores, "core")).join(cores, "core"), "suffix-runs")
-    place = F.struct(*TEXT_KEY, "doc_id", "start", "windows")
-    stretches = keep(runs.groupBy(*STRETCH_KEY).agg(F.sum("copies").alias("copies"), F.min(place).alias("at")), "suffix-stretches")
+    whole, partly = stretch_kinds(runs, [*TEXT_KEY, "doc_id", "start", "windows", "turn"])
+    return whole.unionByName(compared(keep(stretch_texts(docs, partly), "suffix-pieces"), dense, CUTS))
+
+
+def stretch_kinds(runs: DataFrame, place: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Spans of the stretches that occur twice; and one place of each different stretch of the cores that have several."""
+    stretches = keep(runs.groupBy(*STRETCH_KEY).agg(F.sum("copies").alias("copies"), F.min(F.struct(*place)).alias("at")), "suffix-stretches")
     often = stretches.where("copies > 1").select(*STRETCH_KEY)
     end = F.col("start") + F.col("windows") + F.lit(MATCH - 1)
     whole = runs.join(often, STRETCH_KEY).select(*TEXT_KEY, F.col("start").alias("begin"), end.alias("end"))
-
     kinds = stretches.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    partly = stretches.join(kinds, "core").select("core", "kinds", "copies", "at.*")
-    pieces = keep(stretch_texts(docs, partly), "suffix-pieces")
+    return whole, stretches.join(kinds, "core").select(*STRETCH_KEY, "kinds", "copies", "at.*")
+
+
+def compared(pieces: DataFrame, dense: int, cuts: tuple[int, ...]) -> DataFrame:
+    """(ka, kb, begin, end): the repeated windows of stretches that differ around equal cores."""
     few, many = pieces.where(F.col("kinds") <= dense), pieces.where(F.col("kinds") > dense)
     parts = max(-(-few.count() // TOGETHER), 1)
     here = few.groupBy(F.pmod(F.xxhash64("core"), F.lit(parts)).alias("part")).applyInPandas(compare_stretches, "ka long, kb long, begin int, end int")
-
-    each = keep(window_rows(many), "suffix-windows")
-    twice = each.groupBy("core", "window").agg(F.sum("copies").alias("all")).where("all > 1").select("core", "window")
-    there = each.where("copies = 1").join(twice, ["core", "window"])
-    there = there.select(*TEXT_KEY, "begin", (F.col("begin") + MATCH).alias("end"))
-    return whole.unionByName(here).unionByName(there)
+    if not cuts or many.isEmpty():
+        return here
+    runs = keep(cut_stretches(many.dropDuplicates(["core", *TEXT_KEY, "start"]), cuts[0]), "suffix-cut")
+    place = [*TEXT_KEY, "start"]
+    whole, partly = stretch_kinds(runs, place)
+    rest = runs.join(partly.select(*STRETCH_KEY, *place, "kinds", F.col("copies").alias("all")), [*STRETCH_KEY, *place])
+    rest = keep(rest.select("core", "kinds", F.col("all").alias("copies"), *place, "turn", "piece"), "suffix-pieces")
+    return here.unionByName(whole).unionByName(compared(rest, dense, cuts[1:]))
 
 
 def stretch_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(core, kinds, copies, ka, kb, start, piece): the bytes of the wanted stretches."""
-    lists = wanted.groupBy(*TEXT_KEY, "doc_id").agg(F.collect_list(F.struct("core", "kinds", "copies", "start", "windows")).alias("wanted"))
+    """(core, kinds, copies, ka, kb, start, turn, piece): the bytes of the wanted stretches."""
+    each = F.struct("core", "kinds", "copies", "start", "windows", "turn")
+    lists = wanted.groupBy(*TEXT_KEY, "doc_id").agg(F.collect_list(each).alias("wanted"))
     lists = keep(lists, "suffix-wanted").withColumnRenamed("doc_id", "id")
     found = docs.where(filter_of(lists, "ka")).join(lists, (docs["ka"] == lists["ka"]) & (docs["kb"] == lists["kb"]) & docs["doc_id"].eqNullSafe(lists["id"]))
     found = found.select(docs["ka"], docs["kb"], "text", "wanted")
@@ -259,12 +272,13 @@ def stretch_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for ka, kb, text, wanted in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 for w in wanted:
                     piece = text[w["start"] : w["start"] + w["windows"] + MATCH - 1]
-                    rows.append((w["core"], w["kinds"], w["copies"], ka, kb, w["start"], piece))
-            kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
-            columns = zip(*rows, strict=True) if rows else [[]] * 7
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["core", "kinds", "copies", *TEXT_KEY, "start", "piece"])
+                    rows.append((w["core"], w["kinds"], w["copies"], ka, kb, w["start"], w["turn"], piece))
+            kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.binary()]
+            columns = zip(*rows, strict=True) if rows else [[]] * 8
+            names = ["core", "kinds", "copies", *TEXT_KEY, "start", "turn", "piece"]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    return found.mapInArrow(run, "core long, kinds long, copies long, ka long, kb long, start int, piece binary")
+    return found.mapInArrow(run, "core long, kinds long, copies long, ka long, kb long, start int, turn int, piece binary")
 
 
 def piece_windows(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -301,21 +315,34 @@ def compare_stretches(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"ka": pdf["ka"].to_numpy()[owner], "kb": pdf["kb"].to_numpy()[owner], "begin": begin, "end": end})
 
 
-def window_rows(pieces: DataFrame) -> DataFrame:
-    """(core, copies, ka, kb, window, begin): a row for each window of the pieces."""
+def cut_stretches(pieces: DataFrame, width: int) -> DataFrame:
+    """Runs of at most `width` windows; where a run ends depends on the distance to the anchor alone.
+
+    The core of a run is what all its windows would share if it had `width` of them, so that runs
+    that the ends of a stretch have shortened meet the others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                hashes, piece, place = piece_windows(part.column("piece").to_pylist())
-                columns = [part.column(name).to_numpy()[piece] for name in ("core", "copies", *TEXT_KEY)]
-                begin = part.column("start").to_numpy()[piece] + place
-                yield pa.record_batch([*map(pa.array, columns), pa.array(hashes.view(np.int64)), pa.array(begin, pa.int32())], names)
-
-    names = ["core", "copies", *TEXT_KEY, "window", "begin"]
-    pieces = pieces.dropDuplicates(["core", *TEXT_KEY, "start"])
-    return pieces.select("core", "copies", *TEXT_KEY, "start", "piece").mapInArrow(run, "core long, copies long, ka long, kb long, window long, begin int")
+            rows = []
+            for core, copies, ka, kb, start, turn, piece in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                windows, at = len(piece) - MATCH + 1, 0
+                while at < windows:
+                    least = (turn - at) // width * width  # distance of the run's last window
+                    upto = min(turn - least + 1, windows)
+                    inner = piece[turn - least : turn - least + MATCH - width + 1]
+                    part = piece[at : upto + MATCH - 1]
+                    hashes = np.frombuffer(xxhash.xxh3_128_digest(part), dtype=">i8").tolist()
+                    longer = xxhash.xxh3_64_intdigest(inner, core & (1 << 64) - 1) - (1 << 63)
+                    rows.append((longer, *hashes, copies, ka, kb, start + at, upto - at, turn - at, part))
+                    at = upto
+            kinds = [pa.int64()] * 6 + [pa.int32()] * 3 + [pa.binary()]
+            columns = zip(*rows, strict=True) if rows else [[]] * 10
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+    names = [*STRETCH_KEY, "copies", *TEXT_KEY, "start", "windows", "turn", "piece"]
+    schema = "core long, hi long, lo long, copies long, ka long, kb long, start int, windows int, turn int, piece binary"
+    return pieces.select("core", "copies", *TEXT_KEY, "start", "turn", "piece").mapInArrow(run, schema)
 
 
 def removed_spans(spans: DataFrame) -> DataFrame:

@@ -70,10 +70,16 @@ def test_passages_and_near_copies(spark, texts):
     assert any(0 < r[2] < r[1] for r in got) and any(r[3] > 1 for r in got)
 
 
-def test_dense_cores_are_compared_window_by_window(spark, texts):
+def test_dense_cores_are_cut_until_windows_stand_alone(spark, texts):
     check(spark, texts, dense=1, batches=3)
 
 
+def test_one_passage_in_many_texts(spark):
+    rng = random.Random(6)
+    passage = prose(rng, 160)
+    check(spark, [prose(rng, 20) + passage[rng.randint(0, 9) :] + prose(rng, 20) for _ in range(60)], dense=8)
+
+
 def test_unusual_rows(spark):
     rng = random.Random(5)
     a, line = prose(rng, 150), prose(rng, 30)
