@@ -72,7 +72,7 @@ def parse_documents(documents: DataFrame, resolution: str) -> DataFrame:
 
     Other arrays may be shorter, missing or not a list; those cells are NULL.
     Entries past the end of ``time`` are ignored, and of a time that a document
-    repeats the first entry counts.
+    repeats the first entry counts. The work is linear in the entries but for the sort.
     """
     block = F.when(F.col("data").isNotNull(), F.col(f"data.{resolution}")).otherwise(F.col(resolution))
     located = documents.select(
@@ -90,16 +90,19 @@ def parse_documents(documents: DataFrame, resolution: str) -> DataFrame:
 
     def entry(place: Column) -> Column:
         values = [F.get(F.col(f"block.{name}"), place["i"]).alias(column) for name, column in fields.items()]
-        return F.struct(place["time"].alias("time"), *values)
+        return F.struct(place["i"].alias("place"), place["time"].alias("time"), *values)
 
     def is_first(place: Column, i: Column) -> Column:
-        before = F.get(F.col("placed.time"), i - 1)
+        # the entry first, then its time: the times of all entries would be gathered anew for each
+        before = F.get(F.col("placed"), i - 1)["time"]
         return (i == 0) | place["time"].isNull() | before.isNull() | (before != place["time"])
 
     kept = ordered.withColumn("kept", F.filter("placed", is_first))
     # only the finished entries are multiplied into rows, not the document
     entries = kept.select("location_key", "run_date", "extracted_at", F.transform("kept", entry).alias("entries"))
-    rows = entries.select("location_key", "run_date", "extracted_at", F.inline("entries"))
+    # outer, because of an inner one the optimizer infers a filter on the size of the list, for which it copies
+    # the sort into the lambda; the row of a document without entries has no place
+    rows = entries.select("location_key", "run_date", "extracted_at", F.inline_outer("entries")).where("place IS NOT NULL")
     daily = resolution == "daily"
     moment = ("obs_date", "date") if daily else ("hour_timestamp", "timestamp_ntz")
     source = F.concat(F.lit(f"weather/raw/{resolution}/"), "location_key", F.lit("/"), "run_date", F.lit(".json"))

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +153,37 @@ def test_seed_dimensions(spark):
     dates = seeds.dim_date(spark)
     assert dates.count() == 2557
     assert dates.agg(F.min("date_id"), F.max("date_id")).first() == (20240101, 20301231)
+
+
+def hourly_document(tmp_path, entries):
+    first = dt.datetime(2001, 1, 1)
+    times = [(first + dt.timedelta(hours=i)).strftime("%Y-%m-%dT%H:00") for i in range(entries)]
+    block = {"time": times, **{name: [1.5] * entries for name in schemas.HOURLY_FIELDS}}
+    folder = tmp_path / str(entries) / "hourly" / "jakarta"
+    folder.mkdir(parents=True)
+    (folder / "2026-04-04.json").write_text(json.dumps({"_meta": {"location_key": "jakarta"}, "data": {"hourly": block}}))
+    return str(tmp_path / str(entries))
+
+
+def test_long_documents_take_linear_time(spark, tmp_path):
+    took = {}
+    for entries in (4_000, 16_000):
+        base = hourly_document(tmp_path, entries)
+        runs = []
+        for _ in range(3):
+            started = time.monotonic()
+            documents = landing.read_documents(spark, landing.landing_globs(base, "hourly", "2026-04-04"), "hourly")
+            assert landing.parse_documents(documents, "hourly").where("temperature_2m = 1.5").count() == entries
+            runs.append(time.monotonic() - started)
+        took[entries] = min(runs)
+    assert took[16_000] < 4 * took[4_000] + 1
+
+
+def test_entries_are_sorted_once(spark, tmp_path):
+    base = hourly_document(tmp_path, 3)
+    documents = landing.read_documents(spark, landing.landing_globs(base, "hourly", "2026-04-04"), "hourly")
+    plan = landing.parse_documents(documents, "hourly")._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.split("\n") if "array_sort" in line]
+    # in a projection of its own, below the lambda that compares neighbours
+    assert len(lines) == 1 and plan.count("array_sort") == 1
+    assert "Project" in lines[0] and "filter(" not in lines[0] and "size(" not in plan
