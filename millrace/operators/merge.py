@@ -7,6 +7,7 @@ repeating a load adds nothing. Loads that must not hold such rows filter them fi
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from functools import reduce
 
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators.keys import first_per_key, latest_per_key
 from millrace.session import scratch, stored
-from millrace.sources.files import read_or_empty, replace_partitions
+from millrace.sources.files import read_or_empty, replace_partition, replace_partitions
+
+log = logging.getLogger(__name__)
 
 
 def _is_touched(batch: DataFrame, partitions: Sequence[str]) -> Column:
@@ -52,6 +55,40 @@ def unprocessed(source: DataFrame, done: DataFrame, keys: Sequence[str]) -> Data
     return source.join(seen, same, "left_anti")
 
 
+def split_admissible(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(admitted, set aside with a `reason`): rows must have a whole key that no other row has.
+
+    Of rows with one key the first by `order` and then by the other columns is admitted, as often as
+    it is there once. `rows` are read several times and should be stored.
+    """
+    whole, broken = split_complete(rows, keys)
+    admitted = first_per_key(whole, keys, order)
+    copies = whole.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1").select(*keys)
+    repeated = whole.join(copies, list(keys), "left_semi").exceptAll(admitted.join(copies, list(keys), "left_semi"))
+    reasons = [broken.withColumn("reason", F.lit("key not whole")), repeated.withColumn("reason", F.lit("key repeated"))]
+    return admitted, reasons[0].unionByName(reasons[1].select(*reasons[0].columns))
+
+
+def publish_partition(rows: DataFrame, path: str, keys: Sequence[str], column: str, value: str, order: Sequence[str] = ()) -> int:
+    """Replace one date partition, audited before it shows; returns how many rows were set aside.
+
+    The rows are staged, checked for NULL and repeated keys, and only the sound ones published. The
+    rest replaces the same partition of `<path>_rejected`, with the reason. The partition column
+    must be part of the key or be fixed by it, so that no other partition can hold the key.
+    """
+    with scratch(rows.sparkSession, "publish") as folder:
+        staged = stored(rows.where(F.col(column) == F.lit(value).cast("date")), f"{folder}/staged")
+        admitted, aside = split_admissible(staged, keys, order)
+        aside = stored(aside, f"{folder}/aside")
+        count = aside.count()
+        rejected = f"{path}_rejected"
+        if count or not read_or_empty(rows.sparkSession, rejected, aside.schema).isEmpty():
+            log.warning("%d rows of %s were set aside: see %s", count, path, rejected)
+            replace_partition(aside, rejected, column, value)
+        replace_partition(admitted, path, column, value)
+    return count
+
+
 def append_new(
     batch: DataFrame,
     path: str,

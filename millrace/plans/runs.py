@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions.calendar import EL_NINO_FROM
+from millrace.functions.weather import WET_DAY_MM
 from millrace.operators import quality
-from millrace.operators.merge import append_new
+from millrace.operators.merge import append_new, publish_partition
 from millrace.operators.streaks import continue_streaks
 from millrace.plans import packs, sales, weather
 from millrace.sources import files, landing, seeds
 from millrace.sources.jdbc import SALES_TABLES, TableSpec
+from millrace.sources.versions import RunLedger, VersionedTable
 
 
 # -- sales -------------------------------------------------------------------
@@ -35,15 +37,18 @@ def sales_warehouse(spark: SparkSession, base: str, dt: str, *, money: str = "do
     """Bronze views, stored silver tables and the gold fact of one load date; returns the fact.
 
     Each money flavour has tables of its own (``..._decimal``), because their columns differ in type.
+    Silver tables are versioned: a load that fails, or whose keys are broken, leaves the last one in place.
     """
     suffix = "" if money == "double" else f"_{money}"
     raw = {s.folder: files.read_partition(spark, files.raw_path(base, s.folder), dt).drop("dt") for s in SALES_TABLES}
     files.register_bronze_views(spark, base, raw, dt)
 
     def store(df: DataFrame, table: str) -> DataFrame:
-        path = f"{base.rstrip('/')}/silver/{table}{suffix}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        versions = VersionedTable(spark, f"{base.rstrip('/')}/silver/{table}{suffix}", df.schema)
+        audit = (lambda rows: check_rows(rows, table)) if table in schemas.TABLE_KEYS else None  # order lines have no key
+        versions.replace(df, audit=audit, batch_date=dt)
+        versions.vacuum()
+        return versions.read()
 
     orders = sales.stg_sales_orders(
         raw["sales_order_header"],
@@ -59,7 +64,7 @@ def sales_warehouse(spark: SparkSession, base: str, dt: str, *, money: str = "do
     )
     fact = sales.fact_sales_performance(summary, dt)
     path = f"{base.rstrip('/')}/gold/fact_sales_performance{suffix}"
-    files.replace_partition(fact, path, "BatchDate", dt)
+    publish_partition(fact, path, [*schemas.TABLE_KEYS["fact_sales_performance"], "BatchDate"], "BatchDate", dt)
     return spark.read.schema(fact.schema).parquet(path).where(F.col("BatchDate") == F.lit(dt).cast("date"))
 
 
@@ -78,6 +83,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
+        self.ledger = RunLedger(spark, f"{self.base}/_runs")
 
     def path(self, table: str) -> str:
         return f"{self.base}/{table}"
@@ -104,6 +110,7 @@ DIMENSIONS = {
     "dim_weather_condition": (["condition_code"], seeds.dim_weather_condition),
     "dim_risk_level": (["risk_code"], seeds.dim_risk_level),
 }
+LAST_STEP = "gold_weather"  # of a run, in the ledger
 NAMED = 50  # missing files named in an error; all are counted
 
 
@@ -140,9 +147,9 @@ def load_bronze(spark: SparkSession, base: str, house: Warehouse, run_date: str)
 
 def build_silver(house: Warehouse, run_date: str, el_nino_from: dt.date = EL_NINO_FROM) -> None:
     daily = weather.silver_daily(house.read("bronze_weather_daily", run_date), el_nino_from=el_nino_from)
-    weather.store_run(daily, house.path("silver_weather_daily"), run_date)
+    weather.store_run(daily, house.path("silver_weather_daily"), run_date, "silver_weather_daily")
     hourly = weather.silver_hourly(house.read("bronze_weather_hourly", run_date))
-    weather.store_run(hourly, house.path("silver_weather_hourly"), run_date)
+    weather.store_run(hourly, house.path("silver_weather_hourly"), run_date, "silver_weather_hourly")
 
 
 def _days_before(gold: DataFrame) -> list[dt.date]:
@@ -158,14 +165,47 @@ def build_gold(house: Warehouse, run_date: str) -> None:
     before = house.read("gold_weather_daily").where(F.col("run_date") < F.lit(run_date).cast("date"))
     before = before.where(F.col("obs_date").isin(_days_before(house.read("silver_weather_daily", run_date))))
     gold = continue_streaks(gold, before).select(*schemas.GOLD_WEATHER_DAILY.names)
-    weather.store_run(gold, house.path("gold_weather_daily"), run_date)
+    weather.store_run(gold, house.path("gold_weather_daily"), run_date, "gold_weather_daily")
     gold = house.read("gold_weather_daily", run_date)
     islands = weather.island_daily(gold, location)
-    weather.store_run(islands, house.path("gold_weather_island_daily"), run_date)
+    weather.store_run(islands, house.path("gold_weather_island_daily"), run_date, "gold_weather_island_daily")
     quality.enforce(left_out(house, gold), "warn")
     sync_star_fact(house, gold)
 
 
+def stale_run(house: Warehouse, after: str) -> str | None:
+    """The first run after `after` whose streaks do not go on from what earlier runs now say.
+
+    What hangs on earlier runs is the streak of a location's first day. It is summed up for each run
+    and compared with the streak of the day before in the newest run before it that has that day.
+    """
+    gold = house.read("gold_weather_daily").select("location_key", "obs_date", "run_date", "precip_mm", "dry_day_streak_true")
+    later = gold.where(F.col("run_date") > F.lit(after).cast("date"))
+    openings = later.groupBy("location_key", "run_date").agg(
+        F.min("obs_date").alias("first"), F.min_by(F.struct("precip_mm", "dry_day_streak_true"), "obs_date").alias("opening")
+    )
+    days = [r["day"] for r in openings.select(F.date_sub("first", 1).alias("day")).distinct().collect()]  # the calendar bounds them
+    before = gold.where(F.col("obs_date").isin(days)).select(
+        "location_key", F.date_add("obs_date", 1).alias("first"), F.col("run_date").alias("told"), F.col("dry_day_streak_true").alias("streak")
+    )
+    told = openings.join(before, ["location_key", "first"], "left").where(F.col("told").isNull() | (F.col("told") < F.col("run_date")))
+    carried = told.groupBy("location_key", "run_date").agg(F.max_by("streak", "told").alias("streak"))
+    checked = openings.join(carried, ["location_key", "run_date"], "left")
+    dry = F.col("opening.precip_mm") < WET_DAY_MM
+    expected = F.when(dry, F.coalesce("streak", F.lit(0)) + 1).otherwise(0)
+    stale = checked.where(~expected.eqNullSafe(F.col("opening.dry_day_streak_true")))
+    return stale.agg(F.min("run_date").cast("string").alias("run")).first()["run"]
+
+
+def redo_later_runs(house: Warehouse, run_date: str) -> list[str]:
+    """Build the gold of those later runs anew whose streaks hung on what `run_date` has changed; returns them."""
+    redone, at = [], run_date
+    while at := stale_run(house, at):
+        build_gold(house, at)
+        redone.append(at)
+    return redone
+
+
 def sync_star_fact(house: Warehouse, gold: DataFrame | None = None) -> None:
     """Upsert gold into the star fact; without `gold` all of it, which rebuilds a lost fact."""
     gold = house.read("gold_weather_daily") if gold is None else gold
@@ -181,11 +221,15 @@ def left_out(house: Warehouse, gold: DataFrame) -> DataFrame:
     return quality.run_checks(checked, [quality.Check("rows_left_out_of_fact", F.count_if(lost), equals=0)])
 
 
+def check_rows(rows: DataFrame, table: str) -> None:
+    """Keys must be whole and unique, in place of the database's constraints."""
+    keys = schemas.TABLE_KEYS[table]
+    quality.enforce(quality.key_check(rows, keys, f"{table}_unique"))
+    quality.enforce(quality.whole_key_check(rows, keys, f"{table}_not_null"))
+
+
 def check_keys(house: Warehouse, table: str, run_date: str | None = None) -> None:
-    """Keys of a stored table must be whole and unique, in place of the database's constraints."""
-    df, keys = house.read(table, run_date), schemas.TABLE_KEYS[table]
-    quality.enforce(quality.key_check(df, keys, f"{table}_unique"))
-    quality.enforce(quality.whole_key_check(df, keys, f"{table}_not_null"))
+    check_rows(house.read(table, run_date), table)
 
 
 def create_dashboard_view(house: Warehouse, name: str = "gold_alert_dashboard") -> None:
@@ -212,20 +256,44 @@ def weather_run(
     house.seed(dates)
     location = house.read("dim_location")
     cities = location.count()
-    check_landing(spark, landing_base, run_date, location)
-    write_manifest(spark, landing_base, run_date, cities)
-    load_bronze(spark, landing_base, house, run_date)
-    check_keys(house, "bronze_weather_daily", run_date)
-    bronze = house.read("bronze_weather_daily", run_date)
-    quality.enforce(quality.run_checks(bronze, quality.bronze_checks(cities)), "warn")
-    build_silver(house, run_date, el_nino_from)
-    check_keys(house, "silver_weather_daily", run_date)
-    silver = house.read("silver_weather_daily", run_date)
-    quality.enforce(quality.run_checks(silver, quality.silver_checks(least_cities)))
-    build_gold(house, run_date)
-    check_keys(house, "gold_weather_daily", run_date)
-    check_keys(house, "fact_weather_daily")
-    gold = house.read("gold_weather_daily", run_date)
-    quality.enforce(quality.run_checks(gold, quality.gold_checks(least_cities, el_nino_from)))
+
+    def bronze() -> int:
+        check_landing(spark, landing_base, run_date, location)
+        write_manifest(spark, landing_base, run_date, cities)
+        load_bronze(spark, landing_base, house, run_date)
+        check_keys(house, "bronze_weather_daily", run_date)
+        check_keys(house, "bronze_weather_hourly", run_date)
+        rows = house.read("bronze_weather_daily", run_date)
+        quality.enforce(quality.run_checks(rows, quality.bronze_checks(cities)), "warn")
+        return rows.count()
+
+    def silver() -> int:
+        build_silver(house, run_date, el_nino_from)
+        rows = house.read("silver_weather_daily", run_date)
+        quality.enforce(quality.run_checks(rows, quality.silver_checks(least_cities)))
+        return rows.count()
+
+    def gold() -> int:
+        build_gold(house, run_date)
+        redo_later_runs(house, run_date)
+        check_keys(house, "fact_weather_daily")
+        rows = house.read("gold_weather_daily", run_date)
+        quality.enforce(quality.run_checks(rows, quality.gold_checks(least_cities, el_nino_from)))
+        return rows.count()
+
+    # a step that is done from these files is not done again; an interrupted one is
+    source = f"{landing.source_versions(spark, landing_base, run_date).get(run_date)}/{cities}/{el_nino_from}/{least_cities}"
+    for step, load in (("bronze_weather", bronze), ("silver_weather", silver), (LAST_STEP, gold)):
+        house.ledger.perform(step, run_date, source, load)
     create_dashboard_view(house)
-    return weather.daily_report(gold, location, run_date)
+    return weather.daily_report(house.read("gold_weather_daily", run_date), location, run_date)
+
+
+def open_runs(spark: SparkSession, landing_base: str, warehouse_base: str) -> list[str]:
+    """The runs in the landing zone that were never finished; told from names and the ledger, no table is read.
+
+    A run whose files have changed since is done again by `weather_run`, which compares them.
+    """
+    ledger = Warehouse(spark, warehouse_base).ledger
+    found = sorted(landing.source_versions(spark, landing_base))
+    return [run for run in found if (ledger.record(LAST_STEP, run) or {}).get("state") != "done"]

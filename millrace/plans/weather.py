@@ -13,9 +13,10 @@ from millrace.functions.calendar import EL_NINO_FROM, calendar_columns
 from millrace.functions.cleaning import bounded, falling, null_outside, rising
 from millrace.functions.numbers import round_half_away, settled_mean, settled_sum
 from millrace.operators.keys import latest_per_key
-from millrace.operators.merge import append_new, split_complete, upsert
+from millrace.operators.merge import append_new, publish_partition, split_complete, upsert
 from millrace.operators.shares import at_latest
 from millrace.operators.streaks import dry_day_streaks
+from millrace.session import scratch, stored
 from millrace.sources.files import replace_partition
 
 SOURCE_API = "open-meteo-via-minio-gold"
@@ -251,12 +252,11 @@ def store_bronze(batch: DataFrame, path: str, table: str) -> None:
     they go to ``<path>_rejected``, where they can be counted, and not into the table.
     """
     keys = schemas.TABLE_KEYS[table]
-    batch = batch.persist()  # two filters of one parse
-    whole, rejected = split_complete(batch, keys)
-    append_new(whole, path, keys, ["run_date"], ["extracted_at"])
-    if not rejected.isEmpty():
-        append_new(rejected, f"{path}_rejected", keys, [], ["extracted_at"])
-    batch.unpersist()
+    with scratch(batch.sparkSession, "bronze") as folder:  # two filters of one parse
+        whole, rejected = split_complete(stored(batch, f"{folder}/parsed"), keys)
+        append_new(whole, path, keys, ["run_date"], ["extracted_at"])
+        if not rejected.isEmpty():
+            append_new(rejected, f"{path}_rejected", keys, ["run_date"], ["extracted_at"])
 
 
 def store_silver(batch: DataFrame, path: str, table: str) -> None:
@@ -264,9 +264,15 @@ def store_silver(batch: DataFrame, path: str, table: str) -> None:
     append_new(batch, path, schemas.TABLE_KEYS[table], ["run_date"])
 
 
-def store_run(df: DataFrame, path: str, run_date: str) -> None:
-    """Replace the rows of one run by those in df; repeating a run gives the same table."""
-    replace_partition(df, path, "run_date", run_date)
+def store_run(df: DataFrame, path: str, run_date: str, table: str | None = None) -> None:
+    """Replace the rows of one run by those in df; repeating a run gives the same table.
+
+    With the name of the table its keys are checked before any row shows (`publish_partition`).
+    """
+    if table:
+        publish_partition(df, path, schemas.TABLE_KEYS[table], "run_date", run_date)
+    else:
+        replace_partition(df, path, "run_date", run_date)
 
 
 def store_star_fact(facts: DataFrame, path: str) -> None:

@@ -91,7 +91,7 @@ LANDING_META = _schema(
     "location_key string, province string, island string, latitude double, longitude double, "
     "extracted_at string, run_date string, source string, api_url string, resolution string"
 )
-# landing array name -> bronze column
+# Landing array name -> bronze column.
 DAILY_FIELDS = {
     "temperature_2m_max": "temp_max",
     "temperature_2m_min": "temp_min",
@@ -207,6 +207,8 @@ TABLE_KEYS = {
     "gold_weather_daily": ("location_key", "obs_date", "run_date"),
     "gold_weather_island_daily": ("island", "obs_date", "run_date"),
     "fact_weather_daily": ("location_id", "date_id"),
+    "stg_products": ("ProductID",),
+    "trf_sales_summary": ("ProductID", "TerritoryID"),
     "fact_sales_performance": ("ProductID", "TerritoryID"),
 }
 # table -> (schema, partition columns)

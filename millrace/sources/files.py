@@ -15,6 +15,57 @@ from pyspark.sql.types import StructType
 from millrace.sources.jdbc import TableSpec
 
 
+class FileStore:
+    """The few file operations that commits need, on whatever file system a path is."""
+
+    def __init__(self, spark: SparkSession):
+        self._gateway, self._jvm, self._conf = spark.sparkContext._gateway, spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        place = self._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self._conf)
+
+    def names(self, folder: str) -> list[str]:
+        place, system = self._at(folder)
+        return sorted(s.getPath().getName() for s in system.listStatus(place)) if system.exists(place) else []
+
+    def read(self, path: str) -> str:
+        place, system = self._at(path)
+        stream = system.open(place)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, path: str, text: str) -> None:
+        place, system = self._at(path)
+        stream = system.create(place, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def rename(self, source: str, target: str, *, overwrite: bool = False) -> bool:
+        """Rename in one step; false where the target is there and may not be replaced."""
+        place, system = self._at(target)
+        system.mkdirs(place.getParent())
+        option = getattr(self._jvm, "org.apache.hadoop.fs.Options$Rename")
+        how = self._gateway.new_array(option, 1)
+        how[0] = option.valueOf("OVERWRITE" if overwrite else "NONE")
+        files = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), self._conf)
+        try:
+            files.rename(self._jvm.org.apache.hadoop.fs.Path(source), place, how)
+        except Py4JJavaError as err:
+            if "FileAlreadyExists" in str(err.java_exception):
+                return False
+            raise
+        return True
+
+    def delete(self, path: str) -> None:
+        place, system = self._at(path)
+        system.delete(place, True)
+
+
 def raw_path(base: str, folder: str) -> str:
     return f"{base.rstrip('/')}/raw/{folder}"
 

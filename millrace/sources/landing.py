@@ -7,16 +7,17 @@ per file, which is what Spark itself writes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType, TimestampType
 
 from millrace import schemas
-from millrace.sources.files import empty_frame
+from millrace.sources.files import FileStore, empty_frame
 
 RESOLUTIONS = ("daily", "hourly")
 _FIELDS = {"daily": schemas.DAILY_FIELDS, "hourly": schemas.HOURLY_FIELDS}
@@ -154,6 +155,31 @@ def write_documents(documents: DataFrame, path: str) -> None:
     documents.hint("rebalance").write.mode("append").json(path)
 
 
+def write_landing(documents: DataFrame, base: str, resolution: str) -> int:
+    """One object per document, ``{resolution}/{location_key}/{run_date}.json``; returns how many.
+
+    The documents are written aside first, each into a folder of its own, where Spark's
+    committer sees to it that a repeated task leaves one file. The files then get their names,
+    each by one rename that also replaces an older object of the name.
+    """
+    spark, base = documents.sparkSession, base.rstrip("/")
+    store, aside = FileStore(spark), f"{base}/_staged-{uuid.uuid4().hex}"
+    keys = ["location_key", "run_date"]
+    named = documents.select(*[F.col(f"_meta.{k}").alias(k) for k in keys], F.to_json(F.struct("_meta", "data")).alias("value"))
+    repeated = named.groupBy(*keys).count().where("count > 1 OR location_key IS NULL OR run_date IS NULL").limit(1).collect()
+    if repeated:
+        raise ValueError(f"an object needs a name of its own: {repeated[0].asDict()}")
+    named.repartition(*keys).write.partitionBy(*keys).text(aside)
+    written = spark.read.schema("value string, location_key string, run_date string").text(aside)
+    places = written.select(F.col("_metadata.file_path").alias("path"), *keys).distinct()
+    count = 0
+    for place in places.toLocalIterator():  # names only
+        store.rename(place["path"], f"{base}/{resolution}/{place['location_key']}/{place['run_date']}.json", overwrite=True)
+        count += 1
+    store.delete(aside)
+    return count
+
+
 def missing_files(dim_location: DataFrame, found: DataFrame, first: str, last: str) -> DataFrame:
     """Expected (location, resolution, run_date) without a file.
 
@@ -172,21 +198,30 @@ def missing_files(dim_location: DataFrame, found: DataFrame, first: str, last: s
 
 
 def found_files(spark: SparkSession, base: str, run_date: str = "*") -> DataFrame:
-    """(location_key, resolution, run_date, size_bytes) of the landing files of a run, listed without reading them."""
+    """(location_key, resolution, run_date, size_bytes, modified) of the landing files of a run, listed without reading them."""
     try:
         files = spark.read.format("binaryFile").load(f"{base.rstrip('/')}/{{{','.join(RESOLUTIONS)}}}/*/{run_date}.json")
     except AnalysisException as err:
         if err.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = empty_frame(spark, StructType().add("path", StringType()).add("length", LongType()))
+        files = empty_frame(spark, StructType().add("path", StringType()).add("length", LongType()).add("modificationTime", TimestampType()))
     return files.select(
         F.regexp_extract("path", _PATH, 2).alias("location_key"),
         F.regexp_extract("path", _PATH, 1).alias("resolution"),
         F.nullif(F.regexp_extract("path", _PATH, 3), F.lit("")).cast("date").alias("run_date"),
         F.col("length").alias("size_bytes"),
+        F.col("modificationTime").alias("modified"),
     ).where("run_date IS NOT NULL")
 
 
+def source_versions(spark: SparkSession, base: str, run_date: str = "*") -> dict[str, str]:
+    """For each run (a row each, so the calendar bounds them) a text that changes whenever its files do; nothing is read."""
+    found = found_files(spark, base, run_date)
+    mark = F.bit_xor(F.xxhash64("location_key", "resolution", "size_bytes", "modified"))
+    per_run = found.groupBy(F.col("run_date").cast("string").alias("run")).agg(F.count("*").alias("files"), mark.alias("mark"))
+    return {r["run"]: f"{r['files']}:{r['mark']}" for r in per_run.collect()}
+
+
 ENTRIES_PER_PART = 1000
 
 
