@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import falling
+from millrace.session import stored, workspace
 
 
 def top_ranked_per_group(df: DataFrame, group: str, by: str, k: int, name: str) -> DataFrame:
@@ -34,25 +35,26 @@ def top_rows_with_group_rank(
     return top.withColumn(name, rank).orderBy(*order)
 
 
-def global_rank(df: DataFrame, by: str, bucket: Column, name: str) -> DataFrame:
-    """Descending rank over the whole table without sorting it in one task.
+def global_rank(df: DataFrame, by: str, name: str) -> DataFrame:
+    """Descending rank over the whole table, on any column, without sorting it in one task.
 
-    ``bucket`` must grow with ``by`` and take few values (e.g. its whole part).
-    Rows are counted per distinct value before the shuffle; values are ranked
-    inside their bucket, and a bucket starts after all rows of higher buckets.
-    The table is read twice (values, then rows), so df should be a stored table.
+    Rows are counted per distinct value before the shuffle. The values are dealt out by range and
+    stored; the rows of each range, a few numbers, give where it begins; ranks are
+    counted inside the ranges. NULL ranks last. The table is read twice (values,
+    then rows), so df should be a stored table.
     """
-    values = df.groupBy(by).agg(F.count("*").alias("n")).withColumn("bucket", bucket)
-    above = Window.orderBy(falling("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        values.groupBy("bucket")
-        .agg(F.sum("n").alias("rows"))
-        .select(F.col("bucket").alias("in_bucket"), F.coalesce(F.sum("rows").over(above), F.lit(0)).alias("start"))
-    )
-    inside = Window.partitionBy("bucket").orderBy(falling(by)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        values.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(starts, F.col("bucket").eqNullSafe(F.col("in_bucket")), "inner")
-        .select(F.col(by).alias("ranked_value"), (F.col("start") + F.col("before") + 1).alias(name))
-    )
+    spark = df.sparkSession
+    order = falling(by)
+    values = df.groupBy(by).agg(F.count("*").alias("n")).repartitionByRange(order).sortWithinPartitions(order)
+    place = F.monotonically_increasing_id()
+    ranges = stored(values.select(F.col(by).alias("value"), "n", F.shiftright(place, 33).alias("part"), place.alias("place")), workspace(spark, "ranks"))
+    starts, total = [], 0
+    for part in ranges.groupBy("part").agg(F.sum("n").alias("rows")).orderBy("part").collect():
+        starts.append((part["part"], total))
+        total += part["rows"]
+    starts = F.broadcast(spark.createDataFrame(starts, "part long, start long"))  # a row per range
+    inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(inside), F.lit(0))
+    ranks = ranges.withColumn("before", before).join(starts, "part")
+    ranks = ranks.select(F.col("value").alias("ranked_value"), (F.col("start") + F.col("before") + 1).alias(name))
     return df.join(ranks, df[by].eqNullSafe(F.col("ranked_value")), "inner").drop("ranked_value")

@@ -22,7 +22,7 @@ def ranking(fact: DataFrame) -> DataFrame:
     """Every vendor with its rank by score (0..100)."""
     rows = fact.select("VendorName", "TotalOrders", "OnTimeRate", "AvgLeadTimeDays", "AvgPriceVariance", "VendorScore")
     return (
-        global_rank(rows, "VendorScore", F.floor("VendorScore"), "Rank")
+        global_rank(rows, "VendorScore", "Rank")
         .select("Rank", *rows.columns)
         .orderBy(falling("VendorScore"), "VendorName")
     )

@@ -425,12 +425,33 @@ marked AS (
     ),
     "upsert_ignore": _with(LOCATION, BRONZE)
     + f"SELECT {KEY}, {MEASURES.replace('temp_max,', 'temp_max + CASE WHEN obs_date <= DATE %s THEN 100 ELSE 0 END AS temp_max,' % repr('2024-01-20'), 1)} FROM bronze b",
+    "versioned_upsert": """SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderkey, o_totalprice FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC, o_totalprice DESC) = 1""",
+    "surrogate_numbers": """SELECT row_number() OVER (ORDER BY c_nationkey >= 12, c_custkey) AS customer_no, c_custkey, c_nationkey FROM customer""",
+    "keys_enforced": """WITH turn AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+      ORDER BY l_partkey, l_suppkey, l_quantity) AS turn FROM lineitem)
+    SELECT CASE WHEN turn = 1 THEN 'published' ELSE 'key repeated' END AS reason, count(*) AS lines,
+    CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, CAST(sum(l_orderkey) AS BIGINT) AS sum_l_orderkey,
+    CAST(sum(l_linenumber) AS BIGINT) AS sum_l_linenumber, CAST(sum(l_partkey) AS BIGINT) AS sum_l_partkey,
+    CAST(sum(l_suppkey) AS BIGINT) AS sum_l_suppkey FROM turn GROUP BY 1""",
+    "run_ledger": _with(LOCATION, TWO_RUNS)
+    + """SELECT 'bronze_weather_daily' AS "table", CAST(run_date AS VARCHAR) AS run,
+    CASE WHEN run_date = DATE '2024-01-20' THEN 'open' ELSE 'done' END AS state,
+    CASE WHEN run_date = DATE '2024-01-20' THEN 'changed' ELSE 'first' END AS source,
+    CASE WHEN run_date = DATE '2024-01-20' THEN NULL ELSE count(*) END AS rows, count(*) AS stored FROM bronze GROUP BY run_date""",
+    "asof_last_event": """WITH kinds AS (SELECT *, event_type = (SELECT min(event_type) FROM events) AS asks FROM events),
+    found AS (SELECT user_id, ts, max(struct_pack(a := event_id, b := event_type)) AS v FROM kinds WHERE NOT asks GROUP BY ALL)
+    SELECT e.event_id, e.user_id, e.event_type, strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS ts,
+    strftime(f.ts, '%Y-%m-%d %H:%M:%S') AS last_ts, f.v.a AS last_event_id, f.v.b AS last_event_type
+    FROM (SELECT * FROM kinds WHERE asks) e ASOF LEFT JOIN found f ON e.user_id = f.user_id AND e.ts > f.ts""",
+    "order_price_rank": "SELECT o_orderkey, o_totalprice, rank() OVER (ORDER BY o_totalprice DESC NULLS LAST) AS price_rank FROM orders",
     "replace_partition": _with(LOCATION, TWO_RUNS, SILVER)
     + f"SELECT {KEY}, precip_mm FROM silver WHERE run_date = DATE '2024-01-30' OR precip_mm < 1",
     "incremental_unprocessed": _with(LOCATION, BRONZE)
     + f"SELECT {KEY}, {MEASURES} FROM bronze b WHERE b.obs_date > DATE '2024-01-20'",
     "stream_landing_to_bronze": _with(LOCATION, BRONZE) + f"SELECT {KEY}, {MEASURES} FROM bronze",
     "stream_bronze_to_silver": _with(LOCATION, TWO_RUNS, SILVER) + f"SELECT {SILVER_OUT} FROM silver",
+    "landing_named_objects": _with(LOCATION, BRONZE) + f"SELECT {BRONZE_COLUMNS} FROM bronze",
     "landing_missing_files": _with(LOCATION, FOUND)
     + """SELECT location_key, resolution, CAST(day AS VARCHAR) AS run_date,
     'weather/raw/' || resolution || '/' || location_key || '/' || CAST(day AS VARCHAR) || '.json' AS object_key

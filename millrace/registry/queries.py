@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from millrace import schemas
 from millrace.operators import merge, quality
+from millrace.operators.asof import latest_before
+from millrace.operators.ranking import global_rank
 from millrace.operators.streaks import continue_streaks, previous_day_streak
 from millrace.plans import hr_reports, rfm_reports, sales, sales_reports, vendor_reports, weather
 from millrace.session import stored, workspace
 from millrace.sources import files, landing, sample_tables, seeds
 from millrace.sources.jdbc import SALES_TABLES
+from millrace.sources.versions import RunLedger, VersionedTable
 from millrace.streaming import jobs
 
 BATCH_DATE = "2024-01-01"
@@ -283,6 +287,16 @@ def landing_hourly_documents(spark, folder):
     return landing.parse_documents(documents, "hourly").drop(*_UNCOMPARED, "extracted_at")
 
 
+@query
+def landing_named_objects(spark, folder):
+    """Bronze to one object per location and run under its landing name, found by the run's globs and read back."""
+    base = workspace(spark, "objects")
+    bronze = sample_tables.bronze_weather_daily(spark, folder)
+    landing.write_landing(landing.to_documents(bronze, "daily"), base, "daily")
+    documents = landing.read_documents(spark, landing.landing_globs(base, "daily", sample_tables.RUN_DATE), "daily")
+    return landing.parse_documents(documents, "daily").drop(*_UNCOMPARED, "extracted_at")
+
+
 # -- weather dimensions, each with its use in the data ------------------------
 @query
 def dim_location(spark, folder):
@@ -469,6 +483,88 @@ def incremental_unprocessed(spark, folder):
     return todo.select(*_KEY, *_MEASURES)
 
 
+@query
+def versioned_upsert(spark, folder):
+    """The newest order of each customer, in a table without partitions: two loads, the second repeated, one that failed between."""
+    orders = sample_tables.table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    newest = VersionedTable(spark, workspace(spark, "newest-orders"), orders.schema)
+    early = F.col("o_orderdate") < "1996-01-01"
+    for batch in (orders.where(early), orders.where(~early), orders.where(~early)):
+        newest.upsert(batch, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+    def refuse(_):
+        raise quality.QualityError("refused")
+
+    try:
+        newest.replace(orders.limit(0), audit=refuse)
+    except quality.QualityError:
+        return newest.read()
+    raise AssertionError("the audit was passed over")
+
+
+@query
+def surrogate_numbers(spark, folder):
+    """Customers numbered in two loads without gaps; repeating the second gives the same numbers."""
+    customers = sample_tables.table(spark, folder, "customer").select(F.lit(None).cast("long").alias("customer_no"), "c_custkey", "c_nationkey")
+    table = VersionedTable(spark, workspace(spark, "customers"), customers.schema)
+    for batch in (customers.where("c_nationkey < 12"), customers, customers):
+        table.append_numbered(batch, ["c_custkey"], "customer_no")
+    return table.read()
+
+
+@query
+def keys_enforced(spark, folder):
+    """Order lines published once per key; those that repeat a key are set aside with the reason."""
+    lines = sample_tables.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.lit(BATCH_DATE).cast("date").alias("dt"))
+    path = workspace(spark, "lines")
+    for _ in range(2):
+        merge.publish_partition(lines, path, ["l_orderkey", "l_linenumber", "dt"], "dt", BATCH_DATE)
+    rejected = files.read_or_empty(spark, f"{path}_rejected", lines.withColumn("reason", F.lit("")).schema)
+    both = spark.read.parquet(path).withColumn("reason", F.lit("published")).unionByName(rejected)
+    number = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return both.groupBy("reason").agg(
+        F.count("*").alias("lines"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"),
+        *[F.sum(c).alias(f"sum_{c}") for c in number],
+    )
+
+
+@query
+def run_ledger(spark, folder):
+    """Two runs stored under the ledger and offered again, a third that stops half-way."""
+    base = workspace(spark, "ledger")
+    ledger = RunLedger(spark, f"{base}/runs")
+
+    def load(rows, run):
+        weather.store_run(rows, f"{base}/bronze", run, "bronze_weather_daily")
+        return spark.read.parquet(f"{base}/bronze").where(F.col("run_date") == F.lit(run).cast("date")).count()
+
+    for _ in range(2):
+        for rows, run in ((_early_bronze(spark, folder), FIRST_RUN), (_late_bronze(spark, folder), sample_tables.RUN_DATE)):
+            ledger.perform("bronze_weather_daily", run, "first", lambda rows=rows, run=run: load(rows, run))
+    broken = _late_bronze(spark, folder).withColumn("temp_max", F.raise_error(F.lit("interrupted")).cast("double"))
+    try:
+        ledger.perform("bronze_weather_daily", FIRST_RUN, "changed", lambda: load(broken.withColumn("run_date", F.lit(FIRST_RUN).cast("date")), FIRST_RUN))
+    except PySparkException:
+        pass
+    stored_rows = spark.read.parquet(f"{base}/bronze").groupBy(F.col("run_date").cast("string").alias("run")).agg(F.count("*").alias("stored"))
+    return ledger.records().join(stored_rows, "run")
+
+
+@query
+def asof_last_event(spark, folder):
+    """Every event with the last earlier one of its user of another kind, however long ago."""
+    events = sample_tables.table(spark, folder, "events").select("event_id", "user_id", "event_type", "ts")
+    first = F.col("event_type") == events.select(F.min("event_type")).first()[0]
+    return latest_before(events.where(first), events.where(~first), ["user_id"], "ts", ["event_id", "event_type"])
+
+
+@query
+def order_price_rank(spark, folder):
+    """The rank of every order by price, over a column with about as many values as rows."""
+    orders = sample_tables.table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return global_rank(orders, "o_totalprice", "price_rank")
+
+
 # -- streams -----------------------------------------------------------------
 @query
 def stream_landing_to_bronze(spark, folder):

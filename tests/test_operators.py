@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators import keys, merge, quality, ranking, shares, streaks
+from millrace.operators.asof import latest_before
 from millrace.sources import files
 
 
@@ -149,14 +150,14 @@ def scores(spark, n=2000, seed=2):
 
 def test_global_rank_with_a_hot_score(spark):
     rows, df = scores(spark)
-    got = {r.id: r["rank"] for r in ranking.global_rank(df, "score", F.floor("score"), "rank").collect()}
+    got = {r.id: r["rank"] for r in ranking.global_rank(df, "score", "rank").collect()}
     for i, _, score in rows:
         assert got[i] == 1 + sum(other > score for _, _, other in rows)
 
 
 def test_global_rank_puts_nulls_last(spark):
     df = spark.createDataFrame([(1, None), (2, 5.0), (3, 7.0), (4, None)], "id int, score double")
-    got = {r.id: r["rank"] for r in ranking.global_rank(df, "score", F.floor("score"), "rank").collect()}
+    got = {r.id: r["rank"] for r in ranking.global_rank(df, "score", "rank").collect()}
     assert got == {3: 1, 2: 2, 1: 3, 4: 3}
 
 
@@ -280,3 +281,32 @@ def test_tables_are_created_once(spark):
     assert spark.table("warehouse_test.gold_weather_daily").schema["risk_code"].dataType.simpleString() == "string"
     stored = {t.name for t in spark.catalog.listTables("warehouse_test") if not t.isTemporary}
     assert stored == {n.split(".")[1] for n in names}
+
+
+def test_global_rank_over_any_column(spark):
+    """Texts, and as many values as rows: no range holds more than its share."""
+    df = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    want = {r.id: i + 1 for i, r in enumerate(df.orderBy(F.desc("v")).collect())}
+    assert {r.id: r["rank"] for r in ranking.global_rank(df, "v", "rank").collect()} == want
+
+
+def test_latest_before_over_any_gap(spark):
+    rng = random.Random(11)
+    start = dt.datetime(2020, 1, 1)
+
+    def rows(n, most):
+        # one user holds most rows; times repeat; gaps reach over empty months
+        out = [(rng.choice([1] * 8 + [2, None]), start + dt.timedelta(days=rng.choice((0, 40, 400, 1200)), hours=rng.randint(0, most)), i) for i in range(n)]
+        return [*out, (3, None, n)]
+
+    asks, tells = rows(300, 30), rows(200, 30)
+    schema = "user int, at timestamp_ntz, x int"
+    left = spark.createDataFrame(asks, schema).withColumnRenamed("x", "id").repartition(4)
+    right = spark.createDataFrame(tells, schema)
+    for same_time in (False, True):
+        got = latest_before(left, right, ["user"], "at", ["x"], same_time=same_time)
+        assert got.columns == ["user", "at", "id", "last_at", "last_x"]
+        for r in got.collect():
+            earlier = [] if r.at is None else [(t, x) for u, t, x in tells if u == r.user and t and (t < r.at or same_time and t == r.at)]
+            assert (r.last_at, r.last_x) == max(earlier, default=(None, None))
+        assert got.count() == len(asks)

@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.ranking import global_rank
+from millrace.operators import ranking
 from millrace.plans import sales, vendor_reports, weather
 from millrace.registry.queries import all_queries
+from millrace.session import stored
 from millrace.sources import sample_tables, seeds
 
 FOLDER = "/root/testdata/sf0.001"
@@ -107,7 +108,10 @@ def test_unknown_location_stays_in_gold_but_not_in_the_fact(spark):
     assert report.where("city_name = 'atlantis'").count() <= 1
 
 
-def test_rank_plan_counts_values_before_the_shuffle(spark):
+def test_rank_plan_ranks_values_and_has_no_single_task(spark, monkeypatch):
     df = spark.range(100).select((F.col("id") % 7).cast("double").alias("v"))
-    text = plan(global_rank(df, "v", F.floor("v"), "place"))
-    assert "partial_count" in text
+    kept = []
+    monkeypatch.setattr(ranking, "stored", lambda rows, path: kept.append((plan(rows), stored(rows, path))) or kept[-1][1])
+    text = plan(ranking.global_rank(df, "v", "place"))
+    assert "partial_count" in kept[0][0] and kept[0][1].count() == 7
+    assert "Window" in text and "SinglePartition" not in text
