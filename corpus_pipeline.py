@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, minhash, packing, secrets, toxicity
+from millrace.llm import decontamination, packing, secrets, simhash, toxicity
 from millrace.llm.common import swept, table
 from millrace.session import workspace
 
@@ -15,8 +15,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays: the one with the smallest id."""
-    return minhash.drop_near_copies(docs)
+    """One document of each group of near copies stays: the one with the smallest id.
+
+    Groups are those of the SimHash operator, with its shingles of three words and three differing bits.
+    """
+    return simhash.drop_near_duplicates(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
