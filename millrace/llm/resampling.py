@@ -7,8 +7,12 @@ replacement in proportion to weights is a top-k of log weight plus Gumbel noise;
 noise is a hash of the id, so every run draws the same sample. The k-th largest value is
 found by counting in ever finer intervals, never by sorting all documents in one place.
 
-Log weights are averaged per n-gram and scaled to EFFECTIVE n-grams, so that long and
-short documents compete on what they are made of, not on length.
+The ratio is that of the whole text's probabilities, so it grows with the text. On request
+log weights are averaged per n-gram and scaled to a given number of n-grams, so that long
+and short documents compete on what they are made of, not on length.
+
+Raw text is counted in the scan. For the target model a filter of fixed size lets the texts pass
+whose ids may be wanted, and these alone are joined with the wanted ids, by a shuffle at any size.
 
 Rules for unusual rows: a null or empty text has log weight 0; a null doc_id is kept, with
 the noise of an empty id; repeated rows get equal values, and rows equal to the k-th
@@ -27,10 +31,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fold_zero, keep
+from millrace.llm.common import filter_of, fold_zero, keep
 
 BUCKETS = 1 << 16
-EFFECTIVE = 60.0
 SMOOTHING = 1.0  # counts added to the target model per bucket, in proportion to the raw model
 FEW = 20_000  # values that the driver may sort to end the search for the threshold
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -54,27 +57,21 @@ class Features(dict):
         return (both % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def bucket_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of raw and of target text, from rows (text, target); one row per bucket comes to the driver."""
+def bucket_counts(texts: DataFrame) -> np.ndarray:
+    """Counts of the n-grams of all rows (text) by bucket; one row per bucket comes to the driver."""
 
     def run(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        features, total = Features(), np.zeros((2, BUCKETS), dtype=np.int64)
+        features, total = Features(), np.zeros(BUCKETS, dtype=np.int64)
         for pdf in pdfs:
             for i in range(0, len(pdf), 256):
-                part = pdf.iloc[i : i + 256]
-                found = [features.of(t) for t in part["text"]]
-                total[0] += np.bincount(np.concatenate(found), minlength=BUCKETS)
-                wanted = [f for f, y in zip(found, part["target"], strict=True) if y]
-                if wanted:
-                    total[1] += np.bincount(np.concatenate(wanted), minlength=BUCKETS)
-        seen = np.flatnonzero(total[0])
-        yield pd.DataFrame({"bucket": seen, "raw": total[0][seen], "target": total[1][seen]})
-
-    parts = docs.select("text", "target").mapInPandas(run, "bucket int, raw long, target long")
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
-        raw[r.bucket], target[r.bucket] = r.raw, r.target
-    return raw, target
+                total += np.bincount(np.concatenate([features.of(t) for t in pdf["text"].iloc[i : i + 256]]), minlength=BUCKETS)
+        seen = np.flatnonzero(total)
+        yield pd.DataFrame({"bucket": seen, "n": total[seen]})
+
+    counts = np.zeros(BUCKETS)
+    for r in texts.select("text").mapInPandas(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        counts[r.bucket] = r.n
+    return counts
 
 
 def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -120,17 +117,20 @@ def gumbel(doc_id: Column, seed: int) -> Column:
     return -F.log(-F.log(uniform))
 
 
-def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, folds: int = 5, seed: int = 17) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, folds: int = 5, seed: int = 17, effective: float | None = None) -> DataFrame:
     """(doc_id, held_out, log_weight, key, selected): one row per document.
 
     Target text is what labels call good (quality 1) outside the held-out fold. `share` is
     the part of all documents to draw; by default that of good ones among these labels.
+    With `effective` log weights are means per n-gram times that number.
     """
     tags = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~fold_zero(F.col("doc_id"), folds))
     tags = tags.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("quality").alias("quality"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    good = tags.where("quality = 1").select("id", F.lit(True).alias("target"))
-    raw, target = bucket_counts(texts.join(good, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target")))
+    good = keep(tags.where("quality = 1").select("id"), "resampling-target")
+    raw = bucket_counts(texts)
+    wanted = texts.where(F.col("id").isNotNull() & filter_of(good, "id")).join(good.hint("merge"), "id")
+    target = bucket_counts(wanted)
     if share is None:
         share = tags.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
         share = 1.0 if share is None else share
@@ -142,7 +142,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, fol
         for i, text in enumerate(texts):
             found = features.of(text)
             if len(found):
-                out[i] = ratio.value[found].mean() * EFFECTIVE
+                values = ratio.value[found]
+                out[i] = values.sum() if effective is None else values.mean() * effective
         return pd.Series(out)
 
     doc_id = F.col("doc_id").cast("long")

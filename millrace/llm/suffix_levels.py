@@ -33,18 +33,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from millrace.llm.common import delete_folder, keep
+from millrace.llm.common import delete_folder, filter_of, keep
 from millrace.session import stored, workspace
 
 MATCH = 400  # bytes
 CORE = 112  # bytes
 PIECE = 1 << 20  # windows hashed at once
 BATCHES = 4  # a whole table is added in so many batches
-BITS = 1 << 26  # of the filters before shuffles
 DENSE = 256  # different stretches of a core that one task compares
 TOGETHER = 2048  # stretches in a call, on average
 CUTS = (32, 4, 1)  # windows of a run that is cut from a stretch of a dense core, and again
@@ -207,24 +205,6 @@ class SuffixLevels:
         return path, stored(array, path)
 
 
-def filter_of(df: DataFrame, key: str) -> Column:
-    """A test on a long column that holds for all values of df's: a bitmap of fixed size, whatever the number of values."""
-    place = F.pmod(F.col(key), F.lit(BITS))
-    size = 1 << 15
-    parts = df.select(place.alias("p")).groupBy(F.expr(f"p div {size}").alias("part")).agg(F.bitmap_construct_agg(F.col("p") % size).alias("bits"))
-    bits = np.zeros((BITS // size, size // 8), dtype=np.uint8)
-    for part in parts.collect():
-        bits[part["part"]] = np.frombuffer(part["bits"], dtype=np.uint8)
-    shared = df.sparkSession.sparkContext.broadcast(bits.ravel())
-
-    @F.pandas_udf(T.BooleanType())
-    def test(values: pd.Series) -> pd.Series:
-        at = values.to_numpy() % BITS
-        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
-
-    return test(F.col(key))
-
-
 def repeated_spans(texts: DataFrame, docs: DataFrame, cores: DataFrame, dense: int) -> DataFrame:
     """(ka, kb, begin, end): the spans of windows that occur elsewhere, spans within one text alone left out."""
     runs = texts.select("doc_id", *TEXT_KEY, F.explode("runs").alias("r")).select("doc_id", *TEXT_KEY, "r.*").drop("head")

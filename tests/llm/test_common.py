@@ -1,6 +1,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import common
 
@@ -29,3 +30,11 @@ def test_folds_and_words(spark):
     assert {r.i: r.z for r in rows} == {i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 0 for i in ids}
     assert common.words_of("A\tb\x0bC\u00a0\u00c9 d") == [b"a", b"b", "c\u00a0\u00c9".encode(), b"d"]
     assert common.words_of(None) == common.words_of(" ") == []
+
+
+def test_filters_let_all_wanted_values_pass(spark):
+    values = spark.range(-500, 500).select((F.col("id") * 7919 * 7919 * 104729).alias("ka"))
+    test = common.filter_of(values, "ka")
+    assert values.where(test).count() == 1000
+    others = spark.range(200000, 300000).select((F.col("id") * 7919 * 7919 * 104729 + 1).alias("ka"))
+    assert others.where(test).count() < 100

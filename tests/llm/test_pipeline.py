@@ -39,7 +39,8 @@ def test_run_and_registration(spark):
     queries = entry_point.queries()
     assert queries["pipeline"](spark, "/root/testdata/sf0.001").count() > 0
     assert sorted(n for n in queries if n.startswith("op")) == sorted(
-        ["op1_toxicity", "op2_packing", "op3_hmm", "op4_token_scan", "op5_simhash", "op6_nndescent", "op7_resampling", "op8_pii", "op9_decontamination", "op10_secrets"]
+        ["op1_toxicity", "op2_packing", "op3_hmm", "op4_token_scan", "op5_simhash", "op6_nndescent", "op7_resampling", "op8_pii", "op9_decontamination", "op10_secrets",
+         "op11_suffix_levels", "op12_anchor_lists", "op13_mask_ranking"]
     )
 
 

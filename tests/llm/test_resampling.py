@@ -34,10 +34,11 @@ def test_threshold_is_the_kth_largest(spark, few, monkeypatch):
     assert resampling.threshold(df, "key", 0) == float("inf")
 
 
-def test_weights_equal_plain_counting(spark):
+@pytest.mark.parametrize("effective", [None, 60.0])
+def test_weights_equal_plain_counting(spark, effective):
     docs = [(i, " ".join(random.Random(i).choices("ab cd ef gh ## || ij".split(), k=20)), 0, "") for i in range(60)]
     labels = [(i, i % 2, 0) for i in range(40)]
-    rows = {r.doc_id: r for r in resampling.resample(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), share=0.5).collect()}
+    rows = {r.doc_id: r for r in resampling.resample(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), share=0.5, effective=effective).collect()}
     features = resampling.Features()
     raw, target = Counter(), Counter()
     for i, text, *_ in docs:
@@ -50,7 +51,7 @@ def test_weights_equal_plain_counting(spark):
         for f in features.of(text).tolist():
             p = (raw[f] + 1) / (n + b)
             logs.append(math.log((target[f] + p * b) / (m + b) / p))
-        assert rows[i].log_weight == pytest.approx(sum(logs) / len(logs) * resampling.EFFECTIVE)
+        assert rows[i].log_weight == pytest.approx(sum(logs) / len(logs) * effective if effective else sum(logs))
     chosen = sorted((r.key for r in rows.values()), reverse=True)[:30]
     assert sorted((r.key for r in rows.values() if r.selected), reverse=True) == chosen
 
