@@ -15,7 +15,6 @@ token's text always go through the tokenizer itself.
 from __future__ import annotations
 
 import base64
-import functools
 import os
 import re
 from collections.abc import Sequence
@@ -23,11 +22,13 @@ from pathlib import Path
 
 import numpy as np
 
+from millrace.llm.common import worker_cache
+
 UNIT = re.compile(r"\s*\S+|\s+")
 RARE_SPACE = [chr(c) for c in (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 RARE_IN_ASCII = RARE_SPACE[:4]
 TOGETHER = ["  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c"]  # white space that does not stand alone, or is no space or line end
-CACHE = 800_000  # pieces kept per worker, some 200 MB
+CACHE = 800_000  # pieces kept per worker, some 200 MB in all
 LONGEST = 64  # characters of a piece worth keeping
 
 
@@ -52,10 +53,9 @@ class Pieces(dict):
         return value
 
 
-@functools.cache
 def encoder(path: str) -> Encoder:
     """One encoder per worker process: later tasks find the pieces of earlier ones."""
-    return Encoder(path)
+    return worker_cache(("encoder", path), lambda: Encoder(path))
 
 
 class Encoder:
@@ -105,8 +105,10 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text; a null text counts as empty."""
-        found = [self._one(t) if t else b"" for t in texts]
-        for pieces in (self._alone, self._after_space):
-            if len(pieces) > CACHE:
-                pieces.clear()
+        found = []
+        for text in texts:
+            found.append(self._one(text) if text else b"")
+            if len(self._alone) + len(self._after_space) > CACHE:
+                self._alone.clear()
+                self._after_space.clear()
         return found

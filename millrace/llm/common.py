@@ -69,6 +69,20 @@ def filter_of(df: DataFrame, key: str) -> Column:
     return test(F.col(key))
 
 
+_cache: dict[tuple, object] = {}
+
+
+def worker_cache(key: tuple, build):
+    """What `build` gives, kept in the worker process for later tasks; only the last one asked for is kept.
+
+    Workers outlive stages, so the caches of several operators would add up.
+    """
+    if key not in _cache:
+        _cache.clear()
+        _cache[key] = build()
+    return _cache[key]
+
+
 def fold_zero(doc_id: Column, folds: int) -> Column:
     """True where crc32 of the id's digits leaves no remainder; a null id counts as an empty text (crc32 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0

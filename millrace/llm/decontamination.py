@@ -23,7 +23,6 @@ window. Other columns of both tables are ignored.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import keep
+from millrace.llm.common import keep, worker_cache
 
 WINDOW = 8  # tokens
 SHORTEST = 5  # tokens of an item with placeholders, or of words that are no placeholders in a window of WINDOW
@@ -68,10 +67,9 @@ def is_capitalised(token: str) -> bool:
     return token[0].isupper() and token[1:].islower()
 
 
-@functools.cache
 def worker_scanner() -> Scanner:
     """One per worker process: later tasks find the tokens of earlier ones."""
-    return Scanner()
+    return worker_cache(("scanner",), Scanner)
 
 
 def tokens_of(text: str | None) -> tuple[list[str], list[tuple[str, ...]]]:
@@ -110,6 +108,16 @@ def window_hashes(each: np.ndarray, width: int, variant: int) -> np.ndarray:
         if width & size:
             part = block[done : done + n]
             total, done = total * by + part if done else part, done + size
+    return _finished(total, width, variant)
+
+
+def window_hashes_at(each: np.ndarray, width: int, variant: int, at: np.ndarray) -> np.ndarray:
+    """What `window_hashes` gives for a few starts."""
+    power = np.array([pow(_MULTIPLIER, width - 1 - i, 1 << 64) for i in range(width)], dtype=np.uint64)
+    return _finished((each[at[:, None] + np.arange(width)] * power).sum(axis=1, dtype=np.uint64), width, variant)
+
+
+def _finished(total: np.ndarray, width: int, variant: int) -> np.ndarray:
     total = total + np.uint64(((width << 2) + variant) * pow(_MULTIPLIER, width, 1 << 64) & (1 << 64) - 1)
     return total ^ total >> np.uint64(29)
 
@@ -167,7 +175,10 @@ def slots(template: tuple[str, ...], raw: list[str], start: int, width: int) ->
 
 
 def benchmark_windows(benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
-    """(hash, item_id, variant, width, at, slots, windows): all raw and all informative windows of items of `shortest` tokens or more."""
+    """(hash, item_id, variant, width, at, slots, windows, gate): all raw and all informative windows of items of `shortest` tokens or more.
+
+    The gate of a raw window is the hash of its template with names as words: equal raw windows have equal gates.
+    """
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
@@ -180,14 +191,16 @@ def benchmark_windows(benchmark: DataFrame, shortest: int = SHORTEST) -> DataFra
                 for variant in VARIANTS if len(raw) >= SHORTEST else (RAW,):
                     each = np.array([token_hash(t) for t in templates[variant]], dtype=np.uint64)
                     hashes = window_hashes(each, width, variant)
+                    plain = np.array([token_hash(t) for t in templates[0]], dtype=np.uint64)
+                    gates = window_hashes(plain, width, 0).view(np.int64)
                     good = np.ones(len(hashes), dtype=bool) if variant == RAW else informative(templates[variant], width)
                     for at in np.flatnonzero(good):
                         values = slots(templates[variant], raw, at, width)
-                        rows.append((int(hashes[at].view(np.int64)), int(item_id), variant, width, int(at), values, int(good.sum())))
-            yield pd.DataFrame(rows, columns=["hash", "item_id", "variant", "width", "at", "slots", "windows"])
+                        rows.append((int(hashes[at].view(np.int64)), int(item_id), variant, width, int(at), values, int(good.sum()), int(gates[at])))
+            yield pd.DataFrame(rows, columns=["hash", "item_id", "variant", "width", "at", "slots", "windows", "gate"])
 
     picked = benchmark.select(F.col("item_id").cast("long").cast("string").alias("item_id"), F.col("text").cast("string"))
-    found = picked.distinct().mapInPandas(run, "hash long, item_id long, variant int, width int, at int, slots array<string>, windows int")
+    found = picked.distinct().mapInPandas(run, "hash long, item_id long, variant int, width int, at int, slots array<string>, windows int, gate long")
     return keep(found, "leak-windows")
 
 
@@ -201,28 +214,44 @@ def bloom(windows: DataFrame) -> np.ndarray:
     return bits
 
 
+def inside(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The places of those hashes that the filter lets pass."""
+    place = hashes & np.uint64(FILTER_BITS - 1)
+    return np.flatnonzero(words[place >> np.uint64(6)] >> (hashes & np.uint64(63)) & np.uint64(1))
+
+
 HIT = "array<struct<hash: bigint, variant: int, at: int, slots: array<string>>>"
 
 
 def hits_column(text: Column, windows: DataFrame) -> Column:
     """The windows of a text that may be in the benchmark."""
-    bits = windows.sparkSession.sparkContext.broadcast(bloom(windows))
+    gates = windows.where(F.col("variant") == RAW).select(F.col("gate").alias("hash"))
+    bits = windows.sparkSession.sparkContext.broadcast(bloom(windows.select("hash").union(gates)))
     forms = [(r.width, r.variant) for r in windows.select("width", "variant").distinct().orderBy("width", "variant").collect()]  # at most WINDOW widths
 
     @F.pandas_udf(HIT)
     def run(texts: pd.Series) -> pd.Series:
         scanner, out, words = worker_scanner(), [], bits.value
         for text in texts:
-            each, found, raw, templates = scanner.templates(text), [], None, None
+            each, found, raw, templates, gated = scanner.templates(text), [], None, None, {}
             for width, variant in forms:
-                hashes = window_hashes(each[variant], width, variant)
-                place = hashes & np.uint64(FILTER_BITS - 1)
-                inside = words[place >> np.uint64(6)] >> (hashes & np.uint64(63)) & np.uint64(1)
-                for at in np.flatnonzero(inside):
+                if variant == RAW:  # hashed only where the plain window is in the filter
+                    if width not in gated:
+                        gated[width] = inside(window_hashes(each[0], width, 0), words)
+                    place = gated[width]
+                    hashes = window_hashes_at(each[RAW], width, RAW, place)
+                    some = inside(hashes, words)
+                    place, hashes = place[some], hashes[some]
+                else:
+                    hashes = window_hashes(each[variant], width, variant)
+                    place = inside(hashes, words)
+                    hashes = hashes[place]
+                    if not variant:
+                        gated[width] = place
+                for at, value in zip(place.tolist(), hashes.view(np.int64).tolist(), strict=True):
                     if raw is None:  # the tokens themselves are needed for hits alone
                         raw, templates = tokens_of(text)
-                    values = slots(templates[variant], raw, at, width)
-                    found.append({"hash": int(hashes[at].view(np.int64)), "variant": variant, "at": int(at), "slots": values})
+                    found.append({"hash": value, "variant": variant, "at": at, "slots": slots(templates[variant], raw, at, width)})
             out.append(found)
         return pd.Series(out)
 
@@ -272,7 +301,7 @@ def matches(marked: DataFrame, windows: DataFrame) -> DataFrame:
     kind is exact, or reparameterised where a value differs from the item's.
     """
     hits = marked.select("rid", F.inline("hits")).select("rid", "hash", "variant", F.col("at").alias("doc_at"), F.col("slots").alias("doc_slots"))
-    pairs = hits.join(windows, ["hash", "variant"]).where(F.size("slots") == F.size("doc_slots"))
+    pairs = hits.join(windows.drop("gate"), ["hash", "variant"]).where(F.size("slots") == F.size("doc_slots"))
     pairs = pairs.withColumn("shift", F.col("doc_at") - F.col("at"))
     group = ["rid", "item_id", "variant", "shift"]
     # per alignment: every value of the item stands for one value of the document

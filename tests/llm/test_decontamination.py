@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +171,14 @@ def test_longest_stretch_by_brute_force():
                     best = max(best, j - i)
         got = leaks.longest_stretch(rng.sample(windows, len(windows)))
         assert len(got) == best and got == list(range(got[0], got[0] + best) if got else [])
+
+
+def test_hashes_of_a_few_windows_are_those_of_all():
+    rng = np.random.default_rng(3)
+    each = rng.integers(0, 1 << 63, 200, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    for width in (1, 3, 5, 8):
+        for variant in leaks.VARIANTS:
+            at = np.array([0, 7, 100, 200 - width])
+            every = leaks.window_hashes(each, width, variant)
+            assert leaks.window_hashes_at(each, width, variant, at).tolist() == every[at].tolist()
+    assert leaks.window_hashes_at(each, 8, 2, np.array([], dtype=int)).tolist() == []
