@@ -28,10 +28,15 @@ def keep(df: DataFrame, label: str) -> DataFrame:
 
     The folder stays for as long as a result may read it; `swept` removes it.
     """
-    path = workspace(df.sparkSession, label)
+    return stored(df, kept_folder(df.sparkSession, label))
+
+
+def kept_folder(spark: SparkSession, label: str) -> str:
+    """A fresh shared folder that goes when `swept` says so."""
+    path = workspace(spark, label)
     if _swept:
         _swept[-1].append(path)
-    return stored(df, path)
+    return path
 
 
 @contextlib.contextmanager

@@ -26,12 +26,12 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import keep
+from millrace.llm.common import keep, kept_folder
 
 SAMPLE = 10_000
 LONGEST = 4096  # characters of a run that are looked at as one candidate; longer runs are cut into such pieces
@@ -199,7 +199,11 @@ def train(findings: DataFrame, sample: int = SAMPLE, trees: int = 30, depth: int
     rows = parts[0].union(parts[1]).select(array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"))
     counts = [p.count() for p in parts]
     rows = rows.withColumn("weight", F.when(F.col("label") == 1, max(counts) / counts[1]).otherwise(max(counts) / counts[0]))
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight", featureSubsetStrategy="sqrt").fit(rows)
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight", featureSubsetStrategy="sqrt").fit(rows)
+    # a fresh model holds its training summary and through it the session, which tasks cannot be given
+    folder = kept_folder(findings.sparkSession, "secret-forest")
+    forest.write().save(folder)
+    return RandomForestClassificationModel.load(folder)
 
 
 def judged(findings: DataFrame, model) -> DataFrame:

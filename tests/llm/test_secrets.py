@@ -2,6 +2,8 @@ import random
 import re
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from millrace.llm import secrets
 
@@ -80,3 +82,11 @@ def test_empty_table(spark):
 @pytest.mark.parametrize(("value", "share"), [("configserver", 1.0), ("zzzzqqqq", 0.0)])
 def test_dictionary_share(value, share):
     assert secrets.dictionary_share(value) == share
+
+
+def test_forest_goes_to_tasks_after_an_observation(spark):
+    """An observed query leaves something in the session that cannot be sent to tasks."""
+    seen = Observation()
+    assert spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count() == 3 and seen.get["n"] == 3
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert secrets.find_secrets(docs).where("is_secret").count() > 0
