@@ -239,6 +239,8 @@ def hits_column(text: Column, windows: DataFrame) -> Column:
                     if width not in gated:
                         gated[width] = inside(window_hashes(each[0], width, 0), words)
                     place = gated[width]
+                    if not len(place):
+                        continue
                     hashes = window_hashes_at(each[RAW], width, RAW, place)
                     some = inside(hashes, words)
                     place, hashes = place[some], hashes[some]
