@@ -23,17 +23,18 @@ window. Other columns of both tables are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import keep, worker_cache
+from millrace.llm.common import keep
 
 WINDOW = 8  # tokens
 SHORTEST = 5  # tokens of an item with placeholders, or of words that are no placeholders in a window of WINDOW
@@ -52,6 +53,7 @@ UNITS = frozenset(
     " percent degree degrees watt watts volt volts".split()
 )
 NUMBER, UNIT, NAME = "\x01", "\x02", "\x03"  # cannot be tokens
+_CHARACTER, _STIR = 0xD1342543DE82EF95, 0xBF58476D1CE4E5B9  # odd; powers of the first weigh the places of a token
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd; powers of it weigh the places of a window
 RAW = 2
 VARIANTS = (0, 1, RAW)  # names as words, names as placeholders, no placeholders
@@ -67,9 +69,10 @@ def is_capitalised(token: str) -> bool:
     return token[0].isupper() and token[1:].islower()
 
 
+@functools.cache
 def worker_scanner() -> Scanner:
-    """One per worker process: later tasks find the tokens of earlier ones."""
-    return worker_cache(("scanner",), Scanner)
+    """One per worker process; its tables have a fixed size."""
+    return Scanner()
 
 
 def tokens_of(text: str | None) -> tuple[list[str], list[tuple[str, ...]]]:
@@ -88,8 +91,19 @@ def tokens_of(text: str | None) -> tuple[list[str], list[tuple[str, ...]]]:
     return raw, [tuple(plain), tuple(named), tuple(raw)]
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The numbers' bits stirred, so that neighbours differ in all places."""
+    x = (x + np.uint64(1)) * np.uint64(_STIR)
+    x = (x ^ x >> np.uint64(31)) * np.uint64(_MULTIPLIER)
+    return x ^ x >> np.uint64(32)
+
+
 def token_hash(form: str) -> int:
-    return xxhash.xxh64_intdigest(form.encode(), 7)
+    """Hash of a token in lower case: its characters' numbers weighed by powers, as `Scanner` takes it from whole texts."""
+    # capital I with a dot is one character to the scanner; the final sigma is the other one
+    folded = np.array([ord(c) for c in form.replace("i\u0307", "\u0130").replace("\u03c2", "\u03c3")], dtype=np.uint64)
+    power = np.array([pow(_CHARACTER, i, 1 << 64) for i in range(len(folded))], dtype=np.uint64)
+    return int(_mixed(np.array([(_mixed(folded) * power).sum(dtype=np.uint64)]))[0])
 
 
 def window_hashes(each: np.ndarray, width: int, variant: int) -> np.ndarray:
@@ -122,45 +136,135 @@ def _finished(total: np.ndarray, width: int, variant: int) -> np.ndarray:
     return total ^ total >> np.uint64(29)
 
 
-class Scanner(dict):
-    """Token to its number in tables of hashes and kinds, for whole texts at numpy's speed.
+@dataclass
+class Scanned:
+    """A text's tokens without the ends of sentences: hashes of each variant, where they stand, which are placeholders."""
+
+    text: str
+    hashes: list[np.ndarray]
+    begin: np.ndarray
+    end: np.ndarray
+    holders: list[np.ndarray]
+
+    def slots(self, variant: int, at: int, width: int) -> list[str]:
+        """Raw values of the placeholders of a window."""
+        if variant == RAW:
+            return []
+        places = at + np.flatnonzero(self.holders[variant][at : at + width])
+        return [self.text[self.begin[i] : self.end[i]].lower() for i in places]
+
+
+class Scanner:
+    """Tokens and template hashes of whole texts at numpy's speed, as `tokens_of` gives them.
 
-    Gives the same template hashes as `tokens_of` does; holds a bounded number of tokens.
+    Characters are looked up in tables of flags and numbers, which grow to the largest character seen;
+    a token's hash is the difference of two running sums over weighed characters. Long texts are taken
+    in segments of about SEGMENT characters, which end where no token can go on.
     """
 
-    MOST = 600_000
-    END, NAME_LIKE = 1, 2
+    SEGMENT = 1 << 19
+    LETTER, DIGIT, END, UPPER, TITLE, LOWER, JOINS, NUMERIC = (1 << i for i in range(8))
 
     def __init__(self):
-        super().__init__()
-        self._hash, self._raw = np.zeros(1 << 12, dtype=np.uint64), np.zeros(1 << 12, dtype=np.uint64)
-        self._kind = np.zeros(1 << 12, dtype=np.int8)
-        self._name = np.uint64(token_hash(NAME))
-
-    def __missing__(self, token: str) -> int:
-        number = self[token] = len(self)
-        if number == len(self._hash):
-            self._hash, self._raw, self._kind = (np.concatenate([x, np.zeros_like(x)]) for x in (self._hash, self._raw, self._kind))
-        form, low = form_of(token), token.lower()
-        likely_name = is_capitalised(token) and form == low
-        self._kind[number] = self.END if token in ".!?\n" else self.NAME_LIKE if likely_name else 0
-        self._hash[number] = token_hash(form)
-        self._raw[number] = self._hash[number] if form == low else token_hash(low)
-        return number
+        self._flags, self._numbers = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=np.uint64)
+        self._know(1 << 16)
+        self._power, self._back = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
+        special = {token_hash(w): NUMBER for w in NUMBER_WORDS} | {token_hash(w): UNIT for w in UNITS}
+        self._special = np.array(sorted(special), dtype=np.uint64)
+        self._forms = np.array([token_hash(special[int(h)]) for h in self._special], dtype=np.uint64)
+        self._may_be = np.zeros(1 << 16, dtype=bool)
+        self._may_be[self._special >> np.uint64(48)] = True
+        self._number, self._name = np.uint64(token_hash(NUMBER)), np.uint64(token_hash(NAME))
+
+    def _know(self, size: int) -> None:
+        """Extend the tables to the characters below `size`."""
+        more = [chr(i) for i in range(len(self._flags), size)]
+        tests = [
+            (self.LETTER, lambda c: c.isalnum() and not c.isdecimal()),
+            (self.DIGIT, "0123456789".__contains__),
+            (self.END, ".!?\n".__contains__),
+            (self.UPPER, str.isupper),
+            (self.TITLE, lambda c: c.istitle() and not c.isupper()),
+            (self.LOWER, str.islower),
+            (self.JOINS, ".,:/".__contains__),
+            (self.NUMERIC, str.isdigit),
+        ]
+        flags = sum(np.fromiter(map(test, more), dtype=bool, count=len(more)) * np.uint8(bit) for bit, test in tests)
+        low = np.fromiter((ord(d) if len(d := c.lower()) == 1 else ord(c) for c in more), dtype=np.uint64, count=len(more))
+        low[low == 0x3C2] = 0x3C3
+        self._flags = np.concatenate([self._flags, flags.astype(np.uint8)])
+        self._numbers = np.concatenate([self._numbers, _mixed(low)])
+
+    def _weigh(self, size: int) -> None:
+        """Powers of the weight and of its inverse, for `size` places."""
+        each = np.full(size, _CHARACTER, dtype=np.uint64), np.full(size, pow(_CHARACTER, -1, 1 << 64), dtype=np.uint64)
+        for powers in each:
+            powers[0] = 1
+        self._power, self._back = map(np.multiply.accumulate, each)
+
+    def _cuts(self, text: str) -> Iterator[tuple[int, int]]:
+        """Segments; a cut stands before a space."""
+        at = 0
+        while len(text) - at > self.SEGMENT:
+            cut = text.find(" ", at + self.SEGMENT)
+            if cut < 0:
+                break
+            yield at, cut
+            at = cut
+        yield at, len(text)
+
+    def _segment(self, text: str) -> tuple[np.ndarray, ...]:
+        """(begin, end, hash, whether a number by its first character, capitalised, ends of sentences before) per token, and all ends."""
+        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        if len(chars) and (most := int(chars.max())) >= len(self._flags):
+            self._know(most + 1 if most > 1 << 17 else 1 << 17)
+        if len(chars) >= len(self._power):
+            self._weigh(2 * len(chars))
+        flags = self._flags[chars]
+        kind = flags & (self.LETTER | self.DIGIT)
+        joins = np.flatnonzero(flags[1:-1] & self.JOINS > 0) + 1
+        joins = joins[(flags[joins - 1] & flags[joins + 1] & self.DIGIT) > 0]
+        kind[joins] = self.DIGIT
+        inner = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+        begin, end = np.append(0, inner), np.append(inner, len(chars))
+        tokens = kind[begin] > 0 if len(chars) else np.zeros(1, dtype=bool)
+        begin, end = begin[tokens], end[tokens]
+        sums = np.zeros(len(chars) + 1, dtype=np.uint64)
+        np.cumsum(self._numbers[chars] * self._power[: len(chars)], out=sums[1:])
+        hashes = _mixed((sums[end] - sums[begin]) * self._back[begin])
+        capital = (flags[begin] & self.UPPER) > 0
+        some = np.flatnonzero(capital)  # of these the rest must be lower case: no capital in it, one letter that has a case
+        large = np.flatnonzero(flags & (self.UPPER | self.TITLE) > 0)
+        caseless = np.flatnonzero((flags & (self.LETTER | self.UPPER | self.TITLE | self.LOWER)) == self.LETTER)
+        first, last = begin[some] + 1, end[some]
+        rest = np.searchsorted(caseless, last) - np.searchsorted(caseless, first)
+        capital[some] = (np.searchsorted(large, last) == np.searchsorted(large, first)) & (last - first > rest)
+        stops = np.flatnonzero((flags & self.END > 0) & (kind == 0))
+        return begin, end, hashes, (flags[begin] & self.NUMERIC) > 0, capital, np.searchsorted(stops, begin), np.array([len(stops)])
+
+    def scan(self, text: str | None) -> Scanned:
+        text = text or ""
+        cuts = list(self._cuts(text))
+        parts = [self._segment(text[a:b] if len(cuts) > 1 else text) for a, b in cuts]
+        begin, end = (np.concatenate([p[i] + a for p, (a, _) in zip(parts, cuts, strict=True)]) for i in (0, 1))
+        raw, number, capital = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
+        stops = np.cumsum([0] + [int(p[6][0]) for p in parts])
+        before = np.concatenate([p[5] + n for p, n in zip(parts, stops, strict=False)])
+        starts = np.ones(len(raw), dtype=bool)
+        starts[1:] = before[1:] != before[:-1]
+        plain = np.where(number, self._number, raw)
+        some = np.flatnonzero(self._may_be[raw >> np.uint64(48)] & ~number)
+        place = np.minimum(np.searchsorted(self._special, raw[some]), len(self._special) - 1)
+        some, place = some[same := self._special[place] == raw[some]], place[same]
+        plain[some] = self._forms[place]
+        holder = number.copy()
+        holder[some] = True
+        name = capital & ~starts & ~holder
+        return Scanned(text, [plain, np.where(name, self._name, plain), raw], begin, end, [holder, holder | name])
 
     def templates(self, text: str | None) -> list[np.ndarray]:
         """Hashes of the template tokens of each variant."""
-        if len(self) > self.MOST:
-            self.clear()
-        tokens = TOKEN.findall(text or "")
-        number = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        kind = self._kind[number]
-        starts = np.ones(len(tokens), dtype=bool)
-        starts[1:] = kind[:-1] == self.END
-        word = kind != self.END
-        plain = self._hash[number]
-        named = np.where((kind == self.NAME_LIKE) & ~starts, self._name, plain)
-        return [plain[word], named[word], self._raw[number[word]]]
+        return self.scan(text).hashes
 
 
 def informative(template: tuple[str, ...], width: int) -> np.ndarray:
@@ -231,35 +335,57 @@ def hits_column(text: Column, windows: DataFrame) -> Column:
 
     @F.pandas_udf(HIT)
     def run(texts: pd.Series) -> pd.Series:
-        scanner, out, words = worker_scanner(), [], bits.value
-        for text in texts:
-            each, found, raw, templates, gated = scanner.templates(text), [], None, None, {}
-            for width, variant in forms:
-                if variant == RAW:  # hashed only where the plain window is in the filter
-                    if width not in gated:
-                        gated[width] = inside(window_hashes(each[0], width, 0), words)
-                    place = gated[width]
-                    if not len(place):
-                        continue
-                    hashes = window_hashes_at(each[RAW], width, RAW, place)
-                    some = inside(hashes, words)
-                    place, hashes = place[some], hashes[some]
-                else:
-                    hashes = window_hashes(each[variant], width, variant)
-                    place = inside(hashes, words)
-                    hashes = hashes[place]
-                    if not variant:
-                        gated[width] = place
-                for at, value in zip(place.tolist(), hashes.view(np.int64).tolist(), strict=True):
-                    if raw is None:  # the tokens themselves are needed for hits alone
-                        raw, templates = tokens_of(text)
-                    found.append({"hash": value, "variant": variant, "at": at, "slots": slots(templates[variant], raw, at, width)})
-            out.append(found)
-        return pd.Series(out)
+        return pd.Series([hits for group in groups_of(texts) for hits in hits_of(group, forms, bits.value)])
 
     return run(text.cast("string"))
 
 
+def groups_of(texts: pd.Series, characters: int = 1 << 17) -> Iterator[list[str]]:
+    """Neighbouring texts of together about that many characters; null is empty."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text or "")
+        size += len(group[-1])
+        if size >= characters:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def hits_of(group: list[str], forms: list[tuple[int, int]], words: np.ndarray) -> list[list[dict]]:
+    """Per text its windows of the forms (width, variant) that the filter lets pass; all texts are scanned at once."""
+    scanned = worker_scanner().scan("\n".join(group))
+    sizes = np.array([len(t) + 1 for t in group])
+    offset = np.cumsum(sizes) - sizes
+    owner = np.searchsorted(offset, scanned.begin, side="right") - 1
+    first = np.searchsorted(scanned.begin, offset)
+    each, found, gated = scanned.hashes, [[] for _ in group], {}
+
+    def passing(width: int, variant: int) -> tuple[np.ndarray, np.ndarray]:
+        hashes = window_hashes(each[variant], width, variant)
+        place = inside(hashes, words)
+        place = place[owner[place] == owner[place + width - 1]]  # windows of one text
+        return place, hashes[place]
+
+    for width, variant in forms:
+        if variant == RAW:  # hashed only where the plain window is in the filter
+            place = gated[width] if width in gated else passing(width, 0)[0]
+            if not len(place):
+                continue
+            hashes = window_hashes_at(each[RAW], width, RAW, place)
+            some = inside(hashes, words)
+            place, hashes = place[some], hashes[some]
+        else:
+            place, hashes = passing(width, variant)
+            if not variant:
+                gated[width] = place
+        for at, value in zip(place.tolist(), hashes.view(np.int64).tolist(), strict=True):
+            text = owner[at]
+            found[text].append({"hash": value, "variant": variant, "at": int(at - first[text]), "slots": scanned.slots(variant, at, width)})
+    return found
+
+
 def longest_stretch(windows: list[tuple[int, list[str], list[str]]]) -> list[int]:
     """The most windows (at, item's slots, document's slots), one after the other, in which each value stands for one value.
 
@@ -297,13 +423,29 @@ def stretch_column(windows: Column) -> Column:
     return run(windows)
 
 
+def telling_windows(windows: DataFrame) -> DataFrame:
+    """(hash, variant, item_id): windows of which every document that matches an item holds one.
+
+    A match needs `least` of an item's windows of one variant: COVERAGE of them, or those of RUN tokens in a row. So
+    all but the least - 1 that most items share are enough to find it, and a line that many items have in common
+    pairs a document with none of them, unless the line alone is a match.
+    """
+    shared = windows.groupBy("hash", "variant").agg(F.count_distinct("item_id").alias("items"))
+    of_item = Window.partitionBy("item_id", "variant", "windows", "width")  # one item's windows
+    place = F.row_number().over(of_item.orderBy(F.desc("items"), "hash", "at"))
+    least = F.greatest(F.lit(1), F.least(F.ceil(F.col("windows") * COVERAGE), RUN - F.col("width") + 1))
+    ranked = windows.join(shared, ["hash", "variant"]).withColumn("place", place)
+    return ranked.where(F.col("place") >= least).select("hash", "variant", "item_id").distinct()
+
+
 def matches(marked: DataFrame, windows: DataFrame) -> DataFrame:
     """(rid, item_id, coverage, aligned, kind) per row (rid, hits) and item with a consistent alignment or stretch of one.
 
     kind is exact, or reparameterised where a value differs from the item's.
     """
     hits = marked.select("rid", F.inline("hits")).select("rid", "hash", "variant", F.col("at").alias("doc_at"), F.col("slots").alias("doc_slots"))
-    pairs = hits.join(windows.drop("gate"), ["hash", "variant"]).where(F.size("slots") == F.size("doc_slots"))
+    likely = hits.select("rid", "hash", "variant").distinct().join(telling_windows(windows), ["hash", "variant"]).select("rid", "item_id").distinct()
+    pairs = likely.join(windows.drop("gate"), "item_id").join(hits, ["rid", "hash", "variant"]).where(F.size("slots") == F.size("doc_slots"))
     pairs = pairs.withColumn("shift", F.col("doc_at") - F.col("at"))
     group = ["rid", "item_id", "variant", "shift"]
     # per alignment: every value of the item stands for one value of the document

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +183,44 @@ def test_hashes_of_a_few_windows_are_those_of_all():
             every = leaks.window_hashes(each, width, variant)
             assert leaks.window_hashes_at(each, width, variant, at).tolist() == every[at].tolist()
     assert leaks.window_hashes_at(each, 8, 2, np.array([], dtype=int)).tolist() == []
+
+
+def test_scanner_on_odd_characters_and_segments(monkeypatch):
+    """Cut at any length, whole texts give the hashes and values that cutting token by token gives."""
+    monkeypatch.setattr(leaks.Scanner, "SEGMENT", 40)
+    rng, scanner = random.Random(0), leaks.Scanner()
+    parts = [*"abAB z.!?\n,:/019_-'²ßİΣσςéÉǅǄ٣中ª", "Hello", "Five", "km", " ", " ", "\U0001f600", "\U00010400", "\U0002a6b2"]
+    for _ in range(1500):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 120)))
+        raw, templates = leaks.tokens_of(text)
+        got = scanner.scan(text)
+        assert [text[a:b].lower() for a, b in zip(got.begin, got.end, strict=True)] == raw
+        for variant, template in enumerate(templates):
+            assert got.hashes[variant].tolist() == [leaks.token_hash(t) for t in template]
+            assert got.slots(variant, 0, len(raw)) == leaks.slots(template, raw, 0, len(raw))
+
+
+def test_texts_of_a_group_keep_their_own_windows():
+    """Texts scanned together give the hits that each gives alone; no window goes from one into the next."""
+    rng = random.Random(1)
+    texts = [" ".join(rng.choices(["Two", "cats", "km", "Anna", "7", "run.", "é"], k=rng.randint(0, 40))) for _ in range(60)] + ["", "one"]
+    all_bits = np.full(leaks.FILTER_BITS // 64, (1 << 64) - 1, dtype=np.uint64)
+    forms = [(w, v) for w in (3, 8) for v in leaks.VARIANTS]
+    assert leaks.hits_of(texts, forms, all_bits) == [leaks.hits_of([t], forms, all_bits)[0] for t in texts]
+    assert [t for g in leaks.groups_of(pd.Series([*texts, None]), 50) for t in g] == [*texts, ""]
+
+
+def test_a_line_that_many_items_share(spark):
+    """The common line pairs no document with all of its items; each item is found by what is its own."""
+    line = "Answer the following question with one of these words"
+    rng = random.Random(2)
+    bodies = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(14)) for _ in range(40)]
+    items = [(i, f"{line} {b}") for i, b in enumerate(bodies)]
+    docs = [(100, f"see {line} below"), *((i, f"some words before {line} {b} and after") for i, b in enumerate(bodies))]
+    frame = spark.createDataFrame([(*i, 0) for i in items], ITEMS)
+    windows = leaks.benchmark_windows(frame, shortest=1)
+    shared = {leaks.window_hashes(leaks.Scanner().templates(line)[leaks.RAW], leaks.WINDOW, leaks.RAW).view(np.int64)[0]}
+    assert windows.where(F.col("hash").isin(*map(int, shared))).count() == 40
+    assert leaks.telling_windows(windows).where(F.col("hash").isin(*map(int, shared))).count() == 0
+    got = {r.doc_id: (r.contaminated, r.n_items, r.item_id) for r in leaks.find_leaks(spark.createDataFrame([(*d, "", 0) for d in docs], DOCS), frame).collect()}
+    assert got == {100: (False, 0, None)} | {i: (True, 1, i) for i in range(40)}
