@@ -12,6 +12,8 @@ example or a checksum are not. Unclear candidates are left for the forest.
 Training takes at most SAMPLE findings of each label, in the order of a hash; every
 candidate of every document is judged.
 
+A candidate is one span of any length: a long value, run or key (with its header lines) is judged and masked whole.
+
 Rules for unusual rows: a null or empty text has no candidates; a null doc_id is kept;
 repeated rows are judged each; other columns are ignored. Where clear findings have only
 one label, or none, there is nothing to train on and clear findings alone decide.
@@ -34,7 +36,6 @@ from pyspark.sql import functions as F
 from millrace.llm.common import keep, kept_folder
 
 SAMPLE = 10_000
-LONGEST = 4096  # characters of a run that are looked at as one candidate; longer runs are cut into such pieces
 SECRET_NAMES = "token|secret|passwd|password|pwd|api_?key|apikey|access_?key|auth|credential|private_?key|client_?secret|bearer"
 KNOWN_FORMATS = [
     r"AKIA[0-9A-Z]{16}",
@@ -46,8 +47,12 @@ KNOWN_FORMATS = [
 ]
 KNOWN = re.compile("|".join(KNOWN_FORMATS))
 VALUE = r"[A-Za-z0-9+/=_.~!@#$%^&*-]"
-ASSIGNED = re.compile(rf"""(?i)\b([a-z0-9_-]{{0,40}}(?:{SECRET_NAMES})[a-z0-9_-]{{0,40}})["']?\s{{0,8}}(?:=>|:=|[:=])\s{{0,8}}["']?({VALUE}{{8,{LONGEST}}})""")
-PEM = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,8192}?(?:-----END [A-Z ]{0,30}PRIVATE KEY-----|$)")
+ASSIGNED = re.compile(rf"""(?i)\b([a-z0-9_-]{{0,40}}(?:{SECRET_NAMES})[a-z0-9_-]{{0,40}})["']?\s{{0,8}}(?:=>|:=|[:=])\s{{0,8}}["']?({VALUE}{{8,}})""")
+# header lines such as Proc-Type may stand before the key; no part gives back what it took, and none goes past the next mark
+PEM = re.compile(
+    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----\s*+(?:[A-Za-z][A-Za-z0-9-]*+:(?:[^\n-]|-(?!----))*+\n\s*+)*+"
+    r"[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,30}PRIVATE KEY-----|\Z)"
+)
 RUN = re.compile(r"[A-Za-z0-9+/=_-]+")
 SHORTEST_RUN = 20
 # texts without any of these need no search for the patterns above
@@ -95,7 +100,7 @@ def dictionary_share(value: str) -> float:
 
 
 def describe(text: str, start: int, end: int, name: str) -> list[float]:
-    value = text[start:end][:LONGEST]
+    value = text[start:end]
     before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
     shape = "".join(map(kind_of, value))
     n = len(value)
@@ -161,7 +166,7 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
         for m in RUN.finditer(text):
             a, b = m.span()
             if b - a >= SHORTEST_RUN:
-                found += [(i, min(i + LONGEST, b), "") for i in range(a, b, LONGEST) if min(i + LONGEST, b) - i >= SHORTEST_RUN]
+                found.append((a, b, ""))
     # in order of trust; taken stays sorted, so that only the neighbours can overlap
     taken: list[tuple[int, int, str]] = []
     for span in found:
