@@ -12,8 +12,8 @@ bounded sample of labelled rows, and scores every document.
 Rules for unusual rows: a null or empty text has no terms and gets the classifier's
 score of that; a null doc_id is kept, never joins a label and counts as held out (crc32
 of an empty text is 0); repeated rows are scored each; of several labels for an id the
-largest counts, null labels do not; other columns are ignored. Without any positive
-label only the fixed terms vote.
+largest counts, null labels do not; of several texts for a labelled id the smallest
+teaches; other columns are ignored. Without any positive label only the fixed terms vote.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from millrace.llm.common import fold_zero, keep
@@ -37,14 +37,11 @@ FIXED_TERMS = [
 ]
 LETTERS = re.compile(r"[^\W\d_]+")
 STEMS = range(4, 9)  # lengths of beginnings that may become terms
-TERMS = 48  # mined terms at most; with the patterns and labels a vote fits into a long
-PER_ROOT = 3  # of terms with the same first four letters
 SAMPLE = 12_000  # labelled training rows that terms and classifier are fitted on
 SUPPORT = 5  # positive rows a mined term needs
 LEVELS = (1, 2, 3)
 GOLD = 0.97  # reliability given to a label
 PATTERNS = 5  # voters over several terms
-GROUPS = 64  # partitions of the grouped votes
 
 
 @dataclass(frozen=True)
@@ -74,7 +71,7 @@ class TermCounter:
         self.column = [self._places[t.text, t.whole] for t in terms]
 
     def count(self, text: str | None) -> np.ndarray:
-        out = np.zeros(self.width, dtype=np.int16)
+        out = np.zeros(self.width, dtype=np.int32)
         if not text or not self.width:
             return out
         low = text.lower()
@@ -83,18 +80,22 @@ class TermCounter:
             if start and low[start - 1].isalpha():
                 continue
             if (at := self._places.get((term, False))) is not None:
-                out[at] = min(out[at] + 1, 100)
+                out[at] += 1
             if (at := self._places.get((term, True))) is not None and not low[end + 1 : end + 2].isalpha():
-                out[at] = min(out[at] + 1, 100)
+                out[at] += 1
         return out
 
 
 def mine_terms(sample: DataFrame) -> list[Term]:
     """Terms that labelled rows (text, toxic) show to go with toxicity, best first.
 
-    Counts of documents per term, level and label are added up inside each task
-    before they are grouped; only terms with enough positive rows reach the driver.
+    A term passes that has enough positive rows, is much more frequent among them,
+    and is so beyond chance: with as many terms as were tested, not one of no meaning is
+    expected to pass. Equal texts count once, or the words of a copied text would pass.
+    Counts of documents per term, level and label are added up inside each task before
+    they are grouped; only terms that pass reach the driver.
     """
+    sample = keep(sample.select("text", "toxic").distinct(), "toxicity-texts")
 
     def run(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -117,25 +118,53 @@ def mine_terms(sample: DataFrame) -> list[Term]:
     if not positives:
         return []
     p, n = F.col("pos"), F.col("neg")
-    # lower end of the precision's interval, against even numbers of both labels
+    # against even numbers of both labels
     rate_p, rate_n = (p + 0.5) / (positives + 1.0), (n + 0.5) / (negatives + 1.0)
-    gain = p * F.log(rate_p / (rate_p + rate_n) * 2) + n * F.log(rate_n / (rate_p + rate_n) * 2)
-    sums = parts.groupBy("term", "whole", "level").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    best = sums.where((p >= SUPPORT) & (rate_p > 6 * rate_n)).withColumn("gain", gain)
-    # enough to find TERMS of different roots: a root has few beginnings, but a long tail of words
-    rows = best.orderBy(F.desc("gain"), "term", "whole", "level").limit(40 * TERMS).collect()
-    chosen, roots = [], Counter()
-    for r in rows:
-        if roots[r.term[:4]] < PER_ROOT and len(chosen) < TERMS:
-            roots[r.term[:4]] += 1
-            chosen.append(Term(r.term, r.level, r.whole))
+    # a term of no meaning has p or more positive rows with a probability of at most exp(-surprise)
+    base = positives / (positives + negatives)
+    surprise = p * F.log(p / (p + n) / base) + F.when(n > 0, n * F.log(n / (p + n) / max(1 - base, 1e-9))).otherwise(0.0)
+    sums = parts.groupBy("term", "whole", "level").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where(p + n >= SUPPORT)
+    sums = keep(sums, "toxicity-terms")
+    best = sums.where((p >= SUPPORT) & (rate_p > 6 * rate_n) & (F.exp(surprise) >= sums.count()))
+    return covering(sample, best.collect(), 6 * positives / max(negatives, 1))
+
+
+def covering(sample: DataFrame, rows: list[Row], ratio: float) -> list[Term]:
+    """From the most telling term on: those whose documents are mostly toxic, and those that find further toxic documents.
+
+    A term stays if it shows toxicity in documents without any earlier term. It stays also
+    if a single occurrence means a toxic document more often than not, unless it is a
+    beginning of an earlier term or begins with one. There is no limit to their number.
+    """
+    rows = sorted(rows, key=lambda r: (-(r.pos + 0.5) / (r.neg + 0.5), r.level, r.whole, -len(r.term), r.term))
+    terms = [Term(r.term, r.level, r.whole) for r in rows]
+
+    @F.pandas_udf("binary")
+    def occurs(texts: pd.Series) -> pd.Series:
+        counter, levels = TermCounter(terms), np.array([t.level for t in terms])
+        return pd.Series([packed((counter.count(t)[counter.column] >= levels)[None, :])[0] for t in texts])
+
+    found = sample.select("toxic", occurs("text").alias("mask")).toPandas() if terms else None  # at most a row per sampled id
+    chosen: list[Term] = []
+    if found is None:
+        return chosen
+    masks, toxic = np.stack([np.frombuffer(m, dtype=np.uint8) for m in found["mask"]]), found["toxic"].to_numpy() == 1
+    uncovered = np.ones(len(toxic), dtype=bool)
+    for i, term in enumerate(terms):
+        mine = (masks[:, i >> 3] >> (7 - (i & 7)) & 1).astype(bool)
+        pos, neg = np.count_nonzero(mine & uncovered & toxic), np.count_nonzero(mine & uncovered & ~toxic)
+        own = term.level == 1 and rows[i].pos > rows[i].neg
+        own = own and not any(c.text.startswith(term.text) or term.text.startswith(c.text) for c in chosen)
+        if own or (pos >= SUPPORT and pos > ratio * neg):
+            chosen.append(term)
+            uncovered &= ~mine
     return chosen
 
 
 def term_counts(docs: DataFrame, terms: list[Term], folds: int, *extra: str) -> DataFrame:
     """(doc_id, held_out, words, counts of each different term text) per row of docs."""
 
-    @F.pandas_udf("words int, counts array<short>")
+    @F.pandas_udf("words int, counts array<int>")
     def run(texts: pd.Series) -> pd.DataFrame:
         counter = TermCounter(terms)
         return pd.DataFrame({"words": [word_count(t) for t in texts], "counts": [counter.count(t) for t in texts]})
@@ -184,7 +213,7 @@ class LabelModel:
 
 
 def fit_label_model(grouped: DataFrame, voters: int, prior: float, rounds: int = 8) -> LabelModel:
-    """EM over equal votes (mask long, gold int, n long) of all training documents.
+    """EM over equal votes (mask binary, gold int, n long) of all training documents.
 
     A round sends M + M x M sums per task to the driver, whatever the number of documents.
     """
@@ -199,7 +228,7 @@ def fit_label_model(grouped: DataFrame, voters: int, prior: float, rounds: int =
         def run(pdfs: Iterable[pd.DataFrame], current: LabelModel = current) -> Iterator[pd.DataFrame]:
             mass, pairs = np.zeros(2), np.zeros((2, voters, voters))
             for pdf in pdfs:
-                bits = unpack(pdf["mask"].to_numpy(), voters)
+                bits = unpack(pdf["mask"], voters)
                 p = current.posterior(bits, pdf["gold"].to_numpy())
                 for y, w in enumerate((1 - p, p)):
                     w = w * pdf["n"].to_numpy()
@@ -224,8 +253,14 @@ def fit_label_model(grouped: DataFrame, voters: int, prior: float, rounds: int =
     return model
 
 
-def unpack(mask: np.ndarray, voters: int) -> np.ndarray:
-    return (mask[:, None] >> np.arange(voters)[None, :] & 1).astype(bool)
+def packed(bits: np.ndarray) -> list[bytes]:
+    """Votes as bits, eight to the byte; any number of voters."""
+    return [row.tobytes() for row in np.packbits(bits.astype(bool), axis=1)]
+
+
+def unpack(mask: pd.Series, voters: int) -> np.ndarray:
+    rows = np.frombuffer(b"".join(mask), dtype=np.uint8).reshape(len(mask), -1)
+    return np.unpackbits(rows, axis=1, count=voters).astype(bool)
 
 
 def fit_logistic(x: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
@@ -250,7 +285,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, folds: int,
     ids = ids.where(~fold_zero(F.col("doc_id"), folds))
     ids = ids.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(column).cast("int").alias(column))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id", column).agg(F.min("text").alias("text"))
 
 
 @dataclass
@@ -275,13 +311,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = SAMPLE
     mined = mine_terms(rows)
     taken = {(t.text, t.whole) for t in mined}
     terms = mined + [Term(t, 1, True) for t in FIXED_TERMS if (t, True) not in taken]
-    terms = terms[: 62 - PATTERNS]
     column = TermCounter(terms).column
     counted = keep(term_counts(docs, terms, folds), "toxicity-counts")
-    gold = term_counts(rows, terms, folds, "toxic").toPandas()  # at most `sample` ids
+    gold = term_counts(rows, terms, folds, "toxic").toPandas()  # at most `sample` rows
     voters = len(terms) + PATTERNS
 
-    @F.pandas_udf("long")
+    @F.pandas_udf("binary")
     def mask(counts: pd.Series, words: pd.Series) -> pd.Series:
         return pd.Series(packed(votes(terms, column, stack(counts), words.to_numpy())))
 
@@ -294,8 +329,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = SAMPLE
         known = votes(terms, column, counts, words)
         prior = float(np.clip(y.mean(), 0.01, 0.5))
         labelled = pd.DataFrame({"mask": packed(known), "gold": y, "n": 1}).groupby(["mask", "gold"], as_index=False).sum()
-        grouped = grouped.union(docs.sparkSession.createDataFrame(labelled, "mask long, gold int, n long"))
-    model = fit_label_model(keep(grouped.coalesce(GROUPS), "toxicity-votes"), voters, prior)
+        grouped = grouped.union(docs.sparkSession.createDataFrame(labelled, "mask binary, gold int, n long"))
+    model = fit_label_model(keep(grouped, "toxicity-votes"), voters, prior)
     if len(gold):
         weights = fit_logistic(features(terms, counts, words), model.posterior(known, y))
     return Scorer(terms, column, model, weights), counted
@@ -326,10 +361,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int =
     return docs.where(toxic(F.col("text").cast("string")) < 0.5)
 
 
-def packed(bits: np.ndarray) -> np.ndarray:
-    return (bits.astype(np.int64) << np.arange(bits.shape[1])[None, :]).sum(axis=1)
-
-
 def word_count(text: str | None) -> int:
     return text.count(" ") + text.count("\n") + 1 if text else 0
 

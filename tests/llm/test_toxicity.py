@@ -66,7 +66,42 @@ def test_label_model_discounts_repeated_voters(spark):
     y = rng.random(4000) < 0.2
     own = [np.where(y, rng.random(4000) < 0.6, rng.random(4000) < 0.02) for _ in range(4)]
     bits = np.stack([own[0], own[0], own[0], *own[1:], ~np.any(own, axis=0)], axis=1)
-    grouped = spark.createDataFrame([(int(m), -1, 1) for m in toxicity.packed(bits)], "mask long, gold int, n long")
+    grouped = spark.createDataFrame([(m, -1, 1) for m in toxicity.packed(bits)], "mask binary, gold int, n long")
     model = toxicity.fit_label_model(grouped, bits.shape[1], 0.2)
     assert model.weight[:3].sum() == pytest.approx(1, abs=0.4)
     assert ((model.posterior(bits, np.full(4000, -1)) > 0.5) == y).mean() > 0.9
+
+
+def test_every_term_votes_and_every_hit_counts(spark):
+    """Eighty insults, each in a few documents of its own: none is crowded out by the others or by the fixed list."""
+    names = [f"{a}{b}{c}lum" for a in "bdfgk" for b in "aeio" for c in "rstz"]
+    rng = np.random.default_rng(3)
+    words = [f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    docs, labels = [], []
+    for i in range(4000):
+        bad = i % 4 == 0
+        docs.append((i, " ".join([*rng.choice(words, 12), names[i // 4 % 80] if bad else "end"]), 0, ""))
+        labels.append((i, 1, int(bad)))
+    docs += [(5000 + i, f"some {n} text", 0, "") for i, n in enumerate([*names, *toxicity.FIXED_TERMS])] + [(6000, "some plain text", 0, "")]
+    df, tags = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    scorer, _ = toxicity.fit(df, tags)
+    texts = {t.text for t in scorer.terms}
+    assert len(scorer.terms) > 62 and texts >= set(toxicity.FIXED_TERMS) and all(any(n.startswith(t) for t in texts) for n in names)
+    got = {r.doc_id: r.predicted for r in toxicity.score(df, tags).collect()}
+    assert all(got[5000 + i] for i in range(80)) and not got[6000]
+    assert toxicity.TermCounter([toxicity.Term("scum", 1)]).count("scum " * 70_000).tolist() == [70_000]
+
+
+def test_terms_that_say_the_same_are_one(spark):
+    """Beginnings of a word, and a wider one that adds only clean documents, leave one term; a second word has its own."""
+    texts = [("you loser now", 1)] * 20 + [("they lose now", 0)] * 30 + [("a moron here", 1)] * 10 + [("you and they here now a calm day", 0)] * 140
+    sample = spark.createDataFrame([(f"{t} {i}", y) for i, (t, y) in enumerate(texts)] + [(None, 0)], "text string, toxic int")
+    assert [(t.text, t.whole, t.level) for t in toxicity.mine_terms(sample)] == [("loser", False, 1), ("moron", False, 1)]
+
+
+def test_equal_votes_pack_and_unpack():
+    import pandas as pd
+
+    bits = np.random.default_rng(0).random((50, 133)) < 0.3
+    assert (toxicity.unpack(pd.Series(toxicity.packed(bits)), 133) == bits).all()
+    assert toxicity.unpack(pd.Series([], dtype=object), 9).shape == (0, 9)
