@@ -259,7 +259,7 @@ def packed(bits: np.ndarray) -> list[bytes]:
 
 
 def unpack(mask: pd.Series, voters: int) -> np.ndarray:
-    rows = np.frombuffer(b"".join(mask), dtype=np.uint8).reshape(len(mask), -1)
+    rows = np.frombuffer(b"".join(mask), dtype=np.uint8).reshape(len(mask), -(-voters // 8))
     return np.unpackbits(rows, axis=1, count=voters).astype(bool)
 
 
