@@ -22,6 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,8 @@ SUPPORT = 5  # positive rows a mined term needs
 LEVELS = (1, 2, 3)
 GOLD = 0.97  # reliability given to a label
 PATTERNS = 5  # voters over several terms
+SHARE = 0.01  # of the toxic rows that a term must mark to stay beside others that mark the same rows
+MIXERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)  # odd multipliers of shingle hashes
 
 
 @dataclass(frozen=True)
@@ -91,11 +94,11 @@ def mine_terms(sample: DataFrame) -> list[Term]:
 
     A term passes that has enough positive rows, is much more frequent among them,
     and is so beyond chance: with as many terms as were tested, not one of no meaning is
-    expected to pass. Equal texts count once, or the words of a copied text would pass.
+    expected to pass. Near copies count about once, or the words of a copied text would pass.
     Counts of documents per term, level and label are added up inside each task before
     they are grouped; only terms that pass reach the driver.
     """
-    sample = keep(sample.select("text", "toxic").distinct(), "toxicity-texts")
+    sample = keep(without_copies(sample.select("text", "toxic")), "toxicity-texts")
 
     def run(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -129,12 +132,37 @@ def mine_terms(sample: DataFrame) -> list[Term]:
     return covering(sample, best.collect(), 6 * positives / max(negatives, 1))
 
 
+def without_copies(sample: DataFrame) -> DataFrame:
+    """Of rows (text, toxic) with the same label whose texts share a smallest shingle hash, the one with the smallest text."""
+
+    @F.pandas_udf("array<long>")
+    def least(texts: pd.Series) -> pd.Series:
+        return pd.Series([least_hashes(t) for t in texts])
+
+    rows = sample.distinct().withColumn("least", least("text"))
+    for i in range(len(MIXERS)):
+        rows = rows.groupBy(F.get("least", F.lit(i)).alias("h"), "toxic").agg(F.min(F.struct("text", "least")).alias("r")).select("toxic", "r.*")
+    return rows.select("text", "toxic")
+
+
+def least_hashes(text: str | None) -> list[int]:
+    """The smallest hash of a text's shingles of five words, once per mixer; a text of fewer words is one shingle."""
+    words = np.array([crc32(w.encode()) for w in (text or "").lower().split()], dtype=np.uint64)
+    words = np.concatenate([words, np.zeros(max(5 - len(words), 0), dtype=np.uint64)])
+    shingles = np.zeros(len(words) - 4, dtype=np.uint64)
+    for i in range(5):
+        shingles = (shingles + words[i : len(words) - 4 + i]) * MIXERS[0]
+        shingles ^= shingles >> np.uint64(29)
+    return [int((((shingles ^ (shingles >> np.uint64(32))) * m) ^ m).view(np.int64).min()) for m in MIXERS]
+
+
 def covering(sample: DataFrame, rows: list[Row], ratio: float) -> list[Term]:
     """From the most telling term on: those whose documents are mostly toxic, and those that find further toxic documents.
 
     A term stays if it shows toxicity in documents without any earlier term. It stays also
-    if a single occurrence means a toxic document more often than not, unless it is a
-    beginning of an earlier term or begins with one. There is no limit to their number.
+    if a single occurrence means a toxic document more often than not, for a SHARE of the
+    toxic ones, unless it is a beginning of an earlier term or begins with one. There is
+    no limit to their number.
     """
     rows = sorted(rows, key=lambda r: (-(r.pos + 0.5) / (r.neg + 0.5), r.level, r.whole, -len(r.term), r.term))
     terms = [Term(r.term, r.level, r.whole) for r in rows]
@@ -153,7 +181,7 @@ def covering(sample: DataFrame, rows: list[Row], ratio: float) -> list[Term]:
     for i, term in enumerate(terms):
         mine = (masks[:, i >> 3] >> (7 - (i & 7)) & 1).astype(bool)
         pos, neg = np.count_nonzero(mine & uncovered & toxic), np.count_nonzero(mine & uncovered & ~toxic)
-        own = term.level == 1 and rows[i].pos > rows[i].neg
+        own = term.level == 1 and rows[i].pos > max(rows[i].neg, SHARE * np.count_nonzero(toxic))
         own = own and not any(c.text.startswith(term.text) or term.text.startswith(c.text) for c in chosen)
         if own or (pos >= SUPPORT and pos > ratio * neg):
             chosen.append(term)
