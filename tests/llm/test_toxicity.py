@@ -94,7 +94,7 @@ def test_every_term_votes_and_every_hit_counts(spark):
 
 def test_terms_that_say_the_same_are_one(spark):
     """Beginnings of a word, and a wider one that adds only clean documents, leave one term; a second word has its own."""
-    texts = [("you loser now", 1)] * 20 + [("they lose now", 0)] * 30 + [("a moron here", 1)] * 10 + [("you and they here now a calm day", 0)] * 140
+    texts = [("you loser now", 1)] * 20 + [("they lose now", 0)] * 30 + [("a moron here", 1)] * 10 + [("you calm now", 0)] * 70 + [("a day here", 0)] * 70
     sample = spark.createDataFrame([(f"{t} {i}", y) for i, (t, y) in enumerate(texts)] + [(None, 0)], "text string, toxic int")
     assert [(t.text, t.whole, t.level) for t in toxicity.mine_terms(sample)] == [("loser", False, 1), ("moron", False, 1)]
 
