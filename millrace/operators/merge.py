@@ -11,7 +11,7 @@ import logging
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.keys import first_per_key, latest_per_key
@@ -20,6 +20,9 @@ from millrace.sources.files import read_or_empty, replace_partition, replace_par
 
 log = logging.getLogger(__name__)
 
+BUCKETS = 1 << 16  # of keys, counted to find those that hold many rows
+HOT = 1 << 20  # rows of a bucket that are not sent to one task
+
 
 def _is_touched(batch: DataFrame, partitions: Sequence[str]) -> Column:
     """Filter for the partitions a stored batch writes to, with their values as literals.
@@ -55,18 +58,36 @@ def unprocessed(source: DataFrame, done: DataFrame, keys: Sequence[str]) -> Data
     return source.join(seen, same, "left_anti")
 
 
-def split_admissible(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(admitted, set aside with a `reason`): rows must have a whole key that no other row has.
+def split_repeated(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(admitted, repeated) of rows with whole keys, as `judged` says, by aggregates alone.
+
+    No task gets all rows of a key, but all rows are shuffled again and again: for keys that hold many.
+    """
+    admitted = first_per_key(rows, keys, order)
+    copies = rows.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1").select(*keys)
+    repeated = rows.join(copies, list(keys), "left_semi").exceptAll(admitted.join(copies, list(keys), "left_semi"))
+    return admitted, repeated.select(*rows.columns)
+
+
+def judged(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The rows with a `_reason` to set them aside, NULL if admitted: they must have a whole key that no other row has.
 
     Of rows with one key the first by `order` and then by the other columns is admitted, as often as
-    it is there once. `rows` are read several times and should be stored.
+    it is there once. One shuffle brings the rows of a key together; those of keys in buckets of more
+    than HOT rows go through aggregates. `rows` are read several times and should be stored.
     """
     whole, broken = split_complete(rows, keys)
-    admitted = first_per_key(whole, keys, order)
-    copies = whole.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1").select(*keys)
-    repeated = whole.join(copies, list(keys), "left_semi").exceptAll(admitted.join(copies, list(keys), "left_semi"))
-    reasons = [broken.withColumn("reason", F.lit("key not whole")), repeated.withColumn("reason", F.lit("key repeated"))]
-    return admitted, reasons[0].unionByName(reasons[1].select(*reasons[0].columns))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    large = whole.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+    hot = [row["bucket"] for row in large.collect()]  # at most a row per HOT rows
+    ordered = [*order, *[c for c in rows.columns if c not in keys and c not in order]] or keys
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordered))
+    few = whole.where(~bucket.isin(hot)) if hot else whole
+    parts = [few.withColumn("_reason", F.when(turn > 1, F.lit("key repeated"))), broken.withColumn("_reason", F.lit("key not whole"))]
+    if hot:
+        admitted, repeated = split_repeated(whole.where(bucket.isin(hot)), keys, order)
+        parts += [admitted.withColumn("_reason", F.lit(None).cast("string")), repeated.withColumn("_reason", F.lit("key repeated"))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def publish_partition(rows: DataFrame, path: str, keys: Sequence[str], column: str, value: str, order: Sequence[str] = ()) -> int:
@@ -78,8 +99,9 @@ def publish_partition(rows: DataFrame, path: str, keys: Sequence[str], column: s
     """
     with scratch(rows.sparkSession, "publish") as folder:
         staged = stored(rows.where(F.col(column) == F.lit(value).cast("date")), f"{folder}/staged")
-        admitted, aside = split_admissible(staged, keys, order)
-        aside = stored(aside, f"{folder}/aside")
+        found = stored(judged(staged, keys, order), f"{folder}/judged")
+        admitted = found.where(F.col("_reason").isNull()).drop("_reason")
+        aside = found.where(F.col("_reason").isNotNull()).withColumn("reason", F.col("_reason")).drop("_reason")
         count = aside.count()
         rejected = f"{path}_rejected"
         if count or not read_or_empty(rows.sparkSession, rejected, aside.schema).isEmpty():

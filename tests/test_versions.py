@@ -1,3 +1,4 @@
+import datetime
 import json
 
 import pytest
@@ -120,6 +121,37 @@ def test_only_sound_rows_show(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2]
 
 
+def test_rows_are_shuffled_once_before_they_show(spark, tmp_path, monkeypatch):
+    frames = []
+    for name in ("stored", "replace_partition"):
+        real = getattr(merge, name)
+        monkeypatch.setattr(merge, name, lambda df, *rest, real=real: (frames.append(df), real(df, *rest))[1])
+    data = rows(spark, (1, "z", 2), (1, "y", 1), (None, "n", 1)).select("*", F.lit("2026-01-01").cast("date").alias("day"))
+    assert merge.publish_partition(data, str(tmp_path / "t"), ["k", "day"], "day", "2026-01-01") == 2
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in frames]
+    assert sum(plan.count("Exchange hashpartitioning") for plan in plans) == 1
+
+
+def test_keys_of_many_rows_are_judged_alike(spark, tmp_path, monkeypatch):
+    schema = "k long, d double, v string, n int, day date"
+    day = datetime.date(2026, 1, 1)
+    data = [(i % 7 or None, float(i % 3), None if i % 5 == 0 else f"v{i % 4}", i % 6, day) for i in range(400)] + [(100 + i, None, "x", i, day) for i in range(50)]
+    order, known, first, wanted = ["n"], set(), [], []
+    for row in sorted(data, key=lambda r: (r[3], r[1] is not None, r[1], r[2] is not None, r[2] or "")):
+        if row[0] is None or row[0] in known:
+            wanted.append((*row, "key not whole" if row[0] is None else "key repeated"))
+        else:
+            known.add(row[0])
+            first.append(row)
+    for hot in (0, 60, 1 << 20):  # all keys by aggregates, some, none
+        monkeypatch.setattr(merge, "HOT", hot)
+        path = str(tmp_path / f"hot{hot}")
+        assert merge.publish_partition(spark.createDataFrame(data, schema).repartition(3), path, ["k", "day"], "day", "2026-01-01", order) == len(wanted)
+        assert sorted(map(str, map(tuple, spark.read.parquet(path).collect()))) == sorted(map(str, first))
+        aside = spark.read.parquet(f"{path}_rejected").select("k", "d", "v", "n", "day", "reason").collect()
+        assert sorted(map(str, map(tuple, aside))) == sorted(map(str, wanted))
+
+
 def test_hourly_silver_and_the_sales_tables_are_audited(spark, tmp_path):
     bronze = sample_tables.bronze_weather_hourly(spark, FOLDER).limit(50)
     path = str(tmp_path / "hourly")
